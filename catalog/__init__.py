@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["recon"]
+MODULES = ["recon", "expressions", "scalars"]
 
 
 def load():

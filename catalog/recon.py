@@ -206,15 +206,16 @@ def _(spark, folder):
 
 @query(
     "date_series",
-    "WITH spans AS (SELECT o_custkey AS account_id, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b "
-    "FROM orders GROUP BY 1) SELECT account_id, CAST(CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS VARCHAR) "
+    "WITH spans AS (SELECT o_orderpriority AS grp, CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS b "
+    "FROM orders GROUP BY 1) SELECT grp, CAST(CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS VARCHAR) "
     "AS receival_date FROM spans",
 )
 def _(spark, folder):
-    spans = standins.read_table(spark, folder, "orders").groupBy(F.col("o_custkey").alias("account_id")).agg(
-        F.min(F.col("o_orderdate").cast("date")).alias("first"), F.max(F.col("o_orderdate").cast("date")).alias("last")
+    day = F.col("o_orderdate").cast("date")
+    spans = standins.read_table(spark, folder, "orders").groupBy(F.col("o_orderpriority").alias("grp")).agg(
+        F.min(day).alias("first"), F.max(day).alias("last")
     )
-    return spans.select("account_id", spine.daily(F.col("first"), F.col("last")).alias("receival_date"))
+    return spans.select("grp", spine.daily(F.col("first"), F.col("last")).alias("receival_date"))
 
 
 @query(

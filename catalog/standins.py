@@ -116,6 +116,19 @@ def merchant_payments(spark: SparkSession, folder: str) -> DataFrame:
     return payments(spark, folder).join(accounts, "order_id")
 
 
+def described(rows: DataFrame) -> DataFrame:
+    """Merchant payments with the texts and posting values their reports and statements show."""
+    return rows.selectExpr(
+        "*",
+        f"{STORE} as store",
+        f"{MID} as mid",
+        f"{TRADING} as trading",
+        f"{DESCRIPTION} as description",
+        f"{POSTED} as posted",
+        f"{PAID} as paid",
+    )
+
+
 def staged_payments(spark: SparkSession, folder: str) -> DataFrame:
     """Merchant payments written once to the shared scratch folder, one directory per issuer.
 
@@ -125,7 +138,7 @@ def staged_payments(spark: SparkSession, folder: str) -> DataFrame:
     path = written_once(
         spark,
         f"payments/{folder.strip('/').replace('/', '_')}",
-        lambda p: merchant_payments(spark, folder).write.mode("overwrite").partitionBy("issuer").parquet(p),
+        lambda p: described(merchant_payments(spark, folder)).write.mode("overwrite").partitionBy("issuer").parquet(p),
     )
     return spark.read.parquet(path)
 
@@ -139,6 +152,7 @@ STORE = (
     "case segment when 'AUTOMOBILE' then 'Mcd Store' when 'BUILDING' then 'Fm Mart' "
     "when 'FURNITURE' then 'Hero Market' else concat('Corner ', segment) end"
 )
+TRADING = f"case when flag = 'R' then 'Toko Else' else concat('Toko ', {WORD}, ' ', line_status) end"
 MID = "concat('M', lpad(cast(account_id as string), 10, '0'))"
 # Remark and charge-back marks of the wallet reports.
 REMARK = "case when qty <= 15 then null when qty = 16 then 'Force Credit by ops' else 'ok' end"
@@ -156,7 +170,7 @@ REPORTS: dict[str, tuple[bool, list[str]]] = {
             "cast(trx_id as string) as Transaction_ID",
             "gross as Amount",
             "case when disc = 10 then 'Cancelled' else 'Settled' end as Status",
-            f"{STORE} as Store_Name",
+            "store as Store_Name",
         ],
     ),
     "recon_indodana_report": (
@@ -192,8 +206,8 @@ REPORTS: dict[str, tuple[bool, list[str]]] = {
     "recon_mandiri_bank_report": (
         True,
         [
-            f"{MID} as MID",
-            f"case when flag = 'R' then 'Toko Else' else concat('Toko ', {WORD}, ' ', line_status) end as trading_name",
+            "mid as MID",
+            "trading as trading_name",
             "cast(ts as date) as TRXDATE",
             "date_format(ts, 'HH:mm:ss') as TRXTIME",
             "cast(trx_id as string) as reff_id",
@@ -205,7 +219,7 @@ REPORTS: dict[str, tuple[bool, list[str]]] = {
         True,
         [
             "cast(trx_id as string) as bill_number",
-            f"{MID} as mid",
+            "mid",
             f"concat('Outlet ', {WORD}) as nama_merchant",
             "gross as nominal",
             "net as net_amount",
@@ -289,22 +303,23 @@ DESCRIPTION_PLAIN = f"concat('TRF ', {KEYWORD}, ' ', upper({WORD}), case when qt
 DESCRIPTION = f"case when qty = 13 then lower({DESCRIPTION_PLAIN}) else {DESCRIPTION_PLAIN} end"
 
 STATEMENTS: dict[str, list[str]] = {
-    banks.BTN_FILE: [f"{POSTED} as post_date", f"{DESCRIPTION} as description", f"{PAID} as amount_credit"],
+    banks.BTN_FILE: ["posted as post_date", "description", "paid as amount_credit"],
     banks.BCA_FILE: [
-        f"cast({POSTED} as date) as transaction_date",
-        f"{DESCRIPTION} as description",
-        f"{PAID} as transaction_amount",
+        "cast(posted as date) as transaction_date",
+        "description",
+        "cast(null as string) as branch",
+        "paid as transaction_amount",
     ],
     banks.BNI_FILE: [
-        f"date_format({POSTED}, case when day({POSTED}) % 2 = 0 then 'dd/MM/yy HH.mm' "
+        "date_format(posted, case when day(posted) % 2 = 0 then 'dd/MM/yy HH.mm' "
         "else 'dd/MM/yy HH.mm.ss' end) as post_date",
-        f"{DESCRIPTION} as description",
-        f"{PAID} as credit",
+        "description",
+        "paid as credit",
     ],
     banks.MANDIRI_FILE: [
-        f"{POSTED} as postdate",
-        f"concat({MID}, case when qty = 22 then ' OTHER' else ' QRIS SETTLEMENT' end) as remarks",
-        f"{PAID} as credit_amount",
+        "posted as postdate",
+        "concat(mid, case when qty = 22 then ' OTHER' else ' QRIS SETTLEMENT' end) as remarks",
+        "paid as credit_amount",
     ],
 }
 # Which issuers pay into which bank account.
@@ -319,13 +334,13 @@ ACCOUNT_OF = {
 def report(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """All payments read as one issuer's report."""
     needs_merchant, columns = REPORTS[table]
-    rows = merchant_payments(spark, folder) if needs_merchant else payments(spark, folder)
+    rows = described(merchant_payments(spark, folder)) if needs_merchant else payments(spark, folder)
     return conform(rows.selectExpr(*columns), table)
 
 
 def statement(spark: SparkSession, folder: str, table: str) -> DataFrame:
     """All payments read as lines of one bank's statement."""
-    return conform(merchant_payments(spark, folder).selectExpr(*STATEMENTS[table]), table)
+    return conform(described(merchant_payments(spark, folder)).selectExpr(*STATEMENTS[table]), table)
 
 
 def production_tables(rows: DataFrame, spark: SparkSession, folder: str) -> dict[str, DataFrame]:
@@ -335,7 +350,7 @@ def production_tables(rows: DataFrame, spark: SparkSession, folder: str) -> dict
         "issuer",
         "account_id",
         "account_id as merchant_id",
-        f"{STORE} as merch_name",
+        "segment as merch_name",
         "case when flag = 'R' then 'E-money Reversal' when qty = 23 then 'Adjustment' "
         "else 'Customer Purchase' end as txn_type",
         "concat('INT', cast(trx_id as string)) as internal_ref_field",
@@ -350,7 +365,7 @@ def production_tables(rows: DataFrame, spark: SparkSession, folder: str) -> dict
         "c_custkey as account_id", "c_mktsegment as vendor_type", "c_mktsegment as referral_code_acquisition"
     )
     transactions = rows.groupBy("trx_id").agg(
-        F.expr("case when max(line_status) = 'O' then 'OFF US' else 'ON US' end").alias("onus_offus"),
+        F.expr("case when max(cast(line_status = 'O' as int)) = 1 then 'OFF US' else 'ON US' end").alias("onus_offus"),
         F.max("ts").alias("trx_date"),
     )
     return {
@@ -365,19 +380,16 @@ def pipeline_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     """All inputs of the full report: each payment belongs to one issuer's report and one statement."""
     rows = staged_payments(spark, folder)
     tables = production_tables(rows, spark, folder)
-    category = F.expr(
-        "case segment when 'AUTOMOBILE' then 'mcd' when 'MACHINERY' then 'expansion' else 'msme' end"
-    )
+    category = "case segment when 'AUTOMOBILE' then 'mcd' when 'MACHINERY' then 'expansion' else 'msme' end"
     for name, (table, _) in issuers.REPORTS.items():
-        own = rows.where(F.col("issuer") == name.split("_")[0].upper())
+        own = f"issuer = '{name.split('_')[0].upper()}'"
         if name.startswith("linkaja"):
-            own = own.where(category == name.split("_")[1])
-        tables[table] = conform(own.selectExpr(*REPORTS[table][1]), table)
+            own += f" and {category} = '{name.split('_')[1]}'"
+        tables[table] = rows.where(own).selectExpr(*REPORTS[table][1])
     for table, columns in STATEMENTS.items():
-        paid_here = F.col("issuer").isin(ACCOUNT_OF[table])
+        paid_here = "issuer in ({})".format(", ".join(f"'{i}'" for i in ACCOUNT_OF[table]))
         if table in (banks.BCA_FILE, banks.BNI_FILE):
-            expansion = category == "expansion"
-            by_category = expansion if table == banks.BCA_FILE else ~expansion
-            paid_here = paid_here | ((F.col("issuer") == "LINKAJA") & by_category)
-        tables[table] = conform(rows.where(paid_here).selectExpr(*columns), table)
+            sign = "=" if table == banks.BCA_FILE else "<>"
+            paid_here += f" or (issuer = 'LINKAJA' and {category} {sign} 'expansion')"
+        tables[table] = rows.where(paid_here).selectExpr(*columns)
     return tables

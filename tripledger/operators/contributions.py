@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.operators.spine import label
-from tripledger.schemas import CONTRIBUTION, KEYS, METRIC_TYPE, METRICS
+from tripledger.schemas import KEYS, METRIC_TYPE, METRICS
 
 SIDES = {"yti": METRICS[0:3], "issuer": METRICS[3:6]}
 
@@ -39,20 +39,15 @@ def received(rows: DataFrame) -> DataFrame:
 
 def as_contribution(df: DataFrame) -> DataFrame:
     """The ten-column flat row; measures the frame does not carry are typed NULLs."""
-    return df.select(
+    return df.selectExpr(
         *KEYS,
-        *[
-            (F.col(m) if m in df.columns else F.lit(None)).cast(METRIC_TYPE).alias(m)
-            for m in METRICS
-        ],
+        *[f"cast({m if m in df.columns else 'null'} as {METRIC_TYPE}) as {m}" for m in METRICS],
     )
 
 
 def union_contributions(frames: Sequence[DataFrame]) -> DataFrame:
     """UNION ALL by column name."""
-    return reduce(lambda a, b: a.unionByName(b), [as_contribution(f) for f in frames]).select(
-        *CONTRIBUTION
-    )
+    return reduce(lambda a, b: a.unionByName(b), [as_contribution(f) for f in frames])
 
 
 def whole(amount: Column) -> Column:

@@ -30,21 +30,29 @@ def date_part(ts: Column) -> Column:
 
 
 def at_or_after(ts: Column, clock: str) -> Column:
-    return second_of_day(ts) >= clock_seconds(clock)
+    seconds = clock_seconds(clock)
+    return F.hour(ts) >= seconds // 3600 if seconds % 3600 == 0 else second_of_day(ts) >= seconds
+
+
+def _rest_of_day(clock: str) -> Column:
+    """Time from the cut-off to midnight."""
+    return F.expr(f"INTERVAL '{86400 - clock_seconds(clock)}' SECOND")
 
 
 def cutoff_shift(ts: Column, clock: str) -> Column:
-    """Receival date: at or after the cut-off belongs to the next day."""
-    return F.when(at_or_after(ts, clock), F.date_add(date_part(ts), 1)).otherwise(date_part(ts))
+    """Receival date: at or after the cut-off belongs to the next day.
+
+    Moving the clock ahead by the rest of the day makes the cut-off the day boundary.
+    """
+    return date_part(ts + _rest_of_day(clock))
 
 
 def cutoff_shift_by(issuer: Column, ts: Column, cutoffs: Mapping[str, str]) -> Column:
     """Cut-off per issuer; an issuer without a rule keeps its calendar date."""
-    day = date_part(ts)
-    late = F.lit(False)
+    ahead = F.expr("INTERVAL '0' SECOND")
     for name, clock in cutoffs.items():
-        late = late | ((issuer == name) & at_or_after(ts, clock))
-    return F.when(late, F.date_add(day, 1)).otherwise(day)
+        ahead = F.when(issuer == name, _rest_of_day(clock)).otherwise(ahead)
+    return date_part(ts + ahead)
 
 
 def overnight(ts: Column, night: str = "22:00:00", morning: str = "10:00:00") -> Column:

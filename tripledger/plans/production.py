@@ -36,13 +36,16 @@ def join_merchant(settlement: DataFrame, merchants: DataFrame) -> DataFrame:
 def join_transactions(
     settlement: DataFrame, transactions: DataFrame, rules: ReconRules
 ) -> DataFrame:
-    """Left join to the transactions of the on/off-us lookback; the id is compared as text."""
+    """Left join to the transactions of the on/off-us lookback; the id is compared as text.
+
+    The text id stays in the frame as ``trx``: rows are then already partitioned by it, and the
+    distinct count of ids needs no shuffle of its own.
+    """
     recent = transactions.where(
         timing.in_last_months(F.col("trx_date"), rules.as_of, rules.onus_months)
     ).select(F.col("trx_id").alias("st_trx_id"), "onus_offus")
-    return settlement.join(
-        recent, settlement.credit_trans_trx_id.cast("string") == recent.st_trx_id, "left"
-    )
+    keyed = settlement.withColumn("trx", F.col("credit_trans_trx_id").cast("string"))
+    return keyed.join(recent, keyed.trx == recent.st_trx_id, "left")
 
 
 def txn_ref(ts: Column, internal: Column, issuer: Column, migration: str) -> Column:
@@ -83,6 +86,7 @@ def enrich_settlement(
         txn_ref(ts, F.col("internal_ref_field"), F.col("issuer_ref_field"), rules.migration).alias("txn_ref"),
         "issuer_txn_ref",
         "credit_trans_trx_id",
+        "trx",
         "terminal_id",
         "onus_offus",
         classify.mdr_rate(issuer, F.col("onus_offus"), rules.rates, rules.default_rate).alias("mdr"),
@@ -148,7 +152,7 @@ def classify_production(enriched: DataFrame, rules: ReconRules) -> DataFrame:
             F.col("adjusted_date").alias("receival_date"),
             F.element_at(banks, F.col("rule")).alias("bank"),
             _remarks(listed).alias("remarks"),
-            F.col("credit_trans_trx_id").alias("trx"),
+            "trx",
             F.when(netted, purchase_minus_reversal(F.col("txn_type"), gmv)).otherwise(gmv).alias("gross"),
             "mdr",
             F.when(netted, F.col("mdr").cast("string"))

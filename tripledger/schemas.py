@@ -184,10 +184,7 @@ def cell(value: Column, to: str | DataType) -> Column:
 
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project by name (case ignored) to a landed schema; columns the frame lacks become typed NULLs."""
-    have = {c.lower(): c for c in df.columns}
-    return df.select(
-        *[
-            (F.col(f"`{have[n.lower()]}`") if n.lower() in have else F.lit(None)).cast(t).alias(n)
-            for n, t in TABLES[table].columns
-        ]
+    have = {c.lower(): f"`{c}`" for c in df.columns}
+    return df.selectExpr(
+        *[f"cast({have.get(n.lower(), 'null')} as {t}) as `{n}`" for n, t in TABLES[table].columns]
     )
