@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripledger.functions.text import blank_if_null
+from tripledger.functions.text import bind, blank_if_null
 from tripledger.operators.timing import NTZ, century
 
 DAY, MINUTE = "yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss"
@@ -41,12 +41,16 @@ def reshape(
     text: Column, shapes: Sequence[tuple[str, str]], otherwise: Column, strict: bool = False
 ) -> Column:
     """First shape that fits the padded (if strict: the given) text, rewritten; else the given value."""
-    ready = text if strict else padded(text)
-    chain = None
-    for pattern, target in shapes:
-        fits, moved = ready.rlike(pattern), F.regexp_replace(ready, pattern, target)
-        chain = F.when(fits, moved) if chain is None else chain.when(fits, moved)
-    return chain.otherwise(otherwise)
+
+
+    def rewrite(ready: Column) -> Column:
+        chain = None
+        for pattern, target in shapes:
+            fits, moved = ready.rlike(pattern), F.regexp_replace(ready, pattern, target)
+            chain = F.when(fits, moved) if chain is None else chain.when(fits, moved)
+        return chain.otherwise(F.lit(None).cast("string"))
+
+    return F.coalesce(rewrite(text) if strict else bind(padded(text), rewrite), otherwise)
 
 
 def iso_moment(text: Column) -> Column:
@@ -70,24 +74,37 @@ def with_clock(day: Column, clock: Column, half: Column) -> Column:
     )
 
 
-def free_moment(c: Column) -> Column:
-    """Timestamp without zone of a free-form text, NULL if no form fits."""
-    text = F.regexp_replace(F.regexp_replace(F.upper(F.trim(c)), WEEKDAY, ""), ZONE, "")
-    text = padded(text)
-    day = F.regexp_extract(text, FREE, 1)
+def _free_parts(text: Column) -> Column:
+    return F.struct(
+        F.regexp_extract(text, FREE, 1).alias("day"),
+        F.regexp_extract(text, FREE, 2).alias("clock"),
+        F.regexp_extract(text, FREE, 3).alias("half"),
+    )
 
+
+def _free_day(day: Column) -> Column:
     def named(pattern: str, month: int, number: int) -> Column:
         parts = [F.regexp_extract(day, pattern, i) for i in (3, month, number)]
         return F.concat_ws("-", parts[0], month_number(parts[1]), parts[2])
 
-    iso = reshape(day, FREE_DAYS, otherwise=F.lit(None), strict=True)
-    iso = (
+    return (
         F.when(day.rlike(MONTH_NAME_FIRST), named(MONTH_NAME_FIRST, 1, 2))
         .when(day.rlike(MONTH_NAME_SECOND), named(MONTH_NAME_SECOND, 2, 1))
-        .otherwise(iso)
+        .otherwise(reshape(day, FREE_DAYS, otherwise=F.lit(None), strict=True))
     )
-    clock, half = F.regexp_extract(text, FREE, 2), F.regexp_extract(text, FREE, 3)
-    return F.when(iso.isNotNull(), with_clock(iso, clock, half))
+
+
+def free_moment(c: Column) -> Column:
+    """Timestamp without zone of a free-form text, NULL if no form fits."""
+    bare = F.regexp_replace(F.regexp_replace(F.upper(F.trim(c)), WEEKDAY, ""), ZONE, "")
+
+    def read(parts: Column) -> Column:
+        return bind(
+            _free_day(parts["day"]),
+            lambda day: F.when(day.isNotNull(), with_clock(day, parts["clock"], parts["half"])),
+        )
+
+    return bind(padded(bare), lambda text: bind(_free_parts(text), read))
 
 
 def as_day(moment: Column) -> Column:
@@ -104,23 +121,6 @@ def year_from(text: Column, first_of_1900s: int) -> Column:
     return F.when(n < 100, century(n, first_of_1900s)).otherwise(n)
 
 
-def build_moment(
-    year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column
-) -> Column:
-    """Timestamp of its parts, NULL if one is missing or out of range. Blank seconds are zero."""
-    parts = [
-        F.lpad(year.cast("string"), 4, "0"),
-        month,
-        day,
-        F.lpad(hour.cast("string"), 2, "0"),
-        minute,
-        F.when(second == "", "00").otherwise(second),
-    ]
-    y, mo, d, h, mi, s = parts
-    dash, colon = F.lit("-"), F.lit(":")
-    return iso_moment(F.concat(y, dash, mo, dash, d, F.lit(" "), h, colon, mi, colon, s))
-
-
 def serial_day(serial: Column) -> Column:
     """Date of a spreadsheet day number."""
     return F.date_add(F.lit("1899-12-30").cast("date"), serial.try_cast("double").cast("int"))
@@ -160,24 +160,22 @@ BCA_ISO = r"^(\d{4})[-/](\d{2})[-/](\d{2})[ T](\d{2}):(\d{2})(?::(\d{2}))?.*$"
 
 def moment_bca(c: Column) -> Column:
     """Issuer BCA: month first with an optional half-day mark, or year first, or free form."""
-    text = F.upper(padded(F.trim(c)))
 
-    def part(i: int) -> Column:
-        return F.regexp_extract(text, BCA_FORM, i)
+    def read(text: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.regexp_extract(text, BCA_FORM, i)
+
+        year = year_from(part(3), 71).cast("string")
+        day = F.concat_ws("-", year, part(1), part(2))
+        clock = F.concat_ws(":", F.lpad(part(4), 2, "0"), part(5), F.nullif(part(6), F.lit("")))
+        iso = F.regexp_replace(text, BCA_ISO, "$1-$2-$3 $4:$5:$6")
+        return (
+            F.when(text.rlike(BCA_FORM), with_clock(day, clock, part(7)))
+            .when(text.rlike(BCA_ISO), iso_moment(F.regexp_replace(iso, ":$", ":00")))
+            .otherwise(free_moment(c))
+        )
 
-    hour = part(4).try_cast("int")
-    half = part(7)
-    hour = (
-        F.when((half == "PM") & (hour < 12), hour + 12).when((half == "AM") & (hour == 12), 0).otherwise(hour)
-    )
-    month_first = build_moment(year_from(part(3), 71), part(1), part(2), hour, part(5), part(6))
-    iso = F.regexp_replace(text, BCA_ISO, "$1-$2-$3 $4:$5:$6")
-    year_first = iso_moment(F.regexp_replace(iso, ":$", ":00"))
-    return (
-        F.when(text.rlike(BCA_FORM), month_first)
-        .when(text.rlike(BCA_ISO), year_first)
-        .otherwise(free_moment(c))
-    )
+    return bind(F.upper(padded(F.trim(c))), read)
 
 
 def moment_text_bca(c: Column) -> Column:
@@ -192,8 +190,8 @@ def _checked(iso_day: Column) -> Column:
 def day_mandiri(c: Column) -> Column:
     """Issuer Mandiri: day or year first; other text becomes blank, blank stays."""
     text = F.trim(c)
-    shaped = reshape(text, [(DAY_FIRST, "$3-$2-$1"), (YEAR_FIRST, "$1-$2-$3")], otherwise=F.lit(""))
-    return F.when(shaped == "", F.lit("")).otherwise(_checked(shaped))
+    shaped = reshape(text, [(DAY_FIRST, "$3-$2-$1"), (YEAR_FIRST, "$1-$2-$3")], otherwise=F.lit(None))
+    return checked_or(shaped, F.lit(""))
 
 
 def moment_text(c: Column) -> Column:
@@ -217,27 +215,33 @@ OTTO_MONTH_FIRST = [
 
 def moment_otto(c: Column) -> Column:
     """OttoPay date-time text: ISO, month first, slashed ISO, spreadsheet serial; else single-spaced."""
-    text = F.trim(c)
-    month_first = reshape(text, OTTO_MONTH_FIRST, otherwise=F.lit(None))
-    shaped = reshape(text, OTTO_STRICT, otherwise=month_first, strict=True)
-    shaped = F.regexp_replace(shaped, ":$", ":00")
-    serial = F.when(text.rlike(SERIAL) & (text.try_cast("double") > 59), serial_moment_text(text))
-    return blank_if_null(F.coalesce(shaped, serial, F.regexp_replace(text, r"\s+", " ")))
+
+    def read(text: Column) -> Column:
+        month_first = reshape(text, OTTO_MONTH_FIRST, otherwise=F.lit(None))
+        shaped = reshape(text, OTTO_STRICT, otherwise=month_first, strict=True)
+        serial = F.when(text.rlike(SERIAL) & (text.try_cast("double") > 59), serial_moment_text(text))
+        return F.coalesce(
+            F.regexp_replace(shaped, ":$", ":00"), serial, F.regexp_replace(text, r"\s+", " ")
+        )
+
+    return blank_if_null(bind(F.trim(c), read))
 
 
 def day_otto(c: Column) -> Column:
     """OttoPay date: day first only if the first number cannot be a month."""
     text = F.trim(c)
-    ready = padded(text)
-    day_first = ready.rlike(DAY_FIRST) & (F.substring(ready, 1, 2).try_cast("int") > 12)
-    moment = moment_otto(text)
-    return blank_if_null(
-        F.when(day_first, F.regexp_replace(ready, DAY_FIRST, "$3-$2-$1"))
-        .when(ready.rlike(DAY_FIRST), F.regexp_replace(ready, DAY_FIRST, "$3-$1-$2"))
-        .when(text.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.replace(text, F.lit("/"), F.lit("-")))
-        .when(text.contains(" "), F.split_part(moment, F.lit(" "), F.lit(1)))
-        .otherwise(text)
-    )
+
+    def read(ready: Column) -> Column:
+        day_first = ready.rlike(DAY_FIRST) & (F.substring(ready, 1, 2).try_cast("int") > 12)
+        return (
+            F.when(day_first, F.regexp_replace(ready, DAY_FIRST, "$3-$2-$1"))
+            .when(ready.rlike(DAY_FIRST), F.regexp_replace(ready, DAY_FIRST, "$3-$1-$2"))
+            .when(text.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.replace(text, F.lit("/"), F.lit("-")))
+            .when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(1)))
+            .otherwise(text)
+        )
+
+    return blank_if_null(bind(padded(text), read))
 
 
 ID_FORM = r"^(\d{2})[/-](\d{2})[/-](\d{2}|\d{4})(?:\s+(\d{2})[.:](\d{2})(?:[.:](\d{2}))?)?$"
@@ -246,23 +250,24 @@ ID_FORM = r"^(\d{2})[/-](\d{2})[/-](\d{2}|\d{4})(?:\s+(\d{2})[.:](\d{2})(?:[.:](
 def moment_id(c: Column) -> Column:
     """Dashboard moment: day first with optional clock, spreadsheet serial, or free form; else NULL."""
     text = F.trim(c)
-    ready = padded(text)
 
-    def part(i: int, default: str = "") -> Column:
-        value = F.regexp_extract(ready, ID_FORM, i)
-        return F.when(value == "", F.lit(default)).otherwise(value) if default else value
+    def read(ready: Column) -> Column:
+        def part(i: int) -> Column:
+            return F.nullif(F.regexp_extract(ready, ID_FORM, i), F.lit(""))
 
-    formed = build_moment(
-        year_from(part(3), 70), part(2), part(1), part(4, "00"), part(5, "00"), part(6, "00")
-    )
-    serial = F.to_timestamp_ntz(F.lit("1899-12-30 00:00:00")) + F.make_dt_interval(
-        secs=F.floor(F.round(text.try_cast("double") * 86400, 3)).cast("decimal(18,6)")
-    )
-    return (
-        F.when(ready.rlike(ID_FORM), formed)
-        .when(text.rlike(SERIAL), serial)
-        .otherwise(free_moment(text))
-    )
+        year = year_from(part(3), 70).cast("string")
+        clock = blank_if_null(F.concat_ws(":", part(4), part(5), part(6)))
+        formed = with_clock(F.concat_ws("-", year, part(2), part(1)), clock, F.lit(""))
+        serial = F.to_timestamp_ntz(F.lit("1899-12-30 00:00:00")) + F.make_dt_interval(
+            secs=F.floor(F.round(text.try_cast("double") * 86400, 3)).cast("decimal(18,6)")
+        )
+        return (
+            F.when(ready.rlike(ID_FORM), formed)
+            .when(text.rlike(SERIAL), serial)
+            .otherwise(free_moment(text))
+        )
+
+    return bind(padded(text), read)
 
 
 NOBU_SHAPES = [
@@ -271,13 +276,16 @@ NOBU_SHAPES = [
 ]
 
 
+def checked_or(shaped: Column, otherwise: Column) -> Column:
+    """The shaped day if there is one (NULL if that day does not exist), else the other value."""
+    return bind(shaped, lambda d: F.when(d.isNotNull(), _checked(d)).otherwise(otherwise))
+
+
 def day_nobu(c: Column) -> Column:
     """Nobu date: day or year first, anything after the date ignored; else free form; else unchanged."""
     text = F.trim(c)
     shaped = reshape(text, NOBU_SHAPES, otherwise=F.lit(None))
-    return F.when(shaped.isNotNull(), _checked(shaped)).otherwise(
-        F.coalesce(as_day(free_moment(text)), text)
-    )
+    return checked_or(shaped, F.coalesce(as_day(free_moment(text)), text))
 
 
 BRI_SHAPES = [
@@ -302,8 +310,7 @@ def day_bri(c: Column) -> Column:
 
 def day_bank_bca(c: Column) -> Column:
     """Statement date, day first. A day that does not exist is NULL; other text stays."""
-    shaped = reshape(c, [(DAY_FIRST, "$3-$2-$1")], otherwise=F.lit(None))
-    return F.when(shaped.isNotNull(), _checked(shaped)).otherwise(c)
+    return checked_or(reshape(c, [(DAY_FIRST, "$3-$2-$1")], otherwise=F.lit(None)), c)
 
 
 BANK_BTN_SHAPES = [

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -11,6 +11,15 @@ from pyspark.sql import functions as F
 ALL_DIGITS = r"^\d+$"
 
 
+def bind(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate a costly expression once and use it many times.
+
+    Repeating it in every CASE branch would run its regular expressions again in each and could
+    outgrow the size limit of a compiled stage.
+    """
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def blank_if_null(c: Column) -> Column:
     return F.coalesce(c, F.lit(""))
 

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tripledger.functions.dates import moment_otto, padded, seconds_clock, with_clock
-from tripledger.functions.text import blank_if_null, count_char, pad_left
+from tripledger.functions.text import bind, blank_if_null, count_char, pad_left
 
 
 def _held(text: Column, highest: int) -> Column:
@@ -22,26 +22,30 @@ def clock_btn(c: Column) -> Column:
     """
     digits = F.regexp_replace(F.trim(c), "[^0-9.:]", "")
     parts = F.btrim(F.regexp_replace(digits, "[.:]+", ":"), F.lit(":"))
-    marks = count_char(parts, ":")
-
-    def part(i: int) -> Column:
-        return F.split_part(parts, F.lit(":"), F.lit(i))
-
-    compact = pad_left(parts, 6)
-    minutes = pad_left(part(2), 4)
-    hour = F.when(marks == 0, F.substring(compact, 1, 2)).otherwise(part(1))
-    minute = (
-        F.when(marks == 0, F.substring(compact, 3, 2))
-        .when(marks == 1, F.substring(minutes, 1, 2))
-        .otherwise(part(2))
-    )
-    second = (
-        F.when(marks == 0, F.substring(compact, 5, 2))
-        .when(marks == 1, F.substring(minutes, 3, 2))
-        .otherwise(part(3))
-    )
-    clock = F.concat_ws(":", _held(hour, 23), _held(minute, 59), _held(second, 59))
-    return F.when(c.isNull(), "").otherwise(clock)
+
+    def read(text: Column) -> Column:
+        marks = count_char(text, ":")
+        compact, minutes = pad_left(text, 6), pad_left(F.split_part(text, F.lit(":"), F.lit(2)), 4)
+        # Always three parts: HHMMSS and H:MMSS are cut into them.
+        three = (
+            F.when(marks == 0, F.regexp_replace(compact, "^(..)(..)(..).*$", "$1:$2:$3"))
+            .when(
+                marks == 1,
+                F.concat(
+                    F.split_part(text, F.lit(":"), F.lit(1)),
+                    F.regexp_replace(minutes, "^(..)(..).*$", ":$1:$2"),
+                ),
+            )
+            .otherwise(text)
+        )
+        return bind(
+            F.split(three, ":"),
+            lambda p: F.concat_ws(
+                ":", *[_held(F.get(p, F.lit(i)), top) for i, top in enumerate((23, 59, 59))]
+            ),
+        )
+
+    return F.when(c.isNull(), "").otherwise(bind(parts, read))
 
 
 def clock_mandiri(c: Column) -> Column:
@@ -60,14 +64,16 @@ CLOCK = r"^(\d{2}):(\d{2})(?::(\d{2}))?$"
 def clock_otto(c: Column) -> Column:
     """OttoPay clock: padded parts, missing seconds are zero; the clock of a date-time; else unchanged."""
     text = F.trim(c)
-    ready = padded(text)
-    clock = F.regexp_replace(F.regexp_replace(ready, CLOCK, "$1:$2:$3"), ":$", ":00")
-    moment = moment_otto(text)
-    return blank_if_null(
-        F.when(ready.rlike(CLOCK), clock)
-        .when(text.contains(" "), F.split_part(moment, F.lit(" "), F.lit(2)))
-        .otherwise(text)
-    )
+
+    def read(ready: Column) -> Column:
+        clock = F.regexp_replace(F.regexp_replace(ready, CLOCK, "$1:$2:$3"), ":$", ":00")
+        return (
+            F.when(ready.rlike(CLOCK), clock)
+            .when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(2)))
+            .otherwise(text)
+        )
+
+    return blank_if_null(bind(padded(text), read))
 
 
 def clock_bri(c: Column) -> Column:
@@ -86,9 +92,10 @@ BANK_CLOCK = r"^(\d{2}:\d{2}(?::\d{2})?)\s*(AM|PM)?$"
 
 def clock_bank_btn(c: Column) -> Column:
     """Statement clock in 24- or 12-hour form; what cannot be read stays."""
-    ready = padded(F.upper(F.trim(c)))
-    moment = with_clock(
-        F.lit("1970-01-01"), F.regexp_extract(ready, BANK_CLOCK, 1), F.regexp_extract(ready, BANK_CLOCK, 2)
-    )
-    clock = F.when(ready.rlike(BANK_CLOCK), F.date_format(moment, "HH:mm:ss"))
-    return blank_if_null(F.coalesce(clock, c))
+
+    def read(ready: Column) -> Column:
+        clock, half = [F.regexp_extract(ready, BANK_CLOCK, i) for i in (1, 2)]
+        moment = with_clock(F.lit("1970-01-01"), clock, half)
+        return F.when(ready.rlike(BANK_CLOCK), F.date_format(moment, "HH:mm:ss"))
+
+    return blank_if_null(F.coalesce(bind(padded(F.upper(F.trim(c))), read), c))
