@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["recon", "expressions", "scalars"]
+MODULES = ["recon", "expressions", "scalars", "formats", "files"]
 
 
 def load():

@@ -91,6 +91,7 @@ def payments(spark: SparkSession, folder: str) -> DataFrame:
             "l_orderkey as order_id",
             "l_orderkey * 10 + l_linenumber as trx_id",
             "l_partkey as part_id",
+            "l_suppkey as supp",
             f"l_shipdate + make_dt_interval(0, 0, 0, {seconds}) as ts",
             f"{_ISSUER} as issuer",
             f"{gmv} as gmv",

@@ -55,6 +55,11 @@ def amount_or_zero(c: Column) -> Column:
     return F.coalesce(F.when(c.rlike(NUMBER), c.try_cast(NUMERIC)), _zero())
 
 
+def grouped_amount(c: Column) -> Column:
+    """Number with or without group marks; zero if it is none."""
+    return amount_or_zero(strip_grouping(F.trim(c)))
+
+
 def amount_from_digits(c: Column) -> Column:
     """Amount from the digits, dots and minus signs of the text; zero if they form no number."""
     return F.coalesce(F.regexp_replace(c, "[^0-9.-]", "").try_cast(NUMERIC), _zero())
