@@ -225,7 +225,7 @@ def _(spark, folder):
       ELSE 'ELSE' END AS segment FROM part""",
 )
 def _(spark, folder):
-    name = F.col("p_name")
+    name = F.upper("p_name")
     cases = [(classify.like_any(name, ["red", "blue"]), "Colour"), (classify.like_any(name, ["RING"]), "Ring")]
     return read_table(spark, folder, "part").select(
         "p_partkey", classify.first_match(cases, "ELSE").alias("segment")
@@ -235,7 +235,7 @@ def _(spark, folder):
 @query("desc_classify", f"{LINES} SELECT trx_id, {duck.BNI_CLASS} AS remarks FROM lines")
 def _(spark, folder):
     rows = standins.described(merchant_payments(spark, folder))
-    return rows.select("trx_id", classify.nested_words(F.col("description"), RULES.bni_groups).alias("remarks"))
+    return rows.select("trx_id", classify.nested_words(F.upper("description"), RULES.bni_groups).alias("remarks"))
 
 
 @query(
@@ -270,7 +270,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     rows = standins.described(merchant_payments(spark, folder))
-    segment = classify.segment_like(F.col("description"), RULES.kredivo_codes, RULES.kredivo_default)
+    segment = classify.segment_like(F.upper("description"), RULES.kredivo_codes, RULES.kredivo_default)
     return rows.select("trx_id", segment.alias("remarks"))
 
 

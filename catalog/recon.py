@@ -85,7 +85,7 @@ _LINES = duck.MPAY + ",\n" + duck.LINES.format(name="lines", source="mpay")
     ),
 )
 def _(spark, folder):
-    return banks.file_btn(statement(spark, folder, banks.BTN_FILE))
+    return banks.file_btn(statement(spark, folder, banks.BTN_FILE)).drop("upper")
 
 
 @query(
@@ -98,7 +98,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return banks.file_bca(statement(spark, folder, banks.BCA_FILE))
+    return banks.file_bca(statement(spark, folder, banks.BCA_FILE)).drop("upper")
 
 
 @query(
@@ -111,7 +111,7 @@ def _(spark, folder):
     ),
 )
 def _(spark, folder):
-    return banks.file_bni(statement(spark, folder, banks.BNI_FILE), RULES)
+    return banks.file_bni(statement(spark, folder, banks.BNI_FILE), RULES).drop("upper")
 
 
 _MANDIRI = ",\n".join([_LINES, duck.NAMES.format(source="mpay"), duck.FILE_MANDIRI.format(lines="lines")])

@@ -30,9 +30,9 @@ def any_of(conditions: Iterable[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions, F.lit(False))
 
 
-def like_any(text: Column, words: Sequence[str]) -> Column:
-    """Upper-case contains for any of the words."""
-    return any_of(F.upper(text).contains(w.upper()) for w in words)
+def like_any(upper: Column, words: Sequence[str]) -> Column:
+    """Contains any of the words. The text comes in upper case, so that it is folded only once."""
+    return any_of(upper.contains(w.upper()) for w in words)
 
 
 def segment_exact(text: Column, names: Mapping[str, str], default: str) -> Column:
@@ -40,9 +40,9 @@ def segment_exact(text: Column, names: Mapping[str, str], default: str) -> Colum
     return first_match(((F.lower(text) == n.lower(), seg) for n, seg in names.items()), default)
 
 
-def segment_like(text: Column, words: Sequence[tuple[str, str]], default: str) -> Column:
-    """Segment by contained word, in rule order."""
-    return first_match(((like_any(text, [w]), seg) for w, seg in words), default)
+def segment_like(upper: Column, words: Sequence[tuple[str, str]], default: str) -> Column:
+    """Segment by contained word of an upper-case text, in rule order."""
+    return first_match(((like_any(upper, [w]), seg) for w, seg in words), default)
 
 
 @dataclass(frozen=True)
@@ -99,14 +99,14 @@ def mdr_rate(issuer: Column, onus_offus: Column, rules: Sequence[RateRule], defa
 
 
 def nested_words(
-    text: Column, groups: Sequence[tuple[str, str, Sequence[tuple[str, str]]]], other: str = "Other"
+    upper: Column, groups: Sequence[tuple[str, str, Sequence[tuple[str, str]]]], other: str = "Other"
 ) -> Column:
     """Two-level description class: (word, prefix, inner words); inner default is ``<prefix> - Other``."""
     return first_match(
         (
             (
-                like_any(text, [word]),
-                F.concat(F.lit(f"{prefix} - "), segment_like(text, inner, "Other")),
+                like_any(upper, [word]),
+                F.concat(F.lit(f"{prefix} - "), segment_like(upper, inner, "Other")),
             )
             for word, prefix, inner in groups
         ),
@@ -124,13 +124,9 @@ class Route:
     day: Column
     ignore_case: bool = True
 
-    def hit(self, description: Column) -> Column:
+    def hit(self, description: Column, upper: Column) -> Column:
         """(receival_date, bank, remarks) when the line pays this issuer, else NULL."""
-        found = (
-            F.upper(description).contains(self.word.upper())
-            if self.ignore_case
-            else description.contains(self.word)
-        )
+        found = upper.contains(self.word.upper()) if self.ignore_case else description.contains(self.word)
         return F.when(found, target(self.day, self.bank, self.remark))
 
 

@@ -61,19 +61,37 @@ def sum_of_rounded(contributions: DataFrame, keys: Sequence[str | Column]) -> Da
 
 
 def on_spine(spine: DataFrame, contributions: DataFrame) -> DataFrame:
-    """Left join the spine to the contributions on (date, label).
+    """Left join of the spine with the contributions on (date, label), summed per spine row.
 
-    The contributions are summed to one row per (date, label) first, so the join sees at most
-    days x labels rows and cannot multiply.
+    Written as one aggregation over spine rows and contributions together, keeping the groups that
+    hold a spine row. A join would first sum and shuffle both sides, and its not-null conditions on
+    the label would be pushed into every scan, where they repeat the whole classification per row.
     """
-    totals = sum_of_rounded(
-        contributions.withColumn("issuer_name", label(F.col("bank"), F.col("remarks"))).where(
-            F.col("issuer_name").isNotNull()
-        ),
-        ["receival_date", "issuer_name"],
+    here = F.lit(True)
+    dense = spine.select(
+        "receival_date",
+        "issuer_name",
+        "bank",
+        F.col("remark").alias("remarks"),
+        *[F.lit(None).cast(METRIC_TYPE).alias(m) for m in METRICS],
+        here.alias("in_spine"),
     )
-    return spine.join(totals, ["receival_date", "issuer_name"], "left").select(
-        "receival_date", "issuer_name", "bank", F.col("remark").alias("remarks"), *METRICS
+    given = contributions.select(
+        "receival_date",
+        label(F.col("bank"), F.col("remarks")).alias("issuer_name"),
+        "bank",
+        "remarks",
+        *METRICS,
+        F.lit(None).cast("boolean").alias("in_spine"),
+    )
+    spine_only = [
+        F.max(F.when(F.col("in_spine"), F.struct("bank", "remarks"))).alias("pair")
+    ]
+    totals = dense.unionByName(given).groupBy("receival_date", "issuer_name").agg(
+        *spine_only, *[F.sum(whole(F.col(m))).alias(m) for m in METRICS]
+    )
+    return totals.where(F.col("pair").isNotNull()).select(
+        "receival_date", "issuer_name", "pair.bank", "pair.remarks", *METRICS
     )
 
 

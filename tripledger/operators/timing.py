@@ -100,16 +100,23 @@ def century(two_digits: Column, first_of_1900s: int) -> Column:
     return F.when(n >= first_of_1900s, n + 1900).otherwise(n + 2000)
 
 
-# dd/MM/yy HH.mm with optional seconds; any separator character is accepted before the minutes.
-POST_DATE = r"^(\d{2})/(\d{2})/(\d{2}) (\d{2}).(\d{2})(?:.(\d{2}))?$"
+# dd/MM/yy HH.mm with optional seconds; any character may separate the clock parts.
+POST_DATE = r"^\d{2}/\d{2}/\d{2} \d{2}.\d{2}(.\d{2})?$"
 POST_DATE_NO_SECONDS = r"^\d{2}/\d{2}/\d{2} \d{2}.\d{2}$"
 
 
 def parse_post_date(text: Column) -> Column:
-    """Bank posting time: ``dd/MM/yy HH.mm``, ``dd/MM/yy HH.mm.ss`` or already ISO; else NULL."""
-    short = F.regexp_replace(text, POST_DATE, "$3-$2-$1 $4:$5:$6")
-    year = century(F.substring(short, 1, 2).try_cast("int"), 69).cast("string")
-    iso = F.concat(year, F.rtrim(F.substring(short, 3, 15), F.lit(":")))
+    """Bank posting time: ``dd/MM/yy HH.mm``, ``dd/MM/yy HH.mm.ss`` or already ISO; else NULL.
+
+    The form has fixed places, so its parts are cut by position once the pattern has matched.
+    """
+
+    def two(start: int) -> Column:
+        return F.substring(text, start, 2)
+
+    year = century(two(7).try_cast("int"), 69).cast("string")
+    seconds = F.when(F.length(text) == 17, two(16)).otherwise("00")
+    iso = F.concat_ws(":", F.concat_ws("-", year, two(4), F.concat_ws(" ", two(1), two(10))), two(13), seconds)
     return F.when(text.rlike(POST_DATE), iso.try_cast(NTZ)).otherwise(text.try_cast(NTZ))
 
 

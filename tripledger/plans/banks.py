@@ -29,6 +29,7 @@ def file_btn(df: DataFrame) -> DataFrame:
         F.col("post_date").alias("trx_date"),
         timing.date_part(F.col("post_date")).alias("receival_date"),
         "description",
+        F.upper("description").alias("upper"),
         F.col("amount_credit").cast(MONEY).alias("amount_received"),
     )
 
@@ -38,6 +39,7 @@ def file_bca(df: DataFrame) -> DataFrame:
         F.col("transaction_date").alias("trx_date"),
         F.col("transaction_date").cast("date").alias("receival_date"),
         "description",
+        F.upper("description").alias("upper"),
         "branch",
         F.col("transaction_amount").cast(MONEY).alias("amount_received"),
     )
@@ -62,7 +64,7 @@ def file_mandiri(statement: DataFrame, report: DataFrame, rules: ReconRules) ->
     )
     names = report.select(
         F.col("mid").alias("report_mid"),
-        classify.segment_like(F.col("trading_name"), rules.mandiri_names, "ELSE").alias("remarks"),
+        classify.segment_like(F.upper("trading_name"), rules.mandiri_names, "ELSE").alias("remarks"),
     ).distinct()
     return lines.join(names, lines.mid == names.report_mid, "left").select(
         "trx_datetime",
@@ -80,8 +82,15 @@ def file_bni(df: DataFrame, rules: ReconRules) -> DataFrame:
         ts.alias("trx_datetime"),
         timing.date_part(ts).alias("receival_date"),
         "description",
-        classify.nested_words(F.col("description"), rules.bni_groups).alias("remarks"),
+        F.upper("description").alias("upper"),
         F.col("credit").cast(MONEY).alias("amount_received"),
+    ).select(
+        "trx_datetime",
+        "receival_date",
+        "description",
+        "upper",
+        classify.nested_words(F.col("upper"), rules.bni_groups).alias("remarks"),
+        "amount_received",
     )
 
 
@@ -104,7 +113,7 @@ def bni_routes(rules: ReconRules) -> list[Route]:
 
 def bca_routes(rules: ReconRules) -> list[Route]:
     words = rules.bank_words
-    kredivo = classify.segment_like(F.col("description"), rules.kredivo_codes, rules.kredivo_default)
+    kredivo = classify.segment_like(F.col("upper"), rules.kredivo_codes, rules.kredivo_default)
     return [
         Route("LinkAja", words.linkaja_bca, F.lit(EXPANSION), _day_before(), ignore_case=False),
         Route("OVO", words.ovo, F.lit("OVO"), _day_before()),
@@ -127,7 +136,8 @@ def own_segment(df: DataFrame, bank: str) -> DataFrame:
 
 
 def routed(lines: DataFrame, routes: list[Route], *extra: Column) -> DataFrame:
-    hits = [*extra, *(r.hit(F.col("description")) for r in routes)]
+    """Lines (with their description in upper case as ``upper``) sent to the issuers they pay."""
+    hits = [*extra, *(r.hit(F.col("description"), F.col("upper")) for r in routes)]
     return classify.explode_hits(lines, hits, "amount_received")
 
 

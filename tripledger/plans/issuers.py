@@ -76,7 +76,7 @@ def shopeepay(df: DataFrame, rules: ReconRules) -> DataFrame:
 
 
 def mandiri(df: DataFrame, rules: ReconRules) -> DataFrame:
-    segment = classify.segment_like(F.col("trading_name"), rules.mandiri_names, "ELSE")
+    segment = classify.segment_like(F.upper("trading_name"), rules.mandiri_names, "ELSE")
     df = _recent(df, "trxdate", rules)
     return _rows(df, F.col("trxdate"), "Mandiri", segment, "reff_id", "amount", "net_amount")
 
@@ -84,7 +84,7 @@ def mandiri(df: DataFrame, rules: ReconRules) -> DataFrame:
 def bni(df: DataFrame, rules: ReconRules) -> DataFrame:
     df = _recent(df.where(F.col("status") == "success"), "trx_datetime", rules)
     segment = F.concat(
-        F.lit("OTO - "), classify.segment_like(F.col("nama_merchant"), rules.bni_names, "MSME")
+        F.lit("OTO - "), classify.segment_like(F.upper("nama_merchant"), rules.bni_names, "MSME")
     )
     day = timing.date_part(F.col("trx_datetime"))
     return _rows(df, day, "BNI", segment, "bill_number", "nominal", "net_amount")
