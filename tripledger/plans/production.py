@@ -107,28 +107,39 @@ def purchase_minus_reversal(txn_type: Column, amount: Column) -> Column:
     )
 
 
-def _applies(rule: ProductionRule) -> Column:
-    hit = F.col("issuer") == rule.issuer
-    if rule.category is not None:
-        hit = hit & (F.col("merchant_category") == rule.category)
-    return hit & classify.not_in(F.col("account_id"), rule.excluded_accounts)
+def rule_number(rules: Sequence[ProductionRule]) -> Column:
+    """Which rule a row falls under (from 1), NULL for none: by issuer and category, or issuer alone."""
+    issuer, category = F.col("issuer"), F.col("merchant_category")
+    by_category = {f"{r.issuer}|{r.category}": i for i, r in enumerate(rules, 1) if r.category}
+    by_issuer = {r.issuer: i for i, r in enumerate(rules, 1) if not r.category}
+    number = F.coalesce(
+        classify.lookup(by_category, classify.pair_key(issuer, category)),
+        classify.lookup(by_issuer, issuer),
+    ).cast("int")
+    barred = classify.any_of(
+        (number == i) & ~classify.not_in(F.col("account_id"), r.excluded_accounts)
+        for i, r in enumerate(rules, 1)
+        if r.excluded_accounts
+    )
+    listed = [r for r in rules if r.excluded_accounts]
+    return F.when(F.coalesce(~barred, F.lit(False)), number) if listed else number
 
 
 def _remarks(rules: Sequence[ProductionRule]) -> Column:
-    """Remark by the kind of the applied rule: one small CASE, labels looked up by rule number."""
+    """Remark by the kind of the applied rule; fixed labels are looked up by rule number."""
+    rule, category, split = F.col("rule"), F.col("merchant_category"), F.col("remarks_time_split")
+
+    def kind(name: str) -> Column:
+        return rule.isin([i for i, r in enumerate(rules, 1) if r.remarks == name])
 
-    def pick(values: list[str | None]) -> Column:
-        return F.element_at(F.array(*[F.lit(v).cast("string") for v in values]), F.col("rule"))
+    def pick(place: int) -> Column:
+        return F.element_at(F.array(*[F.lit(r.labels[place] if r.labels else r.bank) for r in rules]), rule)
 
-    first = pick([r.labels[0] if r.labels else r.bank for r in rules])
-    second = pick([r.labels[-1] if r.labels else r.bank for r in rules])
-    kind, category, split = pick([r.remarks for r in rules]), F.col("merchant_category"), F.col("remarks_time_split")
     return (
-        F.when(kind == "category", category)
-        .when(kind == "prefixed", F.concat(F.lit("OTO - "), category))
-        .when((kind == "batch") & split.startswith("PM"), second)
-        .when((kind == "batch") & split.isNull(), F.lit(None))
-        .otherwise(first)
+        F.when(kind("category"), category)
+        .when(kind("prefixed"), F.concat(F.lit("OTO - "), category))
+        .when(kind("batch"), F.when(split.startswith("AM"), pick(0)).when(split.startswith("PM"), pick(-1)))
+        .otherwise(pick(0))
     )
 
 
@@ -139,18 +150,14 @@ def classify_production(enriched: DataFrame, rules: ReconRules) -> DataFrame:
     one issuer has several remark sets, so that each group is rounded by itself.
     """
     listed = rules.production
-    number = classify.first_match(
-        ((_applies(r), F.lit(i)) for i, r in enumerate(listed, 1)), F.lit(None).cast("int")
-    )
-    banks = F.array(*[F.lit(r.bank) for r in listed])
     netted = F.col("rule").isin([i for i, r in enumerate(listed, 1) if r.netting])
     gmv = F.col("gmv")
     return (
-        enriched.withColumn("rule", number)
+        enriched.withColumn("rule", rule_number(listed))
         .where(F.col("rule").isNotNull())
         .select(
             F.col("adjusted_date").alias("receival_date"),
-            F.element_at(banks, F.col("rule")).alias("bank"),
+            F.element_at(F.array(*[F.lit(r.bank) for r in listed]), F.col("rule")).alias("bank"),
             _remarks(listed).alias("remarks"),
             "trx",
             F.when(netted, purchase_minus_reversal(F.col("txn_type"), gmv)).otherwise(gmv).alias("gross"),
