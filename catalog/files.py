@@ -27,6 +27,10 @@ def source_rows(name):
     return lambda spark, folder: formatters.SOURCES[name].read(spark, raw_path(spark, folder, name))
 
 
+def mandiri_cells(lines):
+    return raw.trimmed_cells_of(lines, len(formatters.MANDIRI))
+
+
 # Readers -----------------------------------------------------------------------------------------
 
 _SEPS = "SELECT DISTINCT l_suppkey AS file_key, CASE WHEN l_suppkey % 2 = 0 THEN ';' ELSE ',' END AS sep FROM lineitem"
@@ -80,7 +84,7 @@ def _(spark, folder):
     f"{PAY} SELECT 'N' || supp AS nmid, 'Toko, ' || issuer AS name, {SQL_ID} AS ref FROM pay",
 )
 def _(spark, folder):
-    rows = source_rows("mandiri")(spark, folder).where((F.col("width") == 15) & (cell(8) == "issuer"))
+    rows = mandiri_cells(source_rows("mandiri")(spark, folder)).where((F.col("width") == 15) & (cell(8) == "issuer"))
     return rows.select(cell(0).alias("nmid"), cell(3).alias("name"), cell(11).alias("ref"))
 
 
@@ -159,7 +163,7 @@ def _shape(name, source, use, sql):
 _shape(
     "trim_leading_rows",
     "mandiri",
-    lambda rows: shaping.drop_leading(rows, 5).select(file_key(), cell(0).alias("first_cell")),
+    lambda lines: mandiri_cells(shaping.drop_leading(lines, 5)).select(file_key(), cell(0).alias("first_cell")),
     f"""{PAY} SELECT supp AS file_key, 'N' || supp AS first_cell FROM pay
       UNION ALL SELECT l_suppkey, unnest(['', 'H0', 'Grand total', 'N1']) FROM (SELECT DISTINCT l_suppkey FROM lineitem)""",
 )
@@ -180,7 +184,7 @@ _shape(
 _shape(
     "cut_total",
     "mandiri",
-    lambda rows: shaping.cut_total(shaping.drop_leading(rows, 7)).select(file_key(), cell(11).alias("ref")),
+    lambda lines: shaping.cut_total(mandiri_cells(shaping.drop_leading(lines, 7))).select(file_key(), cell(11).alias("ref")),
     f"{PAY} SELECT supp AS file_key, {SQL_ID} AS ref FROM pay",
 )
 _shape(

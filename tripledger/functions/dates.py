@@ -37,20 +37,25 @@ def padded(c: Column) -> Column:
     return F.regexp_replace(c, r"(?<!\d)(\d)(?!\d)", "0$1")
 
 
-def reshape(
-    text: Column, shapes: Sequence[tuple[str, str]], otherwise: Column, strict: bool = False
-) -> Column:
-    """First shape that fits the padded (if strict: the given) text, rewritten; else the given value."""
+ISO_MOMENT = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}$"
 
 
-    def rewrite(ready: Column) -> Column:
-        chain = None
-        for pattern, target in shapes:
-            fits, moved = ready.rlike(pattern), F.regexp_replace(ready, pattern, target)
-            chain = F.when(fits, moved) if chain is None else chain.when(fits, moved)
-        return chain.otherwise(F.lit(None).cast("string"))
+def reshape(
+    text: Column,
+    shapes: Sequence[tuple[str, str]],
+    otherwise: Column,
+    strict: bool = False,
+    result: str = ISO_DAY,
+) -> Column:
+    """The padded (if strict: the given) text rewritten by the shape that fits, else the given value.
 
-    return F.coalesce(rewrite(text) if strict else bind(padded(text), rewrite), otherwise)
+    Shapes exclude each other and leave other text alone, so they run as one chain of replacements
+    and the outcome is tested once; a CASE would repeat the padding and matching in every branch.
+    """
+    moved = text if strict else padded(text)
+    for pattern, target in shapes:
+        moved = F.regexp_replace(moved, pattern, target)
+    return F.coalesce(F.nullif(F.regexp_extract(moved, result, 0), F.lit("")), otherwise)
 
 
 def iso_moment(text: Column) -> Column:
@@ -156,26 +161,21 @@ def day_btn(c: Column) -> Column:
 
 BCA_FORM = r"^(\d{2})/(\d{2})/(\d{2}|\d{4})\s+(\d{2}):(\d{2})(?::(\d{2}))?\s*(AM|PM)?$"
 BCA_ISO = r"^(\d{4})[-/](\d{2})[-/](\d{2})[ T](\d{2}):(\d{2})(?::(\d{2}))?.*$"
+# Half-day marks count only up to twelve o'clock; twelve itself is hour zero of its half.
+TWELVE_WITH_MARK = r"(^|\s)12(:[0-9:]+\s*(?:AM|PM))$"
+AFTERNOON = r"(^|\s)(0\d|1[01]):[0-9:]+\s*PM$"
 
 
 def moment_bca(c: Column) -> Column:
     """Issuer BCA: month first with an optional half-day mark, or year first, or free form."""
-
-    def read(text: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.regexp_extract(text, BCA_FORM, i)
-
-        year = year_from(part(3), 71).cast("string")
-        day = F.concat_ws("-", year, part(1), part(2))
-        clock = F.concat_ws(":", F.lpad(part(4), 2, "0"), part(5), F.nullif(part(6), F.lit("")))
-        iso = F.regexp_replace(text, BCA_ISO, "$1-$2-$3 $4:$5:$6")
-        return (
-            F.when(text.rlike(BCA_FORM), with_clock(day, clock, part(7)))
-            .when(text.rlike(BCA_ISO), iso_moment(F.regexp_replace(iso, ":$", ":00")))
-            .otherwise(free_moment(c))
-        )
-
-    return bind(F.upper(padded(F.trim(c))), read)
+    text = F.regexp_replace(F.upper(padded(F.trim(c))), TWELVE_WITH_MARK, "$1" + "00$2")
+    formed = F.regexp_replace(text, BCA_FORM, "$3-$1-$2 $4:$5:$6")
+    formed = F.regexp_replace(formed, r"^(7[1-9]|[89]\d)-", "19$1-")
+    formed = F.regexp_replace(formed, r"^(\d{2})-", "20$1-")
+    formed = F.regexp_replace(formed, BCA_ISO, "$1-$2-$3 $4:$5:$6")
+    moment = iso_moment(F.regexp_replace(formed, ":$", ":00"))
+    known = F.when(text.rlike(AFTERNOON), moment + F.expr("INTERVAL '12' HOUR")).otherwise(moment)
+    return F.when(text.rlike(f"{BCA_FORM}|{BCA_ISO}"), known).otherwise(free_moment(c))
 
 
 def moment_text_bca(c: Column) -> Column:
@@ -190,8 +190,8 @@ def _checked(iso_day: Column) -> Column:
 def day_mandiri(c: Column) -> Column:
     """Issuer Mandiri: day or year first; other text becomes blank, blank stays."""
     text = F.trim(c)
-    shaped = reshape(text, [(DAY_FIRST, "$3-$2-$1"), (YEAR_FIRST, "$1-$2-$3")], otherwise=F.lit(None))
-    return checked_or(shaped, F.lit(""))
+    shaped = reshape(text, [(DAY_FIRST, "$3-$2-$1"), (YEAR_FIRST, "$1-$2-$3")], otherwise=F.lit(""))
+    return F.when(text.rlike(r"^(\d{4}[/-]\d{1,2}[/-]\d{1,2}|\d{1,2}[/-]\d{1,2}[/-]\d{4})$"), _checked(shaped)).otherwise("")
 
 
 def moment_text(c: Column) -> Column:
@@ -205,43 +205,38 @@ def without_offset(c: Column, offset: str = " +07:00") -> Column:
 
 
 OTTO_STRICT = [
-    (r"^(\d{4})-(\d{2})-(\d{2})\s+(\d{2}):(\d{2})(?::(\d{2}))?$", "$1-$2-$3 $4:$5:$6"),
-    (r"^(\d{4})/(\d{2})/(\d{2})\s+(\d{2}):(\d{2})(?::(\d{2}))?$", "$1-$2-$3 $4:$5:$6"),
+    (r"^(\d{4})[/-](\d{2})[/-](\d{2})\s+(\d{2}:\d{2}:\d{2})$", "$1-$2-$3 $4"),
+    (r"^(\d{4})[/-](\d{2})[/-](\d{2})\s+(\d{2}:\d{2})$", "$1-$2-$3 $4:00"),
 ]
 OTTO_MONTH_FIRST = [
-    (r"^(\d{2})[/-](\d{2})[/-](\d{4})\s+(\d{2}):(\d{2})(?::(\d{2}))?$", "$3-$1-$2 $4:$5:$6"),
+    (r"^(\d{2})[/-](\d{2})[/-](\d{4})\s+(\d{2}:\d{2}:\d{2})$", "$3-$1-$2 $4"),
+    (r"^(\d{2})[/-](\d{2})[/-](\d{4})\s+(\d{2}:\d{2})$", "$3-$1-$2 $4:00"),
 ]
 
 
 def moment_otto(c: Column) -> Column:
     """OttoPay date-time text: ISO, month first, slashed ISO, spreadsheet serial; else single-spaced."""
+    text = F.trim(c)
+    month_first = reshape(text, OTTO_MONTH_FIRST, otherwise=F.lit(None), result=ISO_MOMENT)
+    shaped = reshape(text, OTTO_STRICT, otherwise=month_first, strict=True, result=ISO_MOMENT)
+    serial = F.when(text.rlike(SERIAL) & (text.try_cast("double") > 59), serial_moment_text(text))
+    return blank_if_null(F.coalesce(shaped, serial, F.regexp_replace(text, r"\s+", " ")))
 
-    def read(text: Column) -> Column:
-        month_first = reshape(text, OTTO_MONTH_FIRST, otherwise=F.lit(None))
-        shaped = reshape(text, OTTO_STRICT, otherwise=month_first, strict=True)
-        serial = F.when(text.rlike(SERIAL) & (text.try_cast("double") > 59), serial_moment_text(text))
-        return F.coalesce(
-            F.regexp_replace(shaped, ":$", ":00"), serial, F.regexp_replace(text, r"\s+", " ")
-        )
 
-    return blank_if_null(bind(F.trim(c), read))
+# Day first only where the first number cannot be a month; a clock behind the date is dropped.
+OTTO_DAYS = [
+    (r"^(1[3-9]|[2-9]\d)[/-](\d{2})[/-](\d{4})$", "$3-$2-$1"),
+    (r"^(\d{2})[/-](\d{2})[/-](\d{4})$", "$3-$1-$2"),
+]
 
 
 def day_otto(c: Column) -> Column:
-    """OttoPay date: day first only if the first number cannot be a month."""
+    """OttoPay date: ISO, month first, slashed ISO; the date of a date-time; else unchanged."""
     text = F.trim(c)
-
-    def read(ready: Column) -> Column:
-        day_first = ready.rlike(DAY_FIRST) & (F.substring(ready, 1, 2).try_cast("int") > 12)
-        return (
-            F.when(day_first, F.regexp_replace(ready, DAY_FIRST, "$3-$2-$1"))
-            .when(ready.rlike(DAY_FIRST), F.regexp_replace(ready, DAY_FIRST, "$3-$1-$2"))
-            .when(text.rlike(r"^\d{4}/\d{2}/\d{2}$"), F.replace(text, F.lit("/"), F.lit("-")))
-            .when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(1)))
-            .otherwise(text)
-        )
-
-    return blank_if_null(bind(padded(text), read))
+    slashed = F.regexp_replace(text, r"^(\d{4})/(\d{2})/(\d{2})$", "$1-$2-$3")
+    plain = F.when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(1)))
+    shaped = F.when(text.rlike(r"^\d{1,2}[/-]"), reshape(text, OTTO_DAYS, otherwise=F.lit(None)))
+    return blank_if_null(F.coalesce(shaped, plain, slashed))
 
 
 ID_FORM = r"^(\d{2})[/-](\d{2})[/-](\d{2}|\d{4})(?:\s+(\d{2})[.:](\d{2})(?:[.:](\d{2}))?)?$"
@@ -250,24 +245,18 @@ ID_FORM = r"^(\d{2})[/-](\d{2})[/-](\d{2}|\d{4})(?:\s+(\d{2})[.:](\d{2})(?:[.:](
 def moment_id(c: Column) -> Column:
     """Dashboard moment: day first with optional clock, spreadsheet serial, or free form; else NULL."""
     text = F.trim(c)
-
-    def read(ready: Column) -> Column:
-        def part(i: int) -> Column:
-            return F.nullif(F.regexp_extract(ready, ID_FORM, i), F.lit(""))
-
-        year = year_from(part(3), 70).cast("string")
-        clock = blank_if_null(F.concat_ws(":", part(4), part(5), part(6)))
-        formed = with_clock(F.concat_ws("-", year, part(2), part(1)), clock, F.lit(""))
-        serial = F.to_timestamp_ntz(F.lit("1899-12-30 00:00:00")) + F.make_dt_interval(
-            secs=F.floor(F.round(text.try_cast("double") * 86400, 3)).cast("decimal(18,6)")
-        )
-        return (
-            F.when(ready.rlike(ID_FORM), formed)
-            .when(text.rlike(SERIAL), serial)
-            .otherwise(free_moment(text))
-        )
-
-    return bind(padded(text), read)
+    ready = padded(text)
+    formed = F.regexp_replace(ready, ID_FORM, "$3-$2-$1 $4:$5:$6")
+    formed = F.regexp_replace(formed, r"^([7-9]\d)-", "19$1-")
+    formed = F.regexp_replace(formed, r"^(\d{2})-", "20$1-")
+    serial = F.to_timestamp_ntz(F.lit("1899-12-30 00:00:00")) + F.make_dt_interval(
+        secs=F.floor(F.round(text.try_cast("double") * 86400, 3)).cast("decimal(18,6)")
+    )
+    return (
+        F.when(ready.rlike(ID_FORM), iso_moment(F.rtrim(formed, F.lit(": "))))
+        .when(text.rlike(SERIAL), serial)
+        .otherwise(free_moment(text))
+    )
 
 
 NOBU_SHAPES = [
@@ -276,16 +265,14 @@ NOBU_SHAPES = [
 ]
 
 
-def checked_or(shaped: Column, otherwise: Column) -> Column:
-    """The shaped day if there is one (NULL if that day does not exist), else the other value."""
-    return bind(shaped, lambda d: F.when(d.isNotNull(), _checked(d)).otherwise(otherwise))
-
-
 def day_nobu(c: Column) -> Column:
     """Nobu date: day or year first, anything after the date ignored; else free form; else unchanged."""
     text = F.trim(c)
     shaped = reshape(text, NOBU_SHAPES, otherwise=F.lit(None))
-    return checked_or(shaped, F.coalesce(as_day(free_moment(text)), text))
+    numeric = text.rlike(r"^(\d{4}[ /-]\d{1,2}[ /-]\d{1,2}|\d{1,2}[ /-]\d{1,2}[ /-]\d{4})([ /-]|$)")
+    return F.when(numeric, _checked(shaped)).otherwise(
+        F.coalesce(as_day(free_moment(text)), text)
+    )
 
 
 BRI_SHAPES = [
@@ -310,7 +297,8 @@ def day_bri(c: Column) -> Column:
 
 def day_bank_bca(c: Column) -> Column:
     """Statement date, day first. A day that does not exist is NULL; other text stays."""
-    return checked_or(reshape(c, [(DAY_FIRST, "$3-$2-$1")], otherwise=F.lit(None)), c)
+    shaped = reshape(c, [(DAY_FIRST, "$3-$2-$1")], otherwise=F.lit(None))
+    return F.when(c.rlike(r"^\d{1,2}[/-]\d{1,2}[/-]\d{4}$"), _checked(shaped)).otherwise(c)
 
 
 BANK_BTN_SHAPES = [

@@ -78,7 +78,7 @@ def drop_double_quotes(c: Column) -> Column:
 
 def strip_quotes(c: Column) -> Column:
     """No double quotes anywhere, no apostrophes at the ends, trimmed."""
-    return F.trim(F.regexp_replace(drop_double_quotes(c), "^'+|'+$", ""))
+    return F.trim(F.btrim(drop_double_quotes(c), F.lit("'")))
 
 
 def first_line_name(c: Column) -> Column:

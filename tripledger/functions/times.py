@@ -5,14 +5,31 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from tripledger.functions.dates import moment_otto, padded, seconds_clock, with_clock
-from tripledger.functions.text import bind, blank_if_null, count_char, pad_left
-
-
-def _held(text: Column, highest: int) -> Column:
-    """Two-digit part of a clock, held inside its range; a missing part is zero."""
-    n = F.coalesce(text.try_cast("int"), F.lit(0))
-    return F.lpad(F.least(F.greatest(n, F.lit(0)), F.lit(highest)).cast("string"), 2, "0")
+from tripledger.functions.dates import (
+    AFTERNOON,
+    TWELVE_WITH_MARK,
+    moment_otto,
+    padded,
+    seconds_clock,
+)
+from tripledger.functions.text import blank_if_null
+from tripledger.operators.timing import NTZ
+
+
+# Steps that bring a digits-and-colons clock to HH:mm:ss, each leaving other text alone:
+# HHMMSS cut or zero-padded, H:MMSS cut or zero-padded, parts padded to two digits and held in range.
+BTN_STEPS = [
+    (r"^(\d{6})\d+$", "$1"),
+    (r"^(\d{0,6})$", "000000$1"),
+    (r"^\d*(\d\d)(\d\d)(\d\d)$", "$1:$2:$3"),
+    (r"^(\d+):(\d{4})\d*$", "$1:$2"),
+    (r"^(\d+):(\d{1,3})$", "$1:0000$2"),
+    (r"^(\d+):\d*(\d\d)(\d\d)$", "$1:$2:$3"),
+    (r"(?<!\d)(\d)(?!\d)", "0$1"),
+    (r"(^|:)0+(?=\d\d(:|$))", "$1"),
+    (r"^(2[4-9]|[3-9]\d|\d{3,}):", "23:"),
+    (r":([6-9]\d|\d{3,})(?=:|$)", ":59"),
+]
 
 
 def clock_btn(c: Column) -> Column:
@@ -21,31 +38,10 @@ def clock_btn(c: Column) -> Column:
     One part is HHMMSS; two parts are hours and MMSS (``12:30`` is read as 12:00:30).
     """
     digits = F.regexp_replace(F.trim(c), "[^0-9.:]", "")
-    parts = F.btrim(F.regexp_replace(digits, "[.:]+", ":"), F.lit(":"))
-
-    def read(text: Column) -> Column:
-        marks = count_char(text, ":")
-        compact, minutes = pad_left(text, 6), pad_left(F.split_part(text, F.lit(":"), F.lit(2)), 4)
-        # Always three parts: HHMMSS and H:MMSS are cut into them.
-        three = (
-            F.when(marks == 0, F.regexp_replace(compact, "^(..)(..)(..).*$", "$1:$2:$3"))
-            .when(
-                marks == 1,
-                F.concat(
-                    F.split_part(text, F.lit(":"), F.lit(1)),
-                    F.regexp_replace(minutes, "^(..)(..).*$", ":$1:$2"),
-                ),
-            )
-            .otherwise(text)
-        )
-        return bind(
-            F.split(three, ":"),
-            lambda p: F.concat_ws(
-                ":", *[_held(F.get(p, F.lit(i)), top) for i, top in enumerate((23, 59, 59))]
-            ),
-        )
-
-    return F.when(c.isNull(), "").otherwise(bind(parts, read))
+    clock = F.btrim(F.regexp_replace(digits, "[.:]+", ":"), F.lit(":"))
+    for pattern, target in BTN_STEPS:
+        clock = F.regexp_replace(clock, pattern, target)
+    return blank_if_null(F.substring(clock, 1, 8))
 
 
 def clock_mandiri(c: Column) -> Column:
@@ -64,16 +60,12 @@ CLOCK = r"^(\d{2}):(\d{2})(?::(\d{2}))?$"
 def clock_otto(c: Column) -> Column:
     """OttoPay clock: padded parts, missing seconds are zero; the clock of a date-time; else unchanged."""
     text = F.trim(c)
-
-    def read(ready: Column) -> Column:
-        clock = F.regexp_replace(F.regexp_replace(ready, CLOCK, "$1:$2:$3"), ":$", ":00")
-        return (
-            F.when(ready.rlike(CLOCK), clock)
-            .when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(2)))
-            .otherwise(text)
-        )
-
-    return blank_if_null(bind(padded(text), read))
+    clock = F.regexp_replace(F.regexp_replace(padded(text), CLOCK, "$1:$2:$3"), ":$", ":00")
+    return blank_if_null(
+        F.when(text.rlike(r"^\d{1,2}:\d{1,2}(:\d{1,2})?$"), clock)
+        .when(text.contains(" "), F.split_part(moment_otto(text), F.lit(" "), F.lit(2)))
+        .otherwise(text)
+    )
 
 
 def clock_bri(c: Column) -> Column:
@@ -87,15 +79,12 @@ def clock_bri(c: Column) -> Column:
     )
 
 
-BANK_CLOCK = r"^(\d{2}:\d{2}(?::\d{2})?)\s*(AM|PM)?$"
+BANK_CLOCK = r"^(\d{2}:\d{2})(:\d{2})?\s*(?:AM|PM)?$"
 
 
 def clock_bank_btn(c: Column) -> Column:
     """Statement clock in 24- or 12-hour form; what cannot be read stays."""
-
-    def read(ready: Column) -> Column:
-        clock, half = [F.regexp_extract(ready, BANK_CLOCK, i) for i in (1, 2)]
-        moment = with_clock(F.lit("1970-01-01"), clock, half)
-        return F.when(ready.rlike(BANK_CLOCK), F.date_format(moment, "HH:mm:ss"))
-
-    return blank_if_null(F.coalesce(bind(padded(F.upper(F.trim(c))), read), c))
+    ready = F.regexp_replace(padded(F.upper(F.trim(c))), TWELVE_WITH_MARK, "$1" + "00$2")
+    moment = F.concat(F.lit("1970-01-01 "), F.regexp_replace(ready, BANK_CLOCK, "$1$2")).try_cast(NTZ)
+    moment = F.when(ready.rlike(AFTERNOON), moment + F.expr("INTERVAL '12' HOUR")).otherwise(moment)
+    return blank_if_null(F.coalesce(F.date_format(moment, "HH:mm:ss"), c))

@@ -289,9 +289,12 @@ def fmt_bni(rows: DataFrame) -> DataFrame:
     return shaping.by_name(shaping.take_header(rows, verbatim=True), BNI)
 
 
-def fmt_mandiri(rows: DataFrame) -> DataFrame:
-    body = shaping.drop_header(shaping.drop_empty(shaping.drop_leading(rows, 5)))
-    table = shaping.by_position(shaping.cut_total(body), MANDIRI)
+def fmt_mandiri(lines: DataFrame) -> DataFrame:
+    """The body is found on the plain lines, so that only its lines are parsed, and once."""
+    filled = shaping.drop_leading(lines, 5).where(F.trim("line") != "")
+    total = F.upper(raw.first_cell(F.col("line"), F.col("sep"))).contains(shaping.TOTAL)
+    body = shaping.before_first(shaping.drop_header(filled), total)
+    table = shaping.by_position(raw.trimmed_cells_of(body, len(MANDIRI)), MANDIRI)
 
     def clean(c: Column) -> Column:
         return amounts.strip_grouping(text.strip_quotes(c))
@@ -459,33 +462,32 @@ def _cells(width: int, sep: str = ",") -> Callable[[SparkSession, str], DataFram
     return lambda spark, path: raw.read_cells(spark, path, width, sep)
 
 
-def _mandiri_rows(spark: SparkSession, path: str) -> DataFrame:
-    lines = raw.with_separator(raw.read_lines(spark, path), raw.detect_whole_file)
-    return raw.trimmed_cells_of(lines, len(MANDIRI))
+def _mandiri_lines(spark: SparkSession, path: str) -> DataFrame:
+    return raw.with_separator(raw.read_lines(spark, path), raw.detect_whole_file)
 
 
-# Widths leave room for columns a source adds; named sources are read wider than their lists.
-WIDE = 40
+# Sources whose columns are found by name are read wider than their lists: a source may add columns.
+SPARE = 12
 SOURCES: dict[str, Source] = {
     "btn": Source(
-        lambda s, p: raw.read_detected(s, p, WIDE), fmt_btn, ("recon_issuer_btn_bank_file_report",)
+        lambda s, p: raw.read_detected(s, p, len(BTN) + SPARE), fmt_btn, ("recon_issuer_btn_bank_file_report",)
     ),
     "bca": Source(
-        lambda s, p: raw.read_detected(s, p, WIDE), fmt_bca, ("recon_issuer_bca_bank_file_report",)
+        lambda s, p: raw.read_detected(s, p, len(BCA) + SPARE), fmt_bca, ("recon_issuer_bca_bank_file_report",)
     ),
-    "bni": Source(_cells(WIDE), fmt_bni, ("recon_bni_bank_report",)),
-    "mandiri": Source(_mandiri_rows, fmt_mandiri, ("recon_mandiri_bank_report",)),
+    "bni": Source(_cells(len(BNI) + SPARE), fmt_bni, ("recon_bni_bank_report",)),
+    "mandiri": Source(_mandiri_lines, fmt_mandiri, ("recon_mandiri_bank_report",)),
     "shopeepay": Source(_cells(len(SHOPEEPAY)), fmt_shopeepay, ("recon_shopeepay_report",)),
     "indodana": Source(
-        lambda s, p: raw.read_unquoted_detected(s, p, WIDE), fmt_indodana, ("recon_indodana_report",)
+        lambda s, p: raw.read_unquoted_detected(s, p, len(INDODANA) + SPARE), fmt_indodana, ("recon_indodana_report",)
     ),
     "kredivo": Source(_cells(14), fmt_kredivo, ("recon_kredivo_report",)),
     "linkaja": Source(
-        _cells(WIDE),
+        _cells(len(LINKAJA) + SPARE),
         fmt_linkaja,
         ("recon_linkaja_mcd_report", "recon_linkaja_expansion_report", "recon_linkaja_msme_report"),
     ),
-    "ottopay": Source(_cells(WIDE), fmt_ottopay, ("recon_issuer_ottopay_bank_file_report",)),
+    "ottopay": Source(_cells(OTTOPAY_WIDTH + SPARE), fmt_ottopay, ("recon_issuer_ottopay_bank_file_report",)),
     "ottopay_dashboard": Source(
         _cells(len(DASHBOARD)), fmt_ottopay_dashboard, ("recon_ottopay_dashboard_report",)
     ),
@@ -495,7 +497,7 @@ SOURCES: dict[str, Source] = {
     "bank_btn": Source(
         lambda s, p: raw.naive_cells_of(raw.read_lines(s, p)), fmt_bank_btn, ("recon_btn_bank_file_mutation",)
     ),
-    "bank_bni": Source(_cells(WIDE), fmt_bank_bni, ("recon_bni_bank_file_report",)),
+    "bank_bni": Source(_cells(len(BANK_BNI) + SPARE), fmt_bank_bni, ("recon_bni_bank_file_report",)),
     "bank_mandiri": Source(
         _cells(len(BANK_MANDIRI), ";"), fmt_bank_mandiri, ("recon_mandiri_bank_file_report",)
     ),

@@ -48,16 +48,26 @@ def _names(width: int) -> list[str]:
     return [f"c{i}" for i in range(width)]
 
 
-def _array(parent: str, width: int) -> Column:
-    return F.array(*[F.coalesce(F.col(f"{parent}{n}"), F.lit("")) for n in _names(width)])
+def _array(parent: str, width: int, trim: bool = False) -> Column:
+    cells = [F.coalesce(F.col(f"{parent}{n}"), F.lit("")) for n in _names(width)]
+    return F.array(*[F.trim(c) if trim else c for c in cells])
 
 
-def _csv_options(sep: str) -> dict[str, str]:
-    return {"sep": sep, "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
+def _csv_options(sep: str, trim: bool = False) -> dict[str, str]:
+    spaces = str(trim).lower()
+    return {
+        "sep": sep,
+        "quote": '"',
+        "escape": '"',
+        "mode": "PERMISSIVE",
+        "ignoreLeadingWhiteSpace": spaces,
+        "ignoreTrailingWhiteSpace": spaces,
+    }
 
 
-def _parsed(line: Column, sep: str, width: int) -> Column:
-    return F.from_csv(line, ", ".join(f"{n} string" for n in _names(width)), _csv_options(sep))
+def _parsed(line: Column, sep: str, width: int, trim: bool = False) -> Column:
+    names = ", ".join(f"{n} string" for n in _names(width))
+    return F.from_csv(line, names, _csv_options(sep, trim))
 
 
 def cells_of(lines: DataFrame, width: int, sep: str = ",") -> DataFrame:
@@ -83,8 +93,12 @@ def single_to_double_quotes(line: Column) -> Column:
 def trimmed_cells_of(lines: DataFrame, width: int) -> DataFrame:
     """Quote-aware cells in single or double quotes, each trimmed, by the separator of their file."""
     plain = lines.withColumn("line", single_to_double_quotes(F.col("line")))
-    rows = detected_cells_of(plain, width)
-    return rows.withColumn("cells", F.transform("cells", lambda c: F.trim(c)))
+    return detected_cells_of(plain, width, trim=True)
+
+
+def first_cell(line: Column, sep: Column) -> Column:
+    """Text before the first separator, without parsing the rest of the line."""
+    return F.split_part(line, sep, F.lit(1))
 
 
 def detect_first_line(lines: DataFrame) -> DataFrame:
@@ -106,14 +120,17 @@ def _majority(semicolons: Column, commas: Column) -> Column:
     return F.when(semicolons > commas, ";").otherwise(",").alias("sep")
 
 
-def detected_cells_of(lines: DataFrame, width: int) -> DataFrame:
+def detected_cells_of(lines: DataFrame, width: int, trim: bool = False) -> DataFrame:
     """Cells by each file's own separator (column ``sep``), all files in one pass."""
     semicolon = F.col("sep") == ";"
     line = F.col("line")
     return (
-        lines.withColumn("p", F.when(semicolon, _parsed(line, ";", width)).otherwise(_parsed(line, ",", width)))
+        lines.withColumn(
+            "p",
+            F.when(semicolon, _parsed(line, ";", width, trim)).otherwise(_parsed(line, ",", width, trim)),
+        )
         .withColumn("width", F.when(semicolon, cell_count(line, ";")).otherwise(cell_count(line, ",")))
-        .select("file", "pos", _array("p.", width).alias("cells"), "width")
+        .select("file", "pos", _array("p.", width, trim).alias("cells"), "width")
     )
 
 
