@@ -2,7 +2,8 @@
 
 Inputs that stand for files or loaded tables (raw report files, normalised files, staged payments) are
 written first and timed apart as ``setup``. Every query is then run twice, results discarded by the
-noop sink: ``queries`` holds the second, warm time and ``cold`` the first.
+noop sink: ``queries`` holds the second, warm time and ``cold`` the first. The load of all 18 tables
+runs once; it is the one step the baseline has a time for.
 """
 
 from __future__ import annotations
@@ -24,18 +25,15 @@ VIEWS = [
     "prod_settlement",
     "prod_kredivo",
     "issuer_mandiri",
-    "issuer_linkaja_msme",
     "file_bank_mandiri",
     "bank_kredivo",
     "desc_route",
     "traffic_distinct",
     "group_by_rate",
-    "join_transactions",
     "dedupe_rows",
 ]
-CELLS = ["datetime_bca", "time_btn", "strip_thousands"]
-FILES = ["fmt_btn", "fmt_mandiri", "fmt_bank_bca", "fmt_bank_btn"]
-LOADS = ["load_delimited"]
+CELLS = ["datetime_bca", "time_btn"]
+FILES = ["fmt_mandiri", "fmt_bank_bca"]
 
 
 def timed(run) -> float:
@@ -63,13 +61,12 @@ def main() -> None:
         return lambda: registered[name](spark, folder).write.format("noop").mode("overwrite").save()
 
     cold, warm = {}, {}
-    for name in REPORTS + VIEWS + CELLS + FILES + LOADS:
+    for name in REPORTS + VIEWS + CELLS + FILES:
         cold[name] = timed(sink(name))
         warm[name] = timed(sink(name))
 
     project = files.normalised(spark, folder, "recon_mdr_master").removesuffix("/master/mdr")
     warehouse = project.replace("normalised", "bench-warehouse")
-    cold["load_18_tables"] = timed(lambda: loader.load_all(spark, project, warehouse))
     warm["load_18_tables"] = timed(lambda: loader.load_all(spark, project, warehouse))
     print(
         json.dumps(

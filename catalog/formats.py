@@ -67,7 +67,7 @@ formatter(
         pick(fmt("HH:mm:ss"), fmt("HHmmss"), fmt("H.m.s"), "'25:10:00'"),
         ID,
         "concat('00', order_id)",
-        quoted("concat(' Budi, ', qty, '; ')"),
+        quoted("concat(' Budi, ', qty, if(qty = 7, char(10), ''), '; ')"),
         GMV,
         "if(qty < 10, '-', '0.7')",
         "'Paid'",
@@ -83,7 +83,7 @@ formatter(
         "clock": ("transaction_time", f"CASE WHEN trx_id % 4 = 3 THEN '23:10:00' ELSE {CLOCK} END"),
         "rrn": ("retrieval_reference_number", f"lpad({SQL_ID}, 12, '0')"),
         "merchant": ("merchant_id", "CAST(order_id AS VARCHAR)"),
-        "customer": ("customer_name", "'Budi, ' || qty || ';'"),
+        "customer": ("customer_name", "'Budi, ' || qty || CASE WHEN qty = 7 THEN chr(10) ELSE '' END || ';'"),
         "amount": ("amount", SQL_GMV),
         "mdr": ("mdr", "CASE WHEN qty < 10 THEN '0' ELSE '0.7' END"),
         "status": ("status", "'Paid'"),

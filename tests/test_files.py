@@ -41,6 +41,24 @@ def test_separator_per_file(spark, tmp_path):
     assert [r.cells for r in rows.where(F.col("file").endswith("a.csv")).orderBy("pos").collect()] == [["x", "y", "z"], ["1,5", "2", "3"]]
 
 
+def test_records_over_several_lines(spark, tmp_path):
+    count = 3_000
+    records = [f'{i};"a\nb;{i}\nc";z' if i % 7 == 0 else f"{i};plain;z" for i in range(count)]
+    path = write_files(tmp_path, {"a.csv": "h;i;j\n" + "\n".join(records) + "\n", "b.csv": "h,i,j\n1,2,3\n"})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        rows = raw.read_detected(spark, path, 3)
+        got = rows.where(F.col("file").endswith("a.csv")).orderBy("pos").select("cells", "width").collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert [r.width for r in got] == [3] * (count + 1)
+    assert got[0].cells == ["h", "i", "j"]
+    want = [[str(i), f"a\nb;{i}\nc" if i % 7 == 0 else "plain", "z"] for i in range(count)]
+    assert [r.cells for r in got[1:]] == want
+    assert rows.where(F.col("file").endswith("b.csv")).count() == 2
+
+
 def test_headers_may_differ_between_files(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": "A,B\n1,2\n", "b.csv": "B,C\n3,4\n"})
     rows = shaping.take_header(raw.read_cells(spark, path, 4))

@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripledger.functions.text import count_char, drop_double_quotes
@@ -39,6 +39,54 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*")
     )
 
 
+def _quotes_open(line: Column) -> Column:
+    """1 if the line opens or closes a quoted cell that runs over its end."""
+    return count_char(line, '"') % 2
+
+
+def stitch_records(lines: DataFrame) -> DataFrame:
+    """Records whose quoted cells hold line breaks, put back together as one line each.
+
+    A line with an odd number of quotes opens a quoted cell or closes the open one, so whether a line
+    continues a record follows from the count of odd lines before it. The count runs inside each read
+    split; split totals, one row each, carry it on. Files without any odd line pass through untouched,
+    and only lines that belong to a broken record are grouped. One look ahead at the quotes decides
+    whether any of this is needed; mostly it is not.
+    """
+    odd_files = lines.groupBy("file").agg(F.max(_quotes_open(F.col("line"))).alias("broken"))
+    if odd_files.where("broken = 1").isEmpty():
+        return lines
+    marked = per_file(lines, odd_files, "inner")
+    whole = marked.where(F.col("broken") == 0).drop("broken")
+    # The upper bits of the order tell the task that read the line: one task, one run of the file.
+    rows = marked.where(F.col("broken") == 1).select(
+        *lines.columns, _quotes_open(F.col("line")).alias("odd"), F.shiftright("pos", 33).alias("run")
+    )
+    in_run = Window.partitionBy("file", "run").orderBy("pos")
+    before_run = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    runs = rows.groupBy("file", "run").agg(F.sum("odd").alias("odds"))
+    carried = runs.select("file", "run", F.coalesce(F.sum("odds").over(before_run), F.lit(0)).alias("carry"))
+    counted = rows.join(carried, ["file", "run"]).withColumn(
+        "inside", (F.col("carry") + F.sum("odd").over(in_run) - F.col("odd")) % 2 == 1
+    )
+    start = F.when(~F.col("inside"), F.col("pos"))
+    last_starts = counted.groupBy("file", "run").agg(F.max(start).alias("last"))
+    earlier = last_starts.select("file", "run", F.max("last").over(before_run).alias("earlier"))
+    placed = counted.join(earlier, ["file", "run"]).withColumn(
+        "record", F.coalesce(F.max(start).over(in_run), F.col("earlier"))
+    )
+    single = placed.where(~F.col("inside") & (F.col("odd") == 0)).select(*lines.columns)
+    kept = [c for c in lines.columns if c not in ("file", "pos", "line")]
+    joined = (
+        placed.where(F.col("inside") | (F.col("odd") == 1))
+        .groupBy("file", F.col("record").alias("pos"), *kept)
+        .agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("parts"))
+        .withColumn("line", F.array_join(F.col("parts.line"), "\n"))
+        .select(*lines.columns)
+    )
+    return whole.unionByName(single).unionByName(joined)
+
+
 def cell_count(line: Column, sep: str) -> Column:
     """Cells of a line: separators outside double quotes plus one."""
     return count_char(F.regexp_replace(line, '"[^"]*"', ""), sep) + 1
@@ -141,10 +189,15 @@ def with_separator(
 
 
 def read_detected(
-    spark: SparkSession, path: str | Sequence[str], width: int, whole_file: bool = False, glob: str = "*"
+    spark: SparkSession,
+    path: str | Sequence[str],
+    width: int,
+    quoted_newlines: bool = True,
+    glob: str = "*",
 ) -> DataFrame:
-    detect = detect_whole_file if whole_file else detect_first_line
-    return detected_cells_of(with_separator(read_lines(spark, path, glob), detect), width)
+    """Cells by the separator of each file's first line; the files split."""
+    lines = with_separator(read_lines(spark, path, glob), detect_first_line)
+    return detected_cells_of(stitch_records(lines) if quoted_newlines else lines, width)
 
 
 def read_unquoted_detected(spark: SparkSession, path: str | Sequence[str], width: int) -> DataFrame:
