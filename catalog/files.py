@@ -11,7 +11,7 @@ from catalog.standins import payments, read_table
 from tripledger.functions import text
 from tripledger.operators import shaping
 from tripledger.operators.shaping import cell, named
-from tripledger.plans import formatters
+from tripledger.plans import banks, formatters, issuers
 from tripledger.schemas import TABLES, conform
 from tripledger.session import scratch_root, written_once
 from tripledger.sources import files, loader, raw, sinks
@@ -482,3 +482,42 @@ def _(spark, folder):
     project = normalised(spark, folder, "recon_mdr_master").removesuffix("/master/mdr")
     loader.load_all(spark, project, project.replace("normalised", "warehouse"))
     return loader.row_counts(loader.all_tables(spark, project.replace("normalised", "warehouse")))
+
+
+@query(
+    "raw_to_issuer_bca",
+    f"""{PAY} SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS receival_date, 'BCA' AS bank, 'BCA' AS remarks, COUNT(DISTINCT trx_id) AS issuer_traffic,
+      CAST(SUM(gmv) AS DOUBLE) AS issuer_trx_amount, CAST(SUM(net) AS DOUBLE) AS issuer_settlement_amount FROM pay GROUP BY 1""",
+)
+def _(spark, folder):
+    """One source through all stages: raw files, normalised files, typed load, issuer view."""
+    table = "recon_issuer_bca_bank_file_report"
+    text_rows = formatters.SOURCES["bca"].run(spark, raw_path(spark, folder, "bca"))
+    path = _fresh(spark, "stages")
+    sinks.write_delimited(formatters.for_load(text_rows, table), path)
+    landed = loader.load_strict(spark, path, table)
+    return issuers.issuer_contributions({table: landed}, standins.RULES)
+
+
+@query(
+    "raw_to_bank_bca",
+    f"""{PAY} SELECT CAST(CASE WHEN trx_id % 3 = 2 THEN NULL ELSE CAST(ts AS DATE) - 1 END AS VARCHAR) AS receival_date, issuer AS bank,
+      CAST(SUM(gmv) AS DOUBLE) AS amount_received FROM pay WHERE issuer IN ('OVO', 'INDODANA') GROUP BY 1, 2""",
+)
+def _(spark, folder):
+    """Bank lines through all stages. Pending lines have no date: the load sets them aside, and they
+    are summed without one."""
+    table = banks.BCA_FILE
+    text_rows = formatters.SOURCES["bank_bca"].run(spark, raw_path(spark, folder, "bank_bca"))
+    path = _fresh(spark, "stages")
+    sinks.write_delimited(formatters.for_load(text_rows, table), path)
+    good, pending = loader.load_with_quarantine(spark, path, table)
+    undated = pending.select(
+        F.lit(None).cast("date").alias("transaction_date"),
+        "description",
+        F.lit(None).cast("string").alias("branch"),
+        F.col("transaction_amount").try_cast("decimal(38,9)").alias("transaction_amount"),
+    )
+    lines = good.select(*undated.columns).unionByName(undated)
+    view = banks.bank_contributions({table: lines}, standins.RULES)
+    return view.where(F.col("bank").isin("OVO", "INDODANA")).select("receival_date", "bank", "amount_received")

@@ -12,7 +12,7 @@ from catalog import duck
 from catalog.registry import add
 from catalog.standins import payments
 from tripledger.functions import amounts, dates, text, times
-from tripledger.operators import timing
+from tripledger.plans.formatters import rejected
 
 DAY, NOW = "strftime(ts, '%Y-%m-%d')", "strftime(ts, '%Y-%m-%d %H:%M:%S')"
 MINUTE = "strftime(ts, '%Y-%m-%d %H:%M:00')"
@@ -392,6 +392,12 @@ scalar(
     [(fmt("d/M/yyyy"), DAY), (fmt("yyyy/M/d"), DAY), (fmt("yyyy-MM-dd HH:mm"), DAY), ("'x/y'", "'x/y'"), (NULL, "''")],
 )
 
+scalar(
+    "reject_flag",
+    lambda c: rejected(c, dates.day_bank_bca(c)),
+    [(fmt("dd/MM/yyyy"), "FALSE"), ("'PEND'", "FALSE"), ("'31/04/2024'", "TRUE"), ("''", "FALSE")],
+)
+
 # Times.
 scalar(
     "time_btn",

@@ -78,7 +78,14 @@ def test_statement_body(spark, tmp_path):
     body = '05/03/2024,"TRF, x",0001,"1,000.50 CR","2,000.00"\nonly,four,cells,here\n'
     path = write_files(tmp_path, {"a.csv": head + body + "Saldo Awal,,,,\n06/03/2024,no,1,1 CR,1\n", "b.csv": "no header\n1,2,3,4,5\n"})
     got = formatters.SOURCES["bank_bca"].run(spark, path).drop("file", "pos").collect()
-    assert [tuple(r) for r in got] == [("2024-03-05", "TRF, x", "0001", "1000.50", "CR", "2000.00")]
+    assert [tuple(r) for r in got] == [("2024-03-05", "TRF, x", "0001", "1000.50", "CR", "2000.00", None)]
+
+
+def test_days_that_do_not_exist_are_flagged(spark, tmp_path):
+    rows = "31/02/2024,x,1,1 CR,1\nPEND,x,1,1 CR,1\n01/02/2024,x,1,1 CR,1\n"
+    path = write_files(tmp_path, {"a.csv": "Tanggal Transaksi,Keterangan,Cabang,Jumlah,Saldo\n" + rows})
+    got = formatters.SOURCES["bank_bca"].run(spark, path).orderBy("pos").collect()
+    assert [(r.Transaction_Date, r.rejected) for r in got] == [(None, "Transaction_Date"), ("PEND", None), ("2024-02-01", None)]
 
 
 def test_numeric_run(spark, tmp_path):

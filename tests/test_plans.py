@@ -8,8 +8,9 @@ from pyspark.sql import functions as F
 
 from catalog import standins
 from catalog.standins import RULES
-from tripledger.operators import contributions
+from tripledger.operators import contributions, shaping
 from tripledger.plans import banks, issuers, production, summary
+from tripledger.sources import raw
 
 
 def plan(df):
@@ -94,3 +95,10 @@ def test_measure_spreads_one_group(spark):
     )
     first = re.findall(r"Exchange hashpartitioning\(([^)]*)", plan(contributions.measure(rows, "yti")))
     assert any("trx" in keys for keys in first)
+
+
+def test_leading_rows_are_limited_before_the_shuffle(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("a\nb\nc\n")
+    rows = shaping.drop_leading(raw.read_lines(spark, str(tmp_path)), 1)
+    text = plan(rows)
+    assert text.count("WindowGroupLimit") == 2 and "Partial" in text

@@ -248,13 +248,21 @@ BANK_MANDIRI = [
 Change = Callable[[Column], Column]
 
 
-def changed(df: DataFrame, changes: dict[str, Change]) -> DataFrame:
-    """Apply cell normalisers by column name, in one projection."""
+def rejected(raw_cell: Column, value: Column) -> Column:
+    """True for a filled cell that became NULL: a day that does not exist, an id that is no number."""
+    return (F.trim(raw_cell) != "") & value.isNull()
+
+
+def changed(df: DataFrame, changes: dict[str, Change], checked: Sequence[str] = ()) -> DataFrame:
+    """Apply cell normalisers by column name, in one projection.
+
+    ``checked`` columns may turn NULL; ``rejected`` then names the first one that did.
+    """
+    new = {c: change(F.col(f"`{c}`")).cast("string") for c, change in changes.items()}
+    flag = F.coalesce(*[F.when(rejected(F.col(f"`{c}`"), new[c]), c) for c in checked]) if checked else None
     return df.select(
-        *[
-            changes[c](F.col(f"`{c}`")).cast("string").alias(c) if c in changes else F.col(f"`{c}`")
-            for c in df.columns
-        ]
+        *[new[c].alias(c) if c in new else F.col(f"`{c}`") for c in df.columns],
+        *([flag.alias("rejected")] if checked else []),
     )
 
 
@@ -301,7 +309,9 @@ def fmt_mandiri(lines: DataFrame) -> DataFrame:
 
     own = {"TRXDATE": dates.day_mandiri, "TRXTIME": times.clock_mandiri}
     return changed(
-        table, {c: (lambda v, f=own.get(c): clean(f(v) if f else v)) for c in MANDIRI}
+        table,
+        {c: (lambda v, f=own.get(c): clean(f(v) if f else v)) for c in MANDIRI},
+        checked=["TRXDATE"],
     )
 
 
@@ -381,6 +391,7 @@ def fmt_nobu(rows: DataFrame) -> DataFrame:
             "approval_code": lambda c: text.pad_id(c, 6),
             "mdr": amounts.fee_rate,
         },
+        checked=["transaction_date"],
     )
 
 
@@ -410,15 +421,17 @@ def fmt_bri(rows: DataFrame) -> DataFrame:
 def fmt_bank_bca(rows: DataFrame) -> DataFrame:
     body = shaping.min_columns(shaping.cut_footer(shaping.seek_header(rows)), 5)
     amount, kind = amounts.amount_and_type(cell(3))
+    posted = dates.day_bank_bca(cell(0))
     return body.select(
         "file",
         "pos",
-        dates.day_bank_bca(cell(0)).alias("Transaction_Date"),
+        posted.alias("Transaction_Date"),
         cell(1).alias("Description"),
         cell(2).alias("Branch"),
         amounts.strip_grouping(amount).alias("Transaction_Amount"),
         kind.alias("Type_Trx"),
         amounts.strip_grouping(cell(4)).alias("Total_Amount"),
+        F.when(rejected(cell(0), posted), "Transaction_Date").alias("rejected"),
     )
 
 
@@ -443,6 +456,7 @@ def fmt_bank_mandiri(rows: DataFrame) -> DataFrame:
     return changed(
         shaping.by_position(body, BANK_MANDIRI),
         {"AccountNo": amounts.account_number, "Post_Date": dates.moment_text},
+        checked=["AccountNo"],
     )
 
 
