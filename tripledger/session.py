@@ -37,6 +37,7 @@ def local_session(cores: int | str = "*", memory: str = "16g", partitions: int =
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", str(partitions))
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
     )
     for key, value in SETTINGS.items():
         builder = builder.config(key, value)
