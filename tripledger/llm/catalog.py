@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import chat, quality, sharding
+from tripledger.llm import chat, decontaminate, language, neardup, pieces, quality, sharding, toxicity
 from tripledger.llm.common import documents, prepare
 from tripledger.session import read_table
 
@@ -40,3 +40,28 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
 @query("op7_sharding", sharding.oracle(SHARD_BYTES))
 def op7(spark: SparkSession, folder: str) -> DataFrame:
     return sharding.extendible_shards(documents(spark, folder), SHARD_BYTES)
+
+
+@query("op9_toxicity")
+def op9(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.toxicity(documents(spark, folder), read_table(spark, folder, "labels"))
+
+
+@query("op10_language_id")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    return language.language_id(documents(spark, folder))
+
+
+@query("op8_sentencepiece")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    return pieces.encode_documents(documents(spark, folder))
+
+
+@query("op6_decontamination")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminations(documents(spark, folder), read_table(spark, folder, "benchmark"))
+
+
+@query("op5_minhash_near_dedup")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    return neardup.near_duplicates(documents(spark, folder))

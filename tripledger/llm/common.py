@@ -122,14 +122,16 @@ _word_byte = np.zeros(256, bool)
 _word_byte[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
-def word_hashes(text: str) -> np.ndarray:
-    """One 64-bit hash per word of ``text`` in lower case; a word is a run of letters, digits or non-ASCII."""
+def word_edges(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bytes of ``text`` in lower case, and start and end of each word: a run of letters, digits or non-ASCII."""
     data = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), np.uint8)
-    if not len(data):
-        return np.zeros(0, np.uint64)
-    inside = _word_byte[data]
-    edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-    starts, ends = edges[::2], edges[1::2]
+    edges = np.flatnonzero(np.diff(_word_byte[data], prepend=False, append=False))
+    return data, edges[::2], edges[1::2]
+
+
+def word_hashes(text: str) -> np.ndarray:
+    """One 64-bit hash per word of ``text``."""
+    data, starts, ends = word_edges(text)
     if not len(starts):
         return np.zeros(0, np.uint64)
     return mix(hash_spans(prefix_sums(data), starts, ends) ^ (ends - starts).astype(np.uint64))
