@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import chat, decontaminate, language, neardup, pieces, quality, sharding, toxicity
+from tripledger.llm import chat, decontaminate, language, neardup, pieces, quality, sharding, suffixes, toxicity
 from tripledger.llm.common import documents, prepare
 from tripledger.session import read_table
 
@@ -65,3 +65,9 @@ def op6(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_minhash_near_dedup")
 def op5(spark: SparkSession, folder: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, folder))
+
+
+@query("op1_suffix_array_dedup")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    found = suffixes.repeats(documents(spark, folder))
+    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")

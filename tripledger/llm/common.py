@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 import uuid
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -12,14 +14,24 @@ from pyspark.sql import functions as F
 
 from tripledger.session import configure, read_table, scratch_root
 
-# Rows and bytes per Arrow batch: a batch of very long texts stays small in a Python worker.
-BATCH = {"spark.sql.execution.arrow.maxRecordsPerBatch": "400", "spark.sql.execution.arrow.maxBytesPerBatch": "16777216"}
+# Rows and bytes per Arrow batch: a batch of very long texts stays small in a Python worker. Shuffle files go as soon as
+# the query that wrote them ends, so operators of several steps need the disk of their largest step only.
+SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "400",
+    "spark.sql.execution.arrow.maxBytesPerBatch": "16777216",
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+}
 
 
 def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
-    for key, value in BATCH.items():
+    for key, value in SETTINGS.items():
         spark.conf.set(key, value)
+    # Python workers import this package from where the driver has it; elsewhere it is installed or shipped with the job.
+    root = str(Path(__file__).resolve().parents[2])
+    paths = [p for p in spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([*paths, root])
     return spark
 
 
