@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import chat, decontaminate, language, neardup, pieces, quality, sharding, suffixes, toxicity
+from tripledger.llm import chat, decontaminate, html, language, neardup, pieces, quality, sharding, suffixes, toxicity
 from tripledger.llm.common import documents, prepare
 from tripledger.session import read_table
 
@@ -71,3 +71,8 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 def op1(spark: SparkSession, folder: str) -> DataFrame:
     found = suffixes.repeats(documents(spark, folder))
     return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
+@query("op2_html_extraction")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    return html.main_text(read_table(prepare(spark), folder, "pages"))

@@ -261,6 +261,7 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     same = (mine["__key"] == kept["__key"]) & mine["doc_id"].eqNullSafe(kept["__id"])
     # Rows equal in id and text: one of them stays, by the order of their columns.
     once = mine.join(kept, same, "left_semi")
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    picked = once.groupBy("__key", "doc_id").agg(F.min(F.struct("text", *[F.col(f"`{c}`") for c in others])).alias("__row"))
-    return picked.select(*[F.col("doc_id") if c == "doc_id" else F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    plain = [f.name for f in docs.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    picked = once.groupBy("__key", "doc_id").agg(F.min_by(columns, F.struct(*[F.col(f"`{c}`") for c in plain])).alias("__row"))
+    return picked.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
