@@ -47,7 +47,7 @@ def final_messages(events: DataFrame) -> DataFrame:
     resets = F.filter(
         F.transform("log", lambda e, i: F.when(e["kind"].isin("edit", "regenerate", "start"), i)), lambda i: i.isNotNull()
     )
-    last = F.coalesce(F.element_at(resets, -1), F.lit(0))
+    last = F.coalesce(F.try_element_at(resets, F.lit(-1)), F.lit(0))
     standing = F.slice("log", last + 1, F.size("log"))
     pieces = F.transform(standing, lambda e: F.when(e["kind"].isin("delta", "edit"), e["text"]).otherwise(""))
     roles = F.filter(F.transform("log", lambda e: e["role"]), lambda r: r.isNotNull())
