@@ -230,7 +230,8 @@ def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``; a character that loses a byte goes, other columns stay."""
-    place_of_text = docs.columns.index("text")
+    names = docs.columns
+    place_of_text = names.index("text")
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(place_of_text).to_pylist()
@@ -238,7 +239,7 @@ def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         for text, spans in zip(texts, batch.column("__spans").to_pylist()):
             data = _bytes(text)
             out.append(text if not spans else data[kept_mask(len(data), spans, length)].tobytes().decode("utf-8", "ignore"))
-        columns = [pa.array(out, pa.string()) if i == place_of_text else batch.column(i) for i in range(len(docs.columns))]
-        return pa.RecordBatch.from_arrays(columns, names=docs.columns)
+        columns = [pa.array(out, pa.string()) if i == place_of_text else batch.column(i) for i in range(len(names))]
+        return pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_batches(with_spans(docs, length), run, docs.schema)
