@@ -148,9 +148,8 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, least: int = LEAST, ag
     pairs = stored(aligned.groupBy("key", "item_id").agg(F.collect_set("shift").alias("shifts")), "alignments")
     texts = docs.select(text_key().alias("key"), "text").join(pairs.select("key").distinct(), "key", "left_semi")
     texts = texts.groupBy("key").agg(F.first("text").alias("text"))
-    # One text per id; ids that share several texts keep the first in order.
-    known = items.select("item_id", F.coalesce("text", F.lit("")).alias("item_text")).distinct()
-    rows = pairs.join(texts, "key").join(known, pairs["item_id"].eqNullSafe(known["item_id"])).drop(known["item_id"])
+    known = items.select(F.col("item_id").alias("known_id"), F.coalesce("text", F.lit("")).alias("item_text")).distinct()
+    rows = pairs.join(texts, "key").join(known, F.col("item_id").eqNullSafe(F.col("known_id")))
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         found = []
