@@ -3,15 +3,16 @@
 A text is the bag of its five-word shingles. A shingle weighs ``1 + ln(tf)`` times its idf, and two texts are as alike as their
 weighted Jaccard similarity, the sum of smaller weights over the sum of larger ones. ICWS draws a sample of each text so that
 two texts draw the same with just that probability; ``ROWS`` samples make a band, and texts that agree on one of ``BANDS``
-bands meet in a bucket. With 24 bands of 5, a pair of similarity 0.8 meets with probability 0.9999.
+bands meet in a bucket. With 16 bands of 4, a pair of similarity 0.8 meets with probability 0.9998.
 
 Document frequencies come from all documents, counted in a table of fixed size (``DF_SLOTS``) by hash, with the mean
 count of other shingles taken off. idf is damped to ``[1, 1 + IDF_SPAN]``: near copies raise the frequency of all they share, so a
 full idf would push the members of a large family apart.
 
 A bucket never gives all its pairs. Its member with most company over all its buckets stands for it, and the others are
-compared with that one, on their whole texts. Links so far give groups; members of a bucket that no link joins yet are
-taken up again under another representative, until every two groups that share a bucket have been compared.
+compared with that one, on their whole texts. Links so far give groups; a bucket that still holds several groups is taken
+up again with one member of each, under 4, 16, ... representatives, until every two groups that share a bucket have been compared. So copies of one
+text cost a comparison each, and only texts that are unlike but meet often (copies far from their source) cost more.
 
 Equal texts are one text throughout. Texts of fewer than five words have one shingle of all words; texts without words (null and
 empty ones too) are alike only if equal. Ties of representatives go to the smaller text key. A null doc_id stands last in its class.
@@ -33,8 +34,10 @@ from tripledger.llm.components import components
 
 WORDS = 5
 THRESHOLD = 0.8
-BANDS = 24
-ROWS = 5
+BANDS = 16
+ROWS = 4
+# Shingles that are sampled side by side: so many fit a core's cache.
+SIDE_BY_SIDE = 1 << 14
 DF_SLOTS = 1 << 20
 IDF_SPAN = 0.1
 # Rows of counts that a task hands on at once.
@@ -114,30 +117,42 @@ class Sampler:
         rng = np.random.default_rng(seed)
         self.bands, self.rows = bands, rows
         self.seeds = rng.integers(1, 1 << 63, bands * rows, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        # Gamma(2, 1) by its quantiles: 65,536 equal steps of probability.
-        grid = np.linspace(0, 40, 1 << 20)
-        steps = (np.arange(1 << 16) + 0.5) / (1 << 16)
-        gamma = np.interp(steps, 1 - (1 + grid) * np.exp(-grid), grid)
-        self.gamma, self.log_gamma = gamma.astype(np.float32), np.log(gamma).astype(np.float32)
-
-    def bands_of(self, hashes: np.ndarray, weights: np.ndarray) -> np.ndarray:
-        """One hash per band of a text's samples."""
-        logs = np.log(weights).astype(np.float32)
-        low = np.uint64(0xFFFF)
-        picked, steps = np.zeros(len(self.seeds), np.int64), np.zeros(len(self.seeds), np.int64)
+        # Pairs of Gamma(2, 1) draws: 16 bits of a hash pick one.
+        draws = rng.gamma(2, 1, (2, 1 << 16))
+        self.r, self.log_c = draws[0].astype(np.float32), np.log(draws[1]).astype(np.float32)
+        self.pace = 1 / self.r
+
+    def bands_of(self, bags: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+        """One row of band hashes per bag (hashes, weights); no bag is empty."""
+        hashes = np.concatenate([h for h, _ in bags])
+        logs = np.log(np.concatenate([w for _, w in bags])).astype(np.float32)
+        starts = np.cumsum([0, *(len(h) for h, _ in bags[:-1])])
+        place = np.arange(len(hashes))
+        samples = np.zeros((len(self.seeds), len(bags)), np.uint64)
         for j, seed in enumerate(self.seeds):
             x = hashes * seed
             x ^= x >> np.uint64(29)
             x *= np.uint64(0xD6E8FEB86659FD93)
-            r = self.gamma[(x >> np.uint64(48)).astype(np.int32)]
-            beta = ((x >> np.uint64(16)) & low).astype(np.float32) * np.float32(1 / 65536)
-            t = np.floor(logs / r + beta)
-            cost = self.log_gamma[((x >> np.uint64(32)) & low).astype(np.int32)] - r * (t - beta) - r
-            picked[j] = cost.argmin()
-            steps[j] = t[picked[j]]
-        samples = mix(hashes[picked] + mix(steps.view(np.uint64)))
-        out = np.arange(self.bands, dtype=np.uint64) + np.uint64(1)
-        for row in samples.reshape(self.bands, self.rows).T:
+            draw = (x >> np.uint64(48)).astype(np.int32)
+            beta = ((x >> np.uint64(16)).astype(np.uint16)).astype(np.float32)
+            beta *= np.float32(1 / 65536)
+            t = logs * self.pace[draw]
+            t += beta
+            np.floor(t, out=t)
+            # ln a = ln c - r (t - beta) - r
+            beta -= t
+            beta -= 1
+            beta *= self.r[draw]
+            beta += self.log_c[draw]
+            # The bits of a float in an integer of the same order, the place below.
+            order = beta.view(np.int32)
+            order = (order ^ ((order >> 31) & 0x7FFFFFFF)).astype(np.int64)
+            order <<= 32
+            order |= place
+            picked = np.minimum.reduceat(order, starts) & 0xFFFFFFFF
+            samples[j] = mix(hashes[picked] + mix(t[picked].astype(np.int64).view(np.uint64)))
+        out = np.tile(np.arange(self.bands, dtype=np.uint64) + np.uint64(1), (len(bags), 1))
+        for row in samples.reshape(self.bands, self.rows, len(bags)).transpose(1, 2, 0):
             out = mix(out * np.uint64(0x9E3779B97F4A7C15) + row)
         return out
 
@@ -155,15 +170,21 @@ def band_rows(docs: DataFrame, frequencies) -> DataFrame:
     sampler = Sampler()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, owner, seen = [], [], set()
+        found, owner, bags, seen, size = [], [], [], set(), 0
         for i, (key, text) in enumerate(zip(batch.column("key").to_pylist(), texts_of(batch))):
             if key in seen:
                 continue
             seen.add(key)
             hashes, counts = shingles(text)
             if len(hashes):
-                found.append(sampler.bands_of(hashes, frequencies.value.weights(hashes, counts)))
+                bags.append((hashes, frequencies.value.weights(hashes, counts)))
                 owner += [i] * BANDS
+                size += len(hashes)
+            if size >= SIDE_BY_SIDE:
+                found.append(sampler.bands_of(bags).ravel())
+                bags, size = [], 0
+        if bags:
+            found.append(sampler.bands_of(bags).ravel())
         bands = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
         return pa.RecordBatch.from_arrays([pa.array(bands), batch.column("key").take(pa.array(owner, pa.int64()))], names=["band", "key"])
 
@@ -206,24 +227,23 @@ def links_and_groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Dat
     texts = stored(keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "bucket-texts")
     # Groups so far: a text without links is a group of its own.
     active = members.withColumn("root", F.col("key"))
-    links, groups = [], None
+    links, groups, number = [], None, 1
     while True:
-        stands = active.groupBy("band").agg(F.max(F.struct("company", F.col("key").alias("b"), "root")).alias("rep"))
-        meets = active.join(stands, "band").where(F.col("root") != F.col("rep.root"))
-        pairs = stored(meets.select(F.col("key").alias("a"), F.col("rep.b").alias("b")).distinct(), "pairs")
+        slot = F.pmod(F.xxhash64("key"), F.lit(number)).alias("slot")
+        stands = active.groupBy("band", slot).agg(F.max(F.struct("company", "key", "root")).alias("rep"))
+        stands = stored(stands.select("band", F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root")), "stands")
+        meets = active.join(stands, "band").where(F.col("root") != F.col("rep_root"))
+        pairs = stored(meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct(), "pairs")
         if pairs.isEmpty():
             break
         links.append(stored(compared(pairs, texts, shared).where(F.col("similarity") >= threshold), "links"))
         groups = stored(components(reduce(DataFrame.unionByName, links)), "groups")
-        # Next: without the representatives, one member of each group that the representative's group did not take in.
-        group_of = groups.withColumnRenamed("root", "now")
-        rest = active.join(stands, "band").where(F.col("key") != F.col("rep.b"))
-        rest = rest.join(group_of, "key", "left").withColumn("root", F.coalesce("now", "key")).drop("now")
-        reps = group_of.select(F.col("key").alias("rep_key"), F.col("now").alias("rep_now"))
-        rest = rest.join(reps, F.col("rep.b") == F.col("rep_key"), "left")
-        rest = rest.where(F.col("root") != F.coalesce("rep_now", "rep.b"))
+        # Next: one member of each group, without those that stood for a bucket this time.
+        rest = active.join(stands, (active["band"] == stands["band"]) & (active["key"] == stands["b"]), "left_anti")
+        rest = rest.join(groups.withColumnRenamed("root", "now"), "key", "left").withColumn("root", F.coalesce("now", "key"))
         one = F.max(F.struct("company", "key")).alias("one")
         active = stored(rest.groupBy("band", "root").agg(one).select("band", "one.key", "one.company", "root"), "active")
+        number *= 4
     empty = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
     found = reduce(DataFrame.unionByName, links, empty)
     if groups is None:
