@@ -28,7 +28,7 @@ def source_rows(name):
 
 
 def mandiri_cells(lines):
-    return raw.trimmed_cells_of(lines, len(formatters.MANDIRI))
+    return raw.trimmed_cells_of(lines)
 
 
 # Readers -----------------------------------------------------------------------------------------
@@ -54,7 +54,7 @@ def _(spark, folder):
     "UNION ALL SELECT 'H5', 'H2', 'H10' FROM (SELECT DISTINCT l_suppkey FROM lineitem)",
 )
 def _(spark, folder):
-    rows = raw.read_cells(spark, raw_path(spark, folder, "shopeepay"), 27)
+    rows = raw.read_cells(spark, raw_path(spark, folder, "shopeepay"))
     return rows.select(cell(5).alias("trx"), cell(2).alias("name"), cell(10).alias("amount"))
 
 
@@ -64,7 +64,7 @@ def _(spark, folder):
     "UNION ALL SELECT unnest(['D', '', '']), unnest(['F', '', '']) FROM (SELECT DISTINCT l_suppkey FROM lineitem)",
 )
 def _(spark, folder):
-    rows = raw.read_cells(spark, raw_path(spark, folder, "bank_mandiri"), 8, ";")
+    rows = raw.read_cells(spark, raw_path(spark, folder, "bank_mandiri"), ";")
     return rows.select(cell(3).alias("remarks"), cell(5).alias("amount"))
 
 
@@ -307,7 +307,7 @@ def _roundtrip(sep):
         )
         path = _fresh(spark, "sink")
         sinks.write_delimited(table, path, sep)
-        rows = shaping.take_header(raw.read_cells(spark, path, 3, sep), verbatim=True)
+        rows = shaping.take_header(raw.read_cells(spark, path, sep), verbatim=True)
         return shaping.by_name(rows, {c: c for c in table.columns}).select("trx", "name", "blank")
 
     return run

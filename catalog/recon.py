@@ -308,7 +308,8 @@ def _(spark, folder):
         + ", ".join(f"SUM(ROUND({m})) AS {m}" for m in duck.METRICS)
         + f" FROM final f WHERE COALESCE({', '.join(duck.METRICS)}) IS NOT NULL AND NOT EXISTS (SELECT 1 FROM date_array d "
         f"WHERE d.receival_date < {duck.AS_OF} AND d.receival_date = f.receival_date "
-        "AND d.issuer_name = f.bank || ' - ' || f.remarks) GROUP BY 1, 2, 3",
+        "AND d.issuer_name = f.bank || ' - ' || f.remarks) "
+        f"AND (f.receival_date >= {duck.START} OR f.receival_date IS NULL) GROUP BY 1, 2, 3",
         _KEYS | _METRICS,
     ),
 )

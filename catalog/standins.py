@@ -57,6 +57,8 @@ RULES = ReconRules(
         SegmentRule("LINKAJA", "vendor_type", (("AUTOMOBILE", "MCD"), ("MACHINERY", "EXPANSION")), "MSME"),
         SegmentRule("OTTOPAY", "vendor_type", (), "OTTOPAY"),
         SegmentRule("INDODANA", "vendor_type", (("HOUSEHOLD", "Retail"),), "INDODANA"),
+        # Categories that the remarks of these issuers do not name: one group each.
+        *(SegmentRule(i, "vendor_type", (("AUTOMOBILE", "MCD"), ("BUILDING", "FM")), "Other") for i in ("SHOPEEPAY", "OVO", "BCA", "BTN")),
     ),
     rates=(
         RateRule("OTTOPAY", "0.0054", "0.0035"),

@@ -26,7 +26,7 @@ def test_order_survives_splits(spark, tmp_path):
     try:
         lines = raw.read_lines(spark, path)
         assert lines.rdd.getNumPartitions() > 4
-        body = shaping.cut_total(shaping.drop_leading(raw.cells_of(lines, 2), 2))
+        body = shaping.cut_total(shaping.drop_leading(raw.cells_of(lines), 2))
         assert firsts(body) == [str(i) for i in range(count)]
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -37,7 +37,7 @@ def test_separator_per_file(spark, tmp_path):
     lines = raw.read_lines(spark, path)
     seps = {r.file[-5:]: r.sep for r in raw.detect_first_line(lines).collect()}
     assert seps == {"a.csv": ";", "b.csv": ",", "c.csv": ","}
-    rows = raw.read_detected(spark, path, 3)
+    rows = raw.read_detected(spark, path)
     assert [r.cells for r in rows.where(F.col("file").endswith("a.csv")).orderBy("pos").collect()] == [["x", "y", "z"], ["1,5", "2", "3"]]
 
 
@@ -48,7 +48,7 @@ def test_records_over_several_lines(spark, tmp_path):
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
     try:
-        rows = raw.read_detected(spark, path, 3)
+        rows = raw.read_detected(spark, path)
         got = rows.where(F.col("file").endswith("a.csv")).orderBy("pos").select("cells", "width").collect()
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", before)
@@ -61,18 +61,68 @@ def test_records_over_several_lines(spark, tmp_path):
 
 def test_headers_may_differ_between_files(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": "A,B\n1,2\n", "b.csv": "B,C\n3,4\n"})
-    rows = shaping.take_header(raw.read_cells(spark, path, 4))
+    rows = shaping.take_header(raw.read_cells(spark, path))
     got = rows.orderBy("file").select(named("A"), named("B"), named("C")).collect()
     assert [tuple(r) for r in got] == [("1", "2", ""), ("", "3", "4")]
 
 
 def test_quoted_cells(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": 'h,i\n"a\nb","say ""x"", y"\nshort\n1,2,3\n'})
-    rows = raw.read_cells(spark, path, 2).orderBy("pos").collect()
-    assert [r.cells for r in rows] == [["h", "i"], ["a\nb", 'say "x", y'], ["short", ""], ["1", "2"]]
+    rows = raw.read_cells(spark, path).orderBy("pos").collect()
+    assert [r.cells for r in rows] == [["h", "i"], ["a\nb", 'say "x", y'], ["short"], ["1", "2", "3"]]
     assert [r.width for r in rows] == [2, 2, 1, 3]
 
 
+def test_quotes_that_quote_nothing(spark, tmp_path):
+    """A quote inside a cell is text, and one that never closes spoils its own cell only."""
+    lines = ["h;i", "1;5\" pipe"] + [f"{i};x" for i in range(2, 1002)]
+    late = ["a;b", '1;"x', 'y";2', '3;"open', "4;z", "5;w"]
+    path = write_files(tmp_path, {"a.csv": "\n".join(lines) + "\n", "b.csv": "\n".join(late) + "\n"})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for size in ("1k", before):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            rows = raw.read_detected(spark, path)
+            a = [r.cells for r in rows.where(F.col("file").endswith("a.csv")).orderBy("pos").collect()]
+            b = [r.cells for r in rows.where(F.col("file").endswith("b.csv")).orderBy("pos").collect()]
+        finally:
+            spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+        assert a == [["h", "i"], ["1", '5" pipe'], *([str(i), "x"] for i in range(2, 1002))]
+        assert b == [["a", "b"], ["1", "x\ny", "2"], ["3", '"open'], ["4", "z"], ["5", "w"]]
+
+
+def test_records_split_anywhere(spark, tmp_path):
+    """Fixed separator, line breaks in cells, one file over many splits."""
+    records = [f'{i},"a\n\n{i},""b""\n",z' if i % 3 == 0 else f'{i},"q, r",""' for i in range(2_000)]
+    path = write_files(tmp_path, {"a.csv": "\n".join(records) + "\n\n"})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    try:
+        got = [r.cells for r in raw.read_cells(spark, path).orderBy("pos").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert got == [[str(i), f'a\n\n{i},"b"\n', "z"] if i % 3 == 0 else [str(i), "q, r", ""] for i in range(2_000)]
+
+
+def test_columns_at_any_place_and_unlisted_ones(spark, tmp_path):
+    names = [f"x{i}" for i in range(60)] + ["Transaction Date", "Amount", "More", "More"]
+    cells = [f"v{i}" for i in range(60)] + ["05-03-2024", "7", "first", "second"]
+    path = write_files(tmp_path, {"a.csv": ";".join(names) + "\n" + ";".join(cells) + ";extra\n"})
+    row = formatters.SOURCES["btn"].run(spark, path).first()
+    assert row.amount == "7" and row.transaction_date
+    assert len(row.unlisted) == 62 and row.unlisted["x59"] == "v59" and row.unlisted["more"] == "second" and row.unlisted["column 65"] == "extra"
+    assert formatters.SOURCES["bank_bca"].run(spark, path).count() == 0
+
+
+def test_strict_values():
+    import re
+
+    good = {"9:5": True, "23:59:59": True, "99:99:99": False, "24:00": False, "1:2:3.5": True, "12": False}
+    assert {c: bool(re.match(loader.CLOCK, c)) for c in good} == good
+    days = {"2024": False, "2024-01": False, "2024-1-2": True, "2024-01-02 3:04:05": True, "2024-01-02x": False}
+    assert {d: bool(re.match(loader.DAY, d)) for d in days} == days
+
+
 def test_statement_body(spark, tmp_path):
     head = "Saldo Awal,1\nTanggal Transaksi,Keterangan,Cabang,Jumlah,Saldo\n"
     body = '05/03/2024,"TRF, x",0001,"1,000.50 CR","2,000.00"\nonly,four,cells,here\n'
@@ -96,7 +146,7 @@ def test_numeric_run(spark, tmp_path):
 
 def test_trailing_empty_rows(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": "1;a\n;\n2;b\n;\n ; \n"})
-    assert firsts(shaping.trim_trailing_empty(raw.read_cells(spark, path, 2, ";"))) == ["1", "", "2"]
+    assert firsts(shaping.trim_trailing_empty(raw.read_cells(spark, path, ";"))) == ["1", "", "2"]
 
 
 def test_formatted_file_loads(spark, tmp_path):
@@ -137,6 +187,18 @@ def test_skip_rows_and_glob(spark, tmp_path):
     assert table.count() == 3
 
 
+def test_load_over_many_splits(spark, tmp_path):
+    rows = [f'{i};2024-01-02 03:04:05;"Sa\nle;";1;1;ok' for i in range(1500)]
+    path = write_files(tmp_path, {"a.csv": ovo_file(*rows)})
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4k")
+    try:
+        table = loader.load_strict(spark, path, OVO)
+        assert table.where("transactionamount >= 1 AND transactiontype = 'Sa\nle;'").count() == 1500
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_write_modes(spark, tmp_path):
     rows, path = spark.range(3).toDF("id"), str(tmp_path / "t")
     loader.write_table(rows, path, "empty")

@@ -65,6 +65,13 @@ def test_each_statement_is_scanned_once(tables):
     assert "Cartesian" not in text
 
 
+def test_statements_are_read_for_the_period_only(tables):
+    text = plan(banks.bank_contributions(tables, RULES, bounded=True))
+    for column in ("transaction_date", "post_date", "postdate"):
+        assert re.search(rf"PushedFilters: \[[^\n]*GreaterThanOrEqual\({column},", text), column
+    assert re.search(r"Filter [^\n]*trx_datetime[^\n]*>= ", text)
+
+
 def test_hot_key(spark, no_broadcast):
     """A third of the rows share one transaction id and one merchant: results stay whole."""
     rows = 30_000

@@ -2,12 +2,14 @@
 
 from datetime import date
 
+import pytest
 from conftest import day, moment, money
 from pyspark.sql import functions as F
 
 from tripledger.operators import classify, contributions, spine, timing
 from tripledger.operators.classify import RateRule, SegmentRule
-from tripledger.plans import production
+from tripledger.plans import issuers, production
+from tripledger.plans.rules import ProductionRule, ReconRules
 
 
 def column(spark, values, expr, kind):
@@ -85,3 +87,33 @@ def test_sum_of_rounded_partials(spark):
     total = contributions.sum_of_rounded(contributions.as_contribution(rows), ["bank"]).first()
     assert total.amount_received == 3 and total.yti_traffic is None
     assert rows.agg(contributions.whole(F.sum("amount_received"))).first()[0] == 2
+
+
+def test_categories_that_remarks_do_not_name_are_one_group(spark):
+    rows = [("OVO", "a", 1, "10.40"), ("OVO", "b", 1, "10.40"), ("KREDIVO", "a", 1, "3"), ("KREDIVO", "b", 1, "4")]
+    enriched = spark.createDataFrame(rows, "issuer string, merchant_category string, trx int, gmv string").selectExpr(
+        "*", "date '2024-01-05' AS adjusted_date", "cast(null AS string) AS remarks_time_split", "1 AS account_id", "'Customer Purchase' AS txn_type",
+        "cast(0.01 AS decimal(5,4)) AS mdr",
+    ).withColumn("gmv", F.col("gmv").cast("decimal(18,2)"))
+    got = production.production_contributions(enriched, ReconRules(as_of=date(2024, 6, 1))).collect()
+    assert sorted((r.bank, r.remarks, r.yti_traffic, r.yti_trx_amount) for r in got) == [
+        ("Kredivo", "a", 1, money(3)), ("Kredivo", "b", 1, money(4)), ("OVO", "OVO", 1, money("20.80")),
+    ]
+
+
+def test_rules_name_each_case_once():
+    with pytest.raises(ValueError, match="OVO / any category"):
+        ReconRules(as_of=date(2024, 6, 1), production=(ProductionRule("OVO", "OVO"), ProductionRule("OVO", "Other")))
+
+
+def test_issuers_follow_the_cutoffs_of_the_rules(spark):
+    rows = spark.createDataFrame([("1", moment("2024-01-05 22:30:00"))], "issuer_rrn string, transaction_time timestamp_ntz").selectExpr(
+        "*", "'Success' AS payment_status", "1 AS gross_amount", "1 AS nett_amount"
+    )
+    rules = ReconRules(as_of=date(2024, 6, 1))
+    late = rules.but(cutoffs={"OTTOPAY": "22:00:00"})
+    none = rules.but(cutoffs={})
+    days = [issuers.ottopay(rows, r).first().receival_date for r in (rules, late, none)]
+    assert days == [day("2024-01-05"), day("2024-01-06"), day("2024-01-05")]
+    hours = column(spark, MOMENTS, lambda c: timing.batch_label(c, "AM", "PM", ("23:00:00", "10:00:00")), "timestamp_ntz")
+    assert hours == ["AM", "PM", "PM", "PM", "AM", "AM", "PM"]

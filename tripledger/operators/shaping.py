@@ -31,12 +31,16 @@ def _first(rows: DataFrame, condition: Column) -> DataFrame:
     return rows.groupBy("file").agg(F.min(F.when(condition, F.col("pos"))).alias("mark"))
 
 
-def drop_leading(rows: DataFrame, count: int) -> DataFrame:
-    """Drop the first rows of each file. Only that many rows per file and task reach the window."""
+def leading_marks(rows: DataFrame, count: int) -> DataFrame:
+    """Place of the last of the first rows of each file. Only that many rows per file and task reach the window."""
     order = Window.partitionBy("file").orderBy("pos")
     head = rows.select("file", "pos").withColumn("n", F.row_number().over(order)).where(F.col("n") <= count)
-    marks = head.groupBy("file").agg(F.max("pos").alias("mark"))
-    return per_file(rows, marks, "inner").where(F.col("pos") > F.col("mark")).drop("mark")
+    return head.groupBy("file").agg(F.max("pos").alias("mark"))
+
+
+def drop_leading(rows: DataFrame, count: int) -> DataFrame:
+    """Drop the first rows of each file."""
+    return per_file(rows, leading_marks(rows, count), "inner").where(F.col("pos") > F.col("mark")).drop("mark")
 
 
 def drop_header(rows: DataFrame) -> DataFrame:
@@ -143,22 +147,40 @@ def by_position(rows: DataFrame, names: Sequence[str]) -> DataFrame:
     return rows.select("file", "pos", *[cell(i).alias(n) for i, n in enumerate(names)])
 
 
-def by_name(rows: DataFrame, sources: Mapping[str, str]) -> DataFrame:
-    """Target columns from source header names; a missing source gives blanks."""
-    return rows.select("file", "pos", *[named(s).alias(t) for t, s in sources.items()])
+def by_name(rows: DataFrame, sources: Mapping[str, str], rest: str | None = None) -> DataFrame:
+    """Target columns from source header names; a missing source gives blanks.
+
+    ``rest`` names a column for the cells of all other header names.
+    """
+    others = [unlisted(rows, list(sources.values())).alias(rest)] if rest else []
+    return rows.select("file", "pos", *[named(s).alias(t) for t, s in sources.items()], *others)
+
+
+def unlisted(rows: DataFrame, listed: Sequence[str]) -> Column:
+    """Cells under header names that are not listed, as a map from name to cell; NULL if there are none.
+
+    Files of one source may carry different further columns, so they are one column of the result. Of a
+    name that occurs twice, the last cell counts; a cell without a name is called by its place.
+    """
+    pairs = F.transform("cells", lambda c, i: F.struct(F.coalesce(F.get("header", i), F.lit("")).alias("name"), c.alias("cell"), i.alias("at")))
+    other = F.filter(pairs, lambda p: ~p["name"].isin(list(listed)))
+    named_pairs = F.transform(other, lambda p: F.struct(F.when(p["name"] == "", F.concat(F.lit("column "), p["at"] + 1)).otherwise(p["name"]), p["cell"]))
+    entries = F.when(F.size(other) > 0, named_pairs)
+    last = F.filter(entries, lambda e, i: ~F.exists(F.slice(entries, i + 2, F.size(entries)), lambda x: x["col1"] == e["col1"]))
+    return F.map_from_entries(last)
 
 
 def insert_if_missing(rows: DataFrame, column: str, at: int) -> DataFrame:
     """Insert a blank cell where a column is absent, so that later cells keep their place."""
     cells = F.col("cells")
-    shifted = F.concat(F.slice(cells, 1, at), F.array(F.lit("")), F.slice(cells, at + 1, 10_000))
+    shifted = F.concat(F.slice(cells, 1, at), F.array(F.lit("")), F.slice(cells, at + 1, F.size(cells)))
     return rows.withColumn("cells", F.when(has_column(column), cells).otherwise(shifted))
 
 
 def drop_cell(rows: DataFrame, at: int) -> DataFrame:
     """Remove the cell at a position."""
     cells = F.col("cells")
-    return rows.withColumn("cells", F.concat(F.slice(cells, 1, at), F.slice(cells, at + 2, 10_000)))
+    return rows.withColumn("cells", F.concat(F.slice(cells, 1, at), F.slice(cells, at + 2, F.size(cells))))
 
 
 def resplit_single_column(rows: DataFrame) -> DataFrame:

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from datetime import date
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 NTZ = "timestamp_ntz"
+# Names of the two batches of a day.
+BATCHES = ("AM (22.00-09.59)", "PM (10.00-21.59)")
 
 
 def clock_seconds(text: str) -> int:
@@ -39,12 +41,12 @@ def _rest_of_day(clock: str) -> Column:
     return F.expr(f"INTERVAL '{86400 - clock_seconds(clock)}' SECOND")
 
 
-def cutoff_shift(ts: Column, clock: str) -> Column:
-    """Receival date: at or after the cut-off belongs to the next day.
+def cutoff_shift(ts: Column, clock: str | None) -> Column:
+    """Receival date: at or after the cut-off belongs to the next day; without one the date stays.
 
     Moving the clock ahead by the rest of the day makes the cut-off the day boundary.
     """
-    return date_part(ts + _rest_of_day(clock))
+    return date_part(ts + _rest_of_day(clock)) if clock else date_part(ts)
 
 
 def cutoff_shift_by(issuer: Column, ts: Column, cutoffs: Mapping[str, str]) -> Column:
@@ -60,19 +62,17 @@ def overnight(ts: Column, night: str = "22:00:00", morning: str = "10:00:00") ->
     return at_or_after(ts, night) | ~at_or_after(ts, morning)
 
 
-def batch_label(ts: Column, am: str, pm: str) -> Column:
-    return F.when(overnight(ts), am).otherwise(pm)
+def batch_label(ts: Column, am: str, pm: str, hours: Sequence[str] = ("22:00:00", "10:00:00")) -> Column:
+    return F.when(overnight(ts, *hours), am).otherwise(pm)
 
 
 def hour_threshold_label(
     ts: Column, amount: Column, threshold: int, first: int = 10, last: int = 21
 ) -> Column:
     """Receipts by hour window and amount: money that arrives in the daytime settles the AM batch."""
-    small = amount < threshold
-    daytime = F.hour(ts).between(first, last)
-    return F.when(
-        daytime, F.when(small, "MCD AM (22.00-09.59)").otherwise("MSME AM (22.00-09.59)")
-    ).otherwise(F.when(small, "MCD PM (10.00-21.59)").otherwise("MSME PM (10.00-21.59)"))
+    merchant = F.when(amount < threshold, "MCD").otherwise("MSME")
+    batch = F.when(F.hour(ts).between(first, last), BATCHES[0]).otherwise(BATCHES[1])
+    return F.concat_ws(" ", merchant, batch)
 
 
 def bank_day_shift(day: Column, days: int = 1) -> Column:
@@ -102,7 +102,8 @@ def century(two_digits: Column, first_of_1900s: int) -> Column:
 
 # dd/MM/yy HH.mm with optional seconds; any character may separate the clock parts.
 POST_DATE = r"^\d{2}/\d{2}/\d{2} \d{2}.\d{2}(.\d{2})?$"
-POST_DATE_NO_SECONDS = r"^\d{2}/\d{2}/\d{2} \d{2}.\d{2}$"
+# Short form: nothing after the minutes.
+POST_DATE_NO_SECONDS = r"^(?:\d\d/){2}\d\d \d\d[^\n]\d\d$"
 
 
 def parse_post_date(text: Column) -> Column:

@@ -20,6 +20,11 @@ MANDIRI_FILE = "recon_mandiri_bank_file_report"
 MANDIRI_REPORT = "recon_mandiri_bank_report"
 
 
+def _in_period(posted: Column, rules: ReconRules) -> Column:
+    """Lines of the period, and lines without a date, which no period can claim."""
+    return timing.in_last_months(posted, rules.as_of, rules.report_months) | posted.isNull()
+
+
 def _day_before(day: str = "receival_date") -> Column:
     return timing.bank_day_shift(F.col(day))
 
@@ -76,17 +81,18 @@ def file_mandiri(statement: DataFrame, report: DataFrame, rules: ReconRules) ->
     )
 
 
-def file_bni(df: DataFrame, rules: ReconRules) -> DataFrame:
-    ts = timing.parse_post_date(F.col("post_date"))
-    return df.select(
-        ts.alias("trx_datetime"),
-        timing.date_part(ts).alias("receival_date"),
+def file_bni(df: DataFrame, rules: ReconRules, bounded: bool = False) -> DataFrame:
+    posted = df.select(
+        timing.parse_post_date(F.col("post_date")).alias("trx_datetime"),
         "description",
         F.upper("description").alias("upper"),
         F.col("credit").cast(MONEY).alias("amount_received"),
-    ).select(
+    )
+    if bounded:
+        posted = posted.where(_in_period(F.col("trx_datetime"), rules))
+    return posted.select(
         "trx_datetime",
-        "receival_date",
+        timing.date_part(F.col("trx_datetime")).alias("receival_date"),
         "description",
         "upper",
         classify.nested_words(F.col("upper"), rules.bni_groups).alias("remarks"),
@@ -141,26 +147,43 @@ def routed(lines: DataFrame, routes: list[Route], *extra: Column) -> DataFrame:
     return classify.explode_hits(lines, hits, "amount_received")
 
 
-def bni_lines(df: DataFrame, rules: ReconRules) -> DataFrame:
+def bni_lines(df: DataFrame, rules: ReconRules, bounded: bool = False) -> DataFrame:
     """All uses of the BNI statement in one pass: its own segments plus the routed issuers."""
     own = F.when(
         F.col("remarks") != "Other", classify.target(_day_before(), "BNI", F.col("remarks"))
     )
-    return routed(file_bni(df, rules), bni_routes(rules), own)
+    return routed(file_bni(df, rules, bounded), bni_routes(rules), own)
+
 
+# Raw posting column of each statement. BNI's is text and is bounded once it is parsed.
+POSTED = {BCA_FILE: "transaction_date", BTN_FILE: "post_date", MANDIRI_FILE: "postdate"}
 
-def bank_rows(tables: Mapping[str, DataFrame], rules: ReconRules) -> DataFrame:
-    """Row-level (KEYS, amount) of all statements at hand, as one UNION ALL."""
+
+def bank_rows(
+    tables: Mapping[str, DataFrame], rules: ReconRules, bounded: bool = False
+) -> DataFrame:
+    """Row-level (KEYS, amount) of all statements at hand, as one UNION ALL.
+
+    ``bounded`` adds the period filter: lines posted before the period pay for days before it, as a posting date is
+    shifted back or kept, never moved ahead. The names of Mandiri merchants come from the whole report.
+    """
     amount = "amount_received"
+
+    def statement(name: str) -> DataFrame:
+        df = tables[name]
+        if bounded and name in POSTED:
+            df = df.where(_in_period(F.col(POSTED[name]), rules))
+        return df
+
     frames = []
     if BCA_FILE in tables:
-        frames.append(routed(file_bca(tables[BCA_FILE]), bca_routes(rules)))
+        frames.append(routed(file_bca(statement(BCA_FILE)), bca_routes(rules)))
     if BNI_FILE in tables:
-        frames.append(bni_lines(tables[BNI_FILE], rules))
+        frames.append(bni_lines(statement(BNI_FILE), rules, bounded))
     if BTN_FILE in tables:
-        frames.append(routed(file_btn(tables[BTN_FILE]), btn_routes(rules)))
+        frames.append(routed(file_btn(statement(BTN_FILE)), btn_routes(rules)))
     if MANDIRI_FILE in tables:
-        mandiri = file_mandiri(tables[MANDIRI_FILE], tables[MANDIRI_REPORT], rules)
+        mandiri = file_mandiri(statement(MANDIRI_FILE), tables[MANDIRI_REPORT], rules)
         frames.append(
             mandiri.select(
                 _day_before().alias("receival_date"), F.lit("Mandiri").alias("bank"), "remarks", amount
@@ -169,5 +192,7 @@ def bank_rows(tables: Mapping[str, DataFrame], rules: ReconRules) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b), [f.select(*KEYS, amount) for f in frames])
 
 
-def bank_contributions(tables: Mapping[str, DataFrame], rules: ReconRules) -> DataFrame:
-    return contributions.received(bank_rows(tables, rules))
+def bank_contributions(
+    tables: Mapping[str, DataFrame], rules: ReconRules, bounded: bool = False
+) -> DataFrame:
+    return contributions.received(bank_rows(tables, rules, bounded))

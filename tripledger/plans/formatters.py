@@ -147,7 +147,7 @@ LINKAJA = [
     "remark",
     "chargebackoriginalbusinesstransactionid",
 ]
-OTTOPAY_WIDTH, OTTOPAY_MOMENT, OTTOPAY_DAYS, OTTOPAY_CLOCK = 39, 0, (22, 38), 23
+OTTOPAY_MOMENT, OTTOPAY_DAYS, OTTOPAY_CLOCK = 0, (22, 38), 23
 OTTOPAY = ["transaction_time", "issuer_rrn", "gross_amount", "nett_amount", "payment_status"]
 DASHBOARD = [
     "Order_ID",
@@ -245,6 +245,9 @@ BANK_MANDIRI = [
     "Close_Balance",
 ]
 
+# Column of all cells whose header name is in no list, for sources that pass every column on.
+REST = "unlisted"
+
 Change = Callable[[Column], Column]
 
 
@@ -271,7 +274,7 @@ def _each(names: Sequence[str], change: Change) -> dict[str, Change]:
 
 
 def fmt_btn(rows: DataFrame, columns: Sequence[str] = BTN) -> DataFrame:
-    named_rows = shaping.by_name(shaping.take_header(rows, case="lower"), {c: c for c in columns})
+    named_rows = shaping.by_name(shaping.take_header(rows, case="lower"), {c: c for c in columns}, REST)
     return changed(
         named_rows,
         {
@@ -286,7 +289,7 @@ def fmt_btn(rows: DataFrame, columns: Sequence[str] = BTN) -> DataFrame:
 
 
 def fmt_bca(rows: DataFrame, columns: Sequence[str] = BCA) -> DataFrame:
-    named_rows = shaping.by_name(shaping.take_header(rows, case="upper"), {c: c for c in columns})
+    named_rows = shaping.by_name(shaping.take_header(rows, case="upper"), {c: c for c in columns}, REST)
     return changed(
         named_rows,
         {"PAYMENT_DATE": dates.moment_text_bca, "PARTNER_REFERENCE_NO": amounts.reference_number},
@@ -302,7 +305,7 @@ def fmt_mandiri(lines: DataFrame) -> DataFrame:
     filled = shaping.drop_leading(lines, 5).where(F.trim("line") != "")
     total = F.upper(raw.first_cell(F.col("line"), F.col("sep"))).contains(shaping.TOTAL)
     body = shaping.before_first(shaping.drop_header(filled), total)
-    table = shaping.by_position(raw.trimmed_cells_of(body, len(MANDIRI)), MANDIRI)
+    table = shaping.by_position(raw.trimmed_cells_of(body), MANDIRI)
 
     def clean(c: Column) -> Column:
         return amounts.strip_grouping(text.strip_quotes(c))
@@ -354,18 +357,22 @@ def fmt_kredivo(rows: DataFrame) -> DataFrame:
 
 def fmt_linkaja(rows: DataFrame, columns: Sequence[str] = LINKAJA) -> DataFrame:
     body = shaping.take_header(shaping.cut_checksum(rows), case="lower")
-    return shaping.by_name(body, {c: c for c in columns})
+    return shaping.by_name(body, {c: c for c in columns}, REST)
 
 
 def fmt_ottopay(rows: DataFrame, columns: Sequence[str] = OTTOPAY) -> DataFrame:
     """Dates and clocks sit at fixed places; the columns are then taken by header name."""
     body = shaping.take_header(rows)
-    at = {OTTOPAY_MOMENT: dates.moment_otto, OTTOPAY_CLOCK: times.clock_otto}
-    at |= dict.fromkeys(OTTOPAY_DAYS, dates.day_otto)
-    cells = [at.get(i, lambda c: c)(cell(i)) for i in range(OTTOPAY_WIDTH)]
-    return shaping.by_name(
-        body.withColumn("cells", F.array(*cells)), {c: c for c in columns}
-    )
+    places = {OTTOPAY_MOMENT: dates.moment_otto, OTTOPAY_CLOCK: times.clock_otto}
+    places |= dict.fromkeys(OTTOPAY_DAYS, dates.day_otto)
+
+    def clean(c: Column, i: Column) -> Column:
+        value = c
+        for place, change in places.items():
+            value = F.when(i == place, change(c)).otherwise(value)
+        return value
+
+    return shaping.by_name(body.withColumn("cells", F.transform("cells", clean)), {c: c for c in columns}, REST)
 
 
 def fmt_ottopay_dashboard(rows: DataFrame) -> DataFrame:
@@ -472,48 +479,46 @@ class Source:
         return self.format(self.read(spark, path))
 
 
-def _cells(width: int, sep: str = ",") -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, path: raw.read_cells(spark, path, width, sep)
+def _cells(sep: str = ",") -> Callable[[SparkSession, str], DataFrame]:
+    return lambda spark, path: raw.read_cells(spark, path, sep)
 
 
 def _mandiri_lines(spark: SparkSession, path: str) -> DataFrame:
     return raw.with_separator(raw.read_lines(spark, path), raw.detect_whole_file)
 
 
-# Sources whose columns are found by name are read wider than their lists: a source may add columns.
-SPARE = 12
 SOURCES: dict[str, Source] = {
     "btn": Source(
-        lambda s, p: raw.read_detected(s, p, len(BTN) + SPARE), fmt_btn, ("recon_issuer_btn_bank_file_report",)
+        raw.read_detected, fmt_btn, ("recon_issuer_btn_bank_file_report",)
     ),
     "bca": Source(
-        lambda s, p: raw.read_detected(s, p, len(BCA) + SPARE), fmt_bca, ("recon_issuer_bca_bank_file_report",)
+        raw.read_detected, fmt_bca, ("recon_issuer_bca_bank_file_report",)
     ),
-    "bni": Source(_cells(len(BNI) + SPARE), fmt_bni, ("recon_bni_bank_report",)),
+    "bni": Source(_cells(), fmt_bni, ("recon_bni_bank_report",)),
     "mandiri": Source(_mandiri_lines, fmt_mandiri, ("recon_mandiri_bank_report",)),
-    "shopeepay": Source(_cells(len(SHOPEEPAY)), fmt_shopeepay, ("recon_shopeepay_report",)),
+    "shopeepay": Source(_cells(), fmt_shopeepay, ("recon_shopeepay_report",)),
     "indodana": Source(
-        lambda s, p: raw.read_unquoted_detected(s, p, len(INDODANA) + SPARE), fmt_indodana, ("recon_indodana_report",)
+        raw.read_unquoted_detected, fmt_indodana, ("recon_indodana_report",)
     ),
-    "kredivo": Source(_cells(14), fmt_kredivo, ("recon_kredivo_report",)),
+    "kredivo": Source(_cells(), fmt_kredivo, ("recon_kredivo_report",)),
     "linkaja": Source(
-        _cells(len(LINKAJA) + SPARE),
+        _cells(),
         fmt_linkaja,
         ("recon_linkaja_mcd_report", "recon_linkaja_expansion_report", "recon_linkaja_msme_report"),
     ),
-    "ottopay": Source(_cells(OTTOPAY_WIDTH + SPARE), fmt_ottopay, ("recon_issuer_ottopay_bank_file_report",)),
+    "ottopay": Source(_cells(), fmt_ottopay, ("recon_issuer_ottopay_bank_file_report",)),
     "ottopay_dashboard": Source(
-        _cells(len(DASHBOARD)), fmt_ottopay_dashboard, ("recon_ottopay_dashboard_report",)
+        _cells(), fmt_ottopay_dashboard, ("recon_ottopay_dashboard_report",)
     ),
-    "nobu": Source(_cells(len(NOBU) + 1), fmt_nobu),
-    "bri": Source(_cells(len(BRI)), fmt_bri),
-    "bank_bca": Source(_cells(5), fmt_bank_bca, ("recon_bca_bank_file_report",)),
+    "nobu": Source(_cells(), fmt_nobu),
+    "bri": Source(_cells(), fmt_bri),
+    "bank_bca": Source(_cells(), fmt_bank_bca, ("recon_bca_bank_file_report",)),
     "bank_btn": Source(
         lambda s, p: raw.naive_cells_of(raw.read_lines(s, p)), fmt_bank_btn, ("recon_btn_bank_file_mutation",)
     ),
-    "bank_bni": Source(_cells(len(BANK_BNI) + SPARE), fmt_bank_bni, ("recon_bni_bank_file_report",)),
+    "bank_bni": Source(_cells(), fmt_bank_bni, ("recon_bni_bank_file_report",)),
     "bank_mandiri": Source(
-        _cells(len(BANK_MANDIRI), ";"), fmt_bank_mandiri, ("recon_mandiri_bank_file_report",)
+        _cells(";"), fmt_bank_mandiri, ("recon_mandiri_bank_file_report",)
     ),
 }
 

@@ -108,20 +108,20 @@ def btn(df: DataFrame, rules: ReconRules) -> DataFrame:
 def ottopay(df: DataFrame, rules: ReconRules) -> DataFrame:
     ts = F.col("transaction_time")
     df = _recent(df.where(F.col("payment_status") == "Success"), "transaction_time", rules)
-    day = timing.cutoff_shift(ts, "23:30:00")
+    day = timing.cutoff_shift(ts, rules.cutoffs.get("OTTOPAY"))
     return _rows(df, day, "OTTOPAY", "OTTOPAY", "issuer_rrn", "gross_amount", "nett_amount")
 
 
-def _linkaja_batch(df: DataFrame, am: str, pm: str) -> DataFrame:
+def _linkaja_batch(df: DataFrame, am: str, pm: str, rules: ReconRules) -> DataFrame:
     df = df.withColumn(
         "ts", timing.combine_date_time(F.col("transaction_date"), F.col("transaction_time"))
     )
     ts = F.col("ts")
     return _rows(
         df,
-        timing.cutoff_shift(ts, "22:00:00"),
+        timing.cutoff_shift(ts, rules.cutoffs.get("LINKAJA")),
         "LinkAja",
-        timing.batch_label(ts, am, pm),
+        timing.batch_label(ts, am, pm, rules.batch_hours),
         "ref_no",
         "transaction_amount",
         "net_amount",
@@ -138,7 +138,7 @@ def _genuine(df: DataFrame) -> DataFrame:
 def linkaja_mcd(df: DataFrame, rules: ReconRules) -> DataFrame:
     if rules.linkaja_company is not None:
         df = df.where(F.col("company_code") == rules.linkaja_company)
-    return _linkaja_batch(df, MCD_AM, MCD_PM)
+    return _linkaja_batch(df, MCD_AM, MCD_PM, rules)
 
 
 def linkaja_expansion(df: DataFrame, rules: ReconRules) -> DataFrame:
@@ -151,7 +151,7 @@ def linkaja_expansion(df: DataFrame, rules: ReconRules) -> DataFrame:
 
 def linkaja_msme(df: DataFrame, rules: ReconRules) -> DataFrame:
     df = _genuine(df.where(classify.not_in(F.col("mid"), rules.linkaja_msme_mids)))
-    return _linkaja_batch(df, MSME_AM, MSME_PM)
+    return _linkaja_batch(df, MSME_AM, MSME_PM, rules)
 
 
 # Report name -> landed table and projection.

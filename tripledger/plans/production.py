@@ -69,7 +69,7 @@ def enrich_settlement(
     ).where(classify.not_in(F.col("master_account_id"), rules.excluded_accounts))
     split = F.when(
         issuer.isin(list(rules.time_split_issuers)),
-        timing.batch_label(ts, "AM Batch (22:00-09:59)", "PM Batch (10:00-21:59)"),
+        timing.batch_label(ts, "AM Batch (22:00-09:59)", "PM Batch (10:00-21:59)", rules.batch_hours),
     )
     return joined.select(
         timing.date_part(ts).alias("txn_date"),
@@ -146,8 +146,9 @@ def _remarks(rules: Sequence[ProductionRule]) -> Column:
 def classify_production(enriched: DataFrame, rules: ReconRules) -> DataFrame:
     """Row-level contribution rows (KEYS, trx, gross, net, slice), all issuers in one pass.
 
-    ``slice`` is a hidden group key: the rate where amounts are netted per rate, the category where
-    one issuer has several remark sets, so that each group is rounded by itself.
+    ``slice`` is a hidden group key: the rule, and the rate where amounts are netted per rate, so that
+    each of these groups is counted and rounded by itself. The categories of one rule are one group
+    unless its remarks name them.
     """
     listed = rules.production
     netted = F.col("rule").isin([i for i, r in enumerate(listed, 1) if r.netting])
@@ -162,9 +163,7 @@ def classify_production(enriched: DataFrame, rules: ReconRules) -> DataFrame:
             "trx",
             F.when(netted, purchase_minus_reversal(F.col("txn_type"), gmv)).otherwise(gmv).alias("gross"),
             "mdr",
-            F.when(netted, F.col("mdr").cast("string"))
-            .otherwise(F.col("merchant_category"))
-            .alias("slice"),
+            F.struct("rule", F.when(netted, F.col("mdr")).alias("rate")).alias("slice"),
         )
         .withColumn("net", net_of(F.col("gross"), F.col("mdr")).cast("decimal(24,6)"))
         .drop("mdr")

@@ -57,6 +57,8 @@ class ReconRules:
     excluded_accounts: tuple = ()
     cutoffs: dict[str, str] = field(default_factory=lambda: {"OTTOPAY": "23:30:00", "LINKAJA": "22:00:00"})
     time_split_issuers: tuple[str, ...] = ("LINKAJA",)
+    # Begin and end of the AM batch, which runs over midnight.
+    batch_hours: tuple[str, str] = ("22:00:00", "10:00:00")
     segments: tuple[SegmentRule, ...] = ()
     rates: tuple[RateRule, ...] = ()
     default_rate: str = "0.0070"
@@ -87,5 +89,11 @@ class ReconRules:
     kredivo_codes: tuple[tuple[str, str], ...] = ()
     linkaja_threshold: int = 10_000_000
 
+    def __post_init__(self):
+        cases = [(r.issuer, r.category) for r in self.production]
+        twice = sorted({f"{i} / {c or 'any category'}" for i, c in cases if cases.count((i, c)) > 1})
+        if twice:
+            raise ValueError(f"more than one production rule for {', '.join(twice)}")
+
     def but(self, **changes) -> ReconRules:
         return replace(self, **changes)

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.operators.contributions import on_spine, union_contributions, unmatched, with_gaps
+from tripledger.operators import timing
 from tripledger.operators.spine import date_spine
 from tripledger.plans.banks import bank_contributions
 from tripledger.plans.issuers import issuer_contributions
@@ -29,7 +30,7 @@ def all_contributions(
         [
             production_contributions(enriched, rules),
             issuer_contributions(tables, rules, bounded),
-            bank_contributions(tables, rules),
+            bank_contributions(tables, rules, bounded),
         ]
     )
 
@@ -54,8 +55,14 @@ def recon_gaps(
 def unmatched_contributions(
     spark: SparkSession, tables: Mapping[str, DataFrame], rules: ReconRules
 ) -> DataFrame:
-    """Money and traffic that the report does not show, per (date, bank, remarks)."""
+    """Money and traffic of the period that the report does not show, per (date, bank, remarks).
+
+    Days before the period belong to earlier reports. Rows without a date belong to none and are shown.
+    """
     spine = date_spine(spark, rules.as_of, rules.report_months).where(
         F.col("receival_date") < F.lit(rules.as_of)
     )
-    return unmatched(spine, all_contributions(tables, rules))
+    start = timing.period_start(rules.as_of, rules.report_months).cast("date")
+    day = F.col("receival_date")
+    given = all_contributions(tables, rules, bounded=True).where((day >= start) | day.isNull())
+    return unmatched(spine, given)

@@ -4,9 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, StructType
+from pyspark.sql import DataFrame
+from pyspark.sql.types import StructType
 
 NUMERIC = "decimal(38,9)"  # landed amounts
 RATE_LANDED = "decimal(18,10)"  # landed rates
@@ -176,12 +175,6 @@ REPORT = ["receival_date", "issuer_name", "bank", "remarks"] + METRICS
 METRIC_TYPE = "decimal(38,6)"
 
 
-def cell(value: Column, to: str | DataType) -> Column:
-    """Text cell to a declared type: blank is NULL for every type, a bad value is NULL."""
-    text = F.nullif(F.trim(value), F.lit(""))
-    return text if to == "string" else text.try_cast(to)
-
-
 def conform(df: DataFrame, table: str) -> DataFrame:
     """Project by name (case ignored) to a landed schema; columns the frame lacks become typed NULLs."""
     have = {c.lower(): f"`{c}`" for c in df.columns}

@@ -10,20 +10,35 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tripledger.operators.shaping import drop_leading
+from tripledger.operators.shaping import leading_marks
 from tripledger.schemas import TABLES, LandedTable
-from tripledger.sources.raw import read_cells
+from tripledger.sources import raw
 
-CLOCK = r"^\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?$"
+# A clock of the day, seconds optional; a whole day, a clock optional.
+CLOCK = r"^([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d+)?)?$"
+DAY = r"^\d{4}-\d{1,2}-\d{1,2}([ T]\d{1,2}:\d{1,2}(:\d{1,2}(\.\d+)?)?)?$"
 
 
-def typed(value: Column, kind: str) -> Column:
+def clock(value: Column) -> Column:
+    """``HH:mm:ss`` of a clock, zero-padded so that text compares like time; NULL if it is no clock."""
+    text = F.trim(value)
+    parts = F.split(F.split_part(text, F.lit("."), F.lit(1)), ":")
+    two = [F.lpad(F.coalesce(F.get(parts, F.lit(i)), F.lit("0")), 2, "0") for i in range(3)]
+    fraction = F.regexp_extract(text, r"\.\d+$", 0)
+    return F.when(text.rlike(CLOCK), F.concat(F.concat_ws(":", *two), fraction))
+
+
+def typed(value: Column, kind: str, is_clock: bool = False) -> Column:
     """Landed value of a text cell; NULL if blank or bad. Slashed dates are read as dashed."""
+    if is_clock:
+        return clock(value)
     if kind == "string":
         return F.nullif(value, F.lit(""))
     text = F.nullif(F.trim(value), F.lit(""))
     if kind in ("date", "timestamp_ntz"):
+        # A year or a month alone would be cast to its first day.
         text = F.regexp_replace(text, "/", "-")
+        text = F.when(text.rlike(DAY), text)
     return text.try_cast(kind)
 
 
@@ -36,8 +51,7 @@ def _fault(name: str, kind: str, is_clock: bool) -> Column:
     """Column name if its cell holds something that is not of the declared type."""
     c = F.col(f"`{name}`")
     filled = F.trim(c) != ""
-    bad = ~F.trim(c).rlike(CLOCK) if is_clock else typed(c, kind).isNull()
-    return F.when(filled & bad, name)
+    return F.when(filled & typed(c, kind, is_clock).isNull(), name)
 
 
 def read_normalised(
@@ -54,42 +68,27 @@ def read_normalised(
     not searched below its own level.
     """
     names = [n for n, _ in table.columns]
-    if header_rows == 1:
-        schema = ", ".join(f"`{n}` string" for n in [*names, "bad_row"])
-        rows = (
-            spark.read.schema(schema)
-            .options(
-                sep=sep,
-                header=True,
-                enforceSchema=True,
-                multiLine=quoted_newlines,
-                quote='"',
-                escape='"',
-                mode="PERMISSIVE",
-                columnNameOfCorruptRecord="bad_row",
-            )
-            .csv(path)
-        )
-    else:
-        raw = drop_leading(read_cells(spark, path, len(names), sep, quoted_newlines), header_rows)
-        rows = raw.select(
-            *[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)],
-            F.when(F.col("width") != len(names), F.array_join("cells", sep)).alias("bad_row"),
-        )
+    records = raw.read_records(spark, path, sep, quoted_newlines)
+    data = F.col("pos") > F.col("mark")
+    body = raw.filled(raw.per_file(records, leading_marks(records, header_rows), "inner").where(data))
+    rows = body.withColumn("cells", raw.line_cells(F.col("line"), sep)).select(
+        *[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)],
+        F.when(F.size("cells") != len(names), F.array_join("cells", sep)).alias("bad_row"),
+        data.alias("data"),
+    )
     shape = F.when(F.col("bad_row").isNotNull(), "row width")
     faults = [shape] + [_fault(*k) for k in _kinds(table) if k[1] != "string" or k[2]]
-    return rows.withColumn("fault", F.coalesce(*faults))
+    # A filter on a loaded column may be pushed below the step that drops the header rows: those have no faults.
+    return rows.withColumn("fault", F.when(F.col("data"), F.coalesce(*faults))).drop("data")
 
 
 def _typed_columns(table: LandedTable) -> list[Column]:
-    return [typed(F.col(f"`{n}`"), k).alias(n) for n, k in table.columns]
+    return [typed(F.col(f"`{n}`"), k, is_clock).alias(n) for n, k, is_clock in _kinds(table)]
 
 
 def load_strict(spark: SparkSession, path: str, table: str, **reading) -> DataFrame:
     """Typed table; the first bad row fails the load.
 
-    The check is part of the projection: as a filter it would move below the step that drops the
-    header rows, and fail on them.
     """
     declared = TABLES[table]
     rows = read_normalised(spark, path, declared, **reading)

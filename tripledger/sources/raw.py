@@ -1,15 +1,19 @@
 """Raw delimited files as rows of cells.
 
-A raw row is ``file`` (path), ``pos`` (order inside the file), ``cells`` (array of text, blank for an
-empty cell, as wide as asked for) and ``width`` (how many cells the row really had).
+A raw row is ``file`` (path), ``pos`` (order inside the file), ``cells`` (array of text, as wide as the
+row) and ``width`` (how many cells that is).
 
 ``pos`` only orders rows of one file: splits of a file are read in file order, so the increasing id
-grows along the file even when several tasks read it. Plain-line files split at any size; files whose
-quoted cells may hold line breaks are read whole, one file per task.
+grows along the file even when several tasks read it. All files split at any size, also those whose
+quoted cells hold line breaks: such records are put together again after the read.
+
+A double quote opens a quoted cell only at the start of a cell, and closes it only before a separator or the
+end of the line; two quotes inside stand for one. Any other quote is text.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -17,17 +21,10 @@ from pyspark.sql import functions as F
 
 from tripledger.functions.text import count_char, drop_double_quotes
 
-# A marks table has one short row per file; up to this many files it is broadcast.
-BROADCAST_FILES = 100_000
-
-
-def few_files(df: DataFrame) -> bool:
-    return len(df.inputFiles()) <= BROADCAST_FILES
-
 
 def per_file(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
-    """Join one row of marks per file back to the rows, without moving the rows if marks are few."""
-    return rows.join(F.broadcast(marks) if few_files(rows) else marks, "file", how)
+    """Join one row of marks per file back to the rows; the optimizer broadcasts marks of a small size."""
+    return rows.join(marks, "file", how)
 
 
 def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
@@ -39,92 +36,133 @@ def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*")
     )
 
 
-def _quotes_open(line: Column) -> Column:
-    """1 if the line opens or closes a quoted cell that runs over its end."""
-    return count_char(line, '"') % 2
+def _inside(sep: str) -> str:
+    """Pattern: text of a quoted cell up to the quote that closes it."""
+    return rf'[^"]*+(?:(?:""|"(?![ \t]*(?:{re.escape(sep)}|\z)))[^"]*+)*+'
+
+
+def _quoted(sep: str, blanks: str = "") -> str:
+    """Pattern: a whole quoted cell."""
+    return rf'{blanks}"{_inside(sep)}"[ \t]*(?={re.escape(sep)}|\z)'
+
+
+def _cell(sep: str, trim: bool) -> str:
+    """Pattern: a separator and the cell after it, as group 1."""
+    s = re.escape(sep)
+    return rf"{s}({_quoted(sep, '[ ]*' if trim else '')}|[^{s}]*+)"
+
+
+def _by_separator(sep: str | Column, use: Callable[[str], Column]) -> Column:
+    """``use`` with a fixed separator, or with each file's own one."""
+    return use(sep) if isinstance(sep, str) else F.when(sep == ";", use(";")).otherwise(use(","))
+
+
+def plain_cell(c: Column, trim: bool = False) -> Column:
+    """Value of a cell as it stands in the line: outer quotes off, doubled quotes single."""
+    text = F.trim(c) if trim else c
+    bare = F.rtrim(text)
+    quoted = text.startswith('"') & bare.endswith('"') & (F.length(bare) > 1)
+    value = F.replace(F.substr(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))
+    value = F.when(quoted, value).otherwise(text)
+    return F.trim(value) if trim else value
+
+
+def line_cells(line: Column, sep: str | Column, trim: bool = False) -> Column:
+    """All cells of a line, however many."""
+
+    def cells(s: str) -> Column:
+        found = F.regexp_extract_all(F.concat(F.lit(s), line), F.lit(_cell(s, trim)), F.lit(1))
+        plain = F.split(line, re.escape(s))
+        plain = F.transform(plain, lambda c: F.trim(c)) if trim else plain
+        # Most lines hold no quote: they are split without the pattern.
+        return F.when(line.contains('"'), F.transform(found, lambda c: plain_cell(c, trim))).otherwise(plain)
 
+    return _by_separator(sep, cells)
 
-def stitch_records(lines: DataFrame) -> DataFrame:
+
+def ends_inside(line: Column, sep: str | Column) -> Column:
+    """Whether a line that begins outside of quotes leaves a quoted cell open."""
+
+    def opens(s: str) -> Column:
+        whole = rf'{re.escape(s)}(?:{_quoted(s)}|(?!")[^{re.escape(s)}]*+)'
+        rest = F.regexp_replace(F.concat(F.lit(s), line), whole, "")
+        return line.contains('"') & rest.contains(f'{s}"')
+
+    return _by_separator(sep, opens)
+
+
+def stays_inside(line: Column, sep: str | Column) -> Column:
+    """Whether a line that begins inside a quoted cell leaves one open."""
+
+    def stays(s: str) -> Column:
+        closing = rf'^{_inside(s)}"[ \t]*(?={re.escape(s)}|\z)'
+        # The rest begins with a separator or is empty: its first cell is blank.
+        return ~line.rlike(closing) | ends_inside(F.regexp_replace(line, closing, ""), s)
+
+    return F.when(line.contains('"'), _by_separator(sep, stays)).otherwise(F.lit(True))
+
+
+def stitch_records(lines: DataFrame, sep: str | Column = ",") -> DataFrame:
     """Records whose quoted cells hold line breaks, put back together as one line each.
 
-    A line with an odd number of quotes opens a quoted cell or closes the open one, so whether a line
-    continues a record follows from the count of odd lines before it. The count runs inside each read
-    split; split totals, one row each, carry it on. Files without any odd line pass through untouched,
-    and only lines that belong to a broken record are grouped. One look ahead at the quotes decides
-    whether any of this is needed; mostly it is not.
+    Each line says where it ends if it begins outside of quotes, and where if inside. Lines with one answer fix the
+    place; the others keep it or swap it. So the place before a line follows from the last line that
+    fixed it and the swaps since, counted inside each read split; one row per split carries it on. Only
+    the lines of a broken record are grouped, by record. A cell that never closes in its file is text, and
+    the lines from there on stand for themselves.
     """
-    odd_files = lines.groupBy("file").agg(F.max(_quotes_open(F.col("line"))).alias("broken"))
-    if odd_files.where("broken = 1").isEmpty():
-        return lines
-    marked = per_file(lines, odd_files, "inner")
-    whole = marked.where(F.col("broken") == 0).drop("broken")
+    line = F.col("line")
     # The upper bits of the order tell the task that read the line: one task, one run of the file.
-    rows = marked.where(F.col("broken") == 1).select(
-        *lines.columns, _quotes_open(F.col("line")).alias("odd"), F.shiftright("pos", 33).alias("run")
-    )
+    rows = lines.withColumn("run", F.shiftright("pos", 33)).withColumn("out", ends_inside(line, sep)).withColumn("in", stays_inside(line, sep))
+    fixes, swaps = F.col("out") == F.col("in"), (F.col("out") & ~F.col("in")).cast("int")
+    rows = rows.select(*lines.columns, "run", "out", F.when(fixes, F.col("out")).alias("fixed"), swaps.alias("swap"))
     in_run = Window.partitionBy("file", "run").orderBy("pos")
-    before_run = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
-    runs = rows.groupBy("file", "run").agg(F.sum("odd").alias("odds"))
-    carried = runs.select("file", "run", F.coalesce(F.sum("odds").over(before_run), F.lit(0)).alias("carry"))
-    counted = rows.join(carried, ["file", "run"]).withColumn(
-        "inside", (F.col("carry") + F.sum("odd").over(in_run) - F.col("odd")) % 2 == 1
-    )
+    rows = rows.withColumn("swaps", F.sum("swap").over(in_run))
+    rows = rows.withColumn("last", F.last(F.when(F.col("fixed").isNotNull(), F.struct("fixed", "swaps")), ignorenulls=True).over(in_run))
+    rows = rows.withColumn("earlier", F.lag("last").over(in_run)).withColumn("before", F.col("swaps") - F.col("swap"))
+
+    def odd(count: Column) -> Column:
+        return count % 2 == 1
+
+    def place(last: Column, count: Column, carried: Column) -> Column:
+        since = F.when(last.isNotNull(), last["fixed"] != odd(count - last["swaps"]))
+        return F.coalesce(since, carried != odd(count))
+
+    ends = rows.groupBy("file", "run").agg(F.max_by(F.struct("last", "swaps"), "pos").alias("end"))
+    by_run = F.sort_array(F.collect_list(F.struct("run", "end")))
+    step = lambda state, r: place(r["end"]["last"], r["end"]["swaps"], state)
+    runs = ends.groupBy("file").agg(by_run.alias("runs")).select("file", F.posexplode("runs").alias("at", "one"), "runs")
+    carry = F.aggregate(F.slice("runs", F.lit(1), F.col("at")), F.lit(False), step)
+    carried = runs.select("file", F.col("one.run").alias("run"), carry.alias("carry"))
+    placed = rows.join(carried, ["file", "run"]).withColumn("inside", place(F.col("earlier"), F.col("before"), F.col("carry")))
+    # Start of the record: the last line that began outside, in this run or an earlier one.
     start = F.when(~F.col("inside"), F.col("pos"))
-    last_starts = counted.groupBy("file", "run").agg(F.max(start).alias("last"))
-    earlier = last_starts.select("file", "run", F.max("last").over(before_run).alias("earlier"))
-    placed = counted.join(earlier, ["file", "run"]).withColumn(
-        "record", F.coalesce(F.max(start).over(in_run), F.col("earlier"))
+    starts = placed.groupBy("file", "run").agg(
+        F.max(start).alias("start"), F.max_by(place(F.col("last"), F.col("swaps"), F.col("carry")), "pos").alias("open")
     )
-    single = placed.where(~F.col("inside") & (F.col("odd") == 0)).select(*lines.columns)
+    before_run = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
+    all_runs = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    starts = starts.select(
+        "file", "run", F.max("start").over(before_run).alias("start_before"),
+        F.when(F.last("open").over(all_runs), F.max("start").over(all_runs)).alias("never_closed"),
+    )
+    known = placed.join(starts, ["file", "run"]).withColumn("record", F.coalesce(F.max(start).over(in_run), "start_before"))
+    own = ~F.col("inside") & ~F.col("out") | F.coalesce(F.col("record") >= F.col("never_closed"), F.lit(False))
+    single = known.where(own).select(*lines.columns)
     kept = [c for c in lines.columns if c not in ("file", "pos", "line")]
     joined = (
-        placed.where(F.col("inside") | (F.col("odd") == 1))
+        known.where(~own)
         .groupBy("file", F.col("record").alias("pos"), *kept)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("parts"))
         .withColumn("line", F.array_join(F.col("parts.line"), "\n"))
         .select(*lines.columns)
     )
-    return whole.unionByName(single).unionByName(joined)
+    return single.unionByName(joined)
 
 
-def cell_count(line: Column, sep: str) -> Column:
-    """Cells of a line: separators outside double quotes plus one."""
-    return count_char(F.regexp_replace(line, '"[^"]*"', ""), sep) + 1
-
-
-def _names(width: int) -> list[str]:
-    return [f"c{i}" for i in range(width)]
-
-
-def _array(parent: str, width: int, trim: bool = False) -> Column:
-    cells = [F.coalesce(F.col(f"{parent}{n}"), F.lit("")) for n in _names(width)]
-    return F.array(*[F.trim(c) if trim else c for c in cells])
-
-
-def _csv_options(sep: str, trim: bool = False) -> dict[str, str]:
-    spaces = str(trim).lower()
-    return {
-        "sep": sep,
-        "quote": '"',
-        "escape": '"',
-        "mode": "PERMISSIVE",
-        "ignoreLeadingWhiteSpace": spaces,
-        "ignoreTrailingWhiteSpace": spaces,
-    }
-
-
-def _parsed(line: Column, sep: str, width: int, trim: bool = False) -> Column:
-    names = ", ".join(f"{n} string" for n in _names(width))
-    return F.from_csv(line, names, _csv_options(sep, trim))
-
-
-def cells_of(lines: DataFrame, width: int, sep: str = ",") -> DataFrame:
-    """Quote-aware cells of plain lines with one separator."""
-    return (
-        lines.withColumn("p", _parsed(F.col("line"), sep, width))
-        .withColumn("width", cell_count(F.col("line"), sep))
-        .select("file", "pos", _array("p.", width).alias("cells"), "width")
-    )
+def cells_of(lines: DataFrame, sep: str | Column = ",", trim: bool = False) -> DataFrame:
+    """Quote-aware cells of plain lines by one separator, or by a column with that of each file."""
+    return lines.select("file", "pos", line_cells(F.col("line"), sep, trim).alias("cells")).withColumn("width", F.size("cells"))
 
 
 def naive_cells_of(lines: DataFrame, sep: str = ",") -> DataFrame:
@@ -138,15 +176,16 @@ def single_to_double_quotes(line: Column) -> Column:
     return F.regexp_replace(line, r"(^|[,;])\s*'([^']*)'\s*(?=[,;]|$)", '$1"$2"')
 
 
-def trimmed_cells_of(lines: DataFrame, width: int) -> DataFrame:
+def trimmed_cells_of(lines: DataFrame) -> DataFrame:
     """Quote-aware cells in single or double quotes, each trimmed, by the separator of their file."""
     plain = lines.withColumn("line", single_to_double_quotes(F.col("line")))
-    return detected_cells_of(plain, width, trim=True)
+    return cells_of(plain, F.col("sep"), trim=True)
 
 
-def first_cell(line: Column, sep: Column) -> Column:
-    """Text before the first separator, without parsing the rest of the line."""
-    return F.split_part(line, sep, F.lit(1))
+def first_cell(line: Column, sep: str | Column) -> Column:
+    """Value of the first cell, without parsing the rest of the line."""
+    first = _by_separator(sep, lambda s: F.regexp_extract(F.concat(F.lit(s), line), _cell(s, True), 1))
+    return plain_cell(first, trim=True)
 
 
 def detect_first_line(lines: DataFrame) -> DataFrame:
@@ -168,20 +207,6 @@ def _majority(semicolons: Column, commas: Column) -> Column:
     return F.when(semicolons > commas, ";").otherwise(",").alias("sep")
 
 
-def detected_cells_of(lines: DataFrame, width: int, trim: bool = False) -> DataFrame:
-    """Cells by each file's own separator (column ``sep``), all files in one pass."""
-    semicolon = F.col("sep") == ";"
-    line = F.col("line")
-    return (
-        lines.withColumn(
-            "p",
-            F.when(semicolon, _parsed(line, ";", width, trim)).otherwise(_parsed(line, ",", width, trim)),
-        )
-        .withColumn("width", F.when(semicolon, cell_count(line, ";")).otherwise(cell_count(line, ",")))
-        .select("file", "pos", _array("p.", width, trim).alias("cells"), "width")
-    )
-
-
 def with_separator(
     lines: DataFrame, detect: Callable[[DataFrame], DataFrame] = detect_first_line
 ) -> DataFrame:
@@ -191,43 +216,43 @@ def with_separator(
 def read_detected(
     spark: SparkSession,
     path: str | Sequence[str],
-    width: int,
     quoted_newlines: bool = True,
     glob: str = "*",
 ) -> DataFrame:
-    """Cells by the separator of each file's first line; the files split."""
+    """Cells by the separator of each file's first line."""
     lines = with_separator(read_lines(spark, path, glob), detect_first_line)
-    return detected_cells_of(stitch_records(lines) if quoted_newlines else lines, width)
+    return cells_of(stitch_records(lines, F.col("sep")) if quoted_newlines else lines, F.col("sep"))
 
 
-def read_unquoted_detected(spark: SparkSession, path: str | Sequence[str], width: int) -> DataFrame:
+def read_unquoted_detected(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
     """All double quotes dropped first, then the separator of the whole file decides."""
-    lines = read_lines(spark, path).withColumn("line", drop_double_quotes(F.col("line")))
-    return detected_cells_of(with_separator(lines, detect_whole_file), width)
+    lines = read_lines(spark, path, glob).withColumn("line", drop_double_quotes(F.col("line")))
+    return cells_of(with_separator(lines, detect_whole_file), F.col("sep"))
+
+
+def read_records(
+    spark: SparkSession,
+    path: str | Sequence[str],
+    sep: str = ",",
+    quoted_newlines: bool = True,
+    glob: str = "*",
+) -> DataFrame:
+    """Records as one line each: lines, or lines put together where quoted cells run over their end."""
+    lines = read_lines(spark, path, glob)
+    return stitch_records(lines, sep) if quoted_newlines else lines
+
+
+def filled(records: DataFrame) -> DataFrame:
+    """Records without the empty lines between them."""
+    return records.where(F.col("line") != "")
 
 
 def read_cells(
     spark: SparkSession,
     path: str | Sequence[str],
-    width: int,
     sep: str = ",",
     quoted_newlines: bool = True,
     glob: str = "*",
 ) -> DataFrame:
-    """Quote-aware cells with a fixed separator. Without quoted line breaks the files split."""
-    if not quoted_newlines:
-        return cells_of(read_lines(spark, path, glob), width, sep)
-    schema = ", ".join(f"{n} string" for n in [*_names(width), "bad"])
-    rows = (
-        spark.read.schema(schema)
-        .options(**_csv_options(sep), multiLine=True, columnNameOfCorruptRecord="bad", pathGlobFilter=glob)
-        .csv(path)
-    )
-    # Only rows of another width are kept as text, so the count is taken on those alone.
-    count = F.when(F.col("bad").isNull(), F.lit(width)).otherwise(cell_count(F.col("bad"), sep))
-    return rows.select(
-        F.col("_metadata.file_path").alias("file"),
-        F.monotonically_increasing_id().alias("pos"),
-        _array("", width).alias("cells"),
-        count.alias("width"),
-    )
+    """Quote-aware cells with a fixed separator. Empty lines are no rows."""
+    return cells_of(filled(read_records(spark, path, sep, quoted_newlines, glob)), sep)
