@@ -13,7 +13,7 @@ vocabularies. For merged ones a finite path is unique, because each prefix of a
 all hold, so one state per place of the input is enough and composition is linear in the text.
 
 A text falls apart where no piece spells both neighbouring characters; the parts are composed one by one and
-remembered per worker, up to ``CACHE`` parts. Decoding is the inverse: pieces to text, bytes to characters, marks to
+remembered per worker, up to twice ``CACHE`` parts. Decoding is the inverse: pieces to text, bytes to characters, marks to
 spaces, the first mark dropped.
 
 Null texts are empty and have no pieces. A piece mark (U+2581) in a text reads back as a space, and an unpaired surrogate
@@ -33,7 +33,11 @@ from tripledger.llm.common import map_batches, texts_of
 
 MODEL = os.environ.get("TRIPLEDGER_PIECES", "/opt/tokenizers/piece_bpe_32k.model")
 MARK = "▁"
+# Parts remembered per worker (twice as many for a while), and pairs of pieces.
 CACHE = 400_000
+PAIRS = 2_000_000
+# Weight of a character that no piece spells, in unigram vocabularies.
+UNSPELT = 1e6
 UNIGRAM, MERGED = 1, 2
 NORMAL, UNKNOWN_PIECE, BYTE_PIECE, USER_PIECE = 1, 2, 6, 4
 INFINITE = float("inf")
@@ -87,7 +91,12 @@ class Transducer:
         # A mark inside a piece comes first only, so words part at their mark; other vocabularies are cut at joints alone.
         inner = any(MARK in p[1:] and p.strip(MARK) for p in self.id)
         self.word = re.compile(r"(?s).+" if inner else f"{MARK}*[^{MARK}]+|{MARK}+")
+        # What a piece decodes to: a byte, or its text with marks as spaces.
+        self.surface = [
+            bytes([int(p[3:5], 16)]) if kind == BYTE_PIECE else p.replace(MARK, " ").encode() for p, kind in zip(vocabulary.pieces, vocabulary.kinds)
+        ]
         self.parts: dict[str, tuple[int, ...]] = {}
+        self.older: dict[str, tuple[int, ...]] = {}
         self.holds: dict[tuple[int, int], bool] = {}
 
     # Merge acceptor
@@ -106,26 +115,22 @@ class Transducer:
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
     def follows(self, left: int, right: int) -> bool:
-        """Whether merging the pair's text leaves the two pieces; an id below 0 stands for an unspelt character."""
-        if left < 0 or right < 0:
-            return True
-        known = self.holds.get((left, right))
-        if known is None:
-            a, b = self.vocabulary.pieces[left], self.vocabulary.pieces[right]
-            known = (a[-1], b[0]) not in self.joints or self.merges(a + b) == [a, b]
-            if len(self.holds) > 4 * CACHE:
-                self.holds.clear()
-            self.holds[left, right] = known
-        return known
+        """Whether merging the pair's text leaves the two pieces; -1 on the left stands for what merges with nothing."""
+        pieces = self.vocabulary.pieces
+        b = pieces[right]
+        if left < 0:
+            return self.merges(b) == [b]
+        a = pieces[left]
+        return (a[-1], b[0]) not in self.joints or self.merges(a + b) == [a, b]
 
     # Composition and shortest path
 
     def shortest_path(self, text: str) -> tuple[int, ...]:
         """Ids of the path of least weight through the composition with one part of a text."""
-        merged, n = self.vocabulary.merged, len(text)
+        merged, weight, holds, n = self.vocabulary.merged, self.weight, self.holds, len(text)
         cost = [0.0, *[INFINITE] * n]
         back = [0] * (n + 1)  # where the last arc began
-        last = [-1] * (n + 1)  # its piece; below 0 an unspelt character
+        last = [-1] * (n + 1)  # its piece; -1 at the start and for an unspelt character
         for end in range(1, n + 1):
             node, begin = self.trie, end
             while begin:
@@ -133,14 +138,25 @@ class Transducer:
                 node = node.get(text[begin])
                 if node is None:
                     break
-                piece = node.get("")
-                if piece is None or cost[begin] == INFINITE:
+                if "" not in node:
                     continue
-                total = cost[begin] + self.weight[piece]
-                if total < cost[end] and (not merged or self.allowed(text, begin, last[begin], piece)):
+                piece = node[""]
+                total = cost[begin] + weight[piece]
+                if total < cost[end]:
+                    if merged:
+                        pair = (last[begin], piece)
+                        held = holds.get(pair)
+                        if held is None:
+                            if len(holds) > PAIRS:
+                                holds.clear()
+                            held = holds[pair] = self.follows(*pair)
+                        if not held:
+                            continue
                     cost[end], back[end], last[end] = total, begin, piece
+                    if merged:
+                        break  # of a prefix's segmentations one holds
             if text[end - 1] not in self.id and cost[end - 1] < INFINITE:
-                total = cost[end - 1] + (0.0 if merged else 1e6)
+                total = cost[end - 1] + (0.0 if merged else UNSPELT)
                 if total < cost[end]:
                     cost[end], back[end], last[end] = total, end - 1, -1
         ids: list[int] = []
@@ -153,58 +169,48 @@ class Transducer:
             n = back[n]
         return tuple(reversed(ids))
 
-    def allowed(self, text: str, begin: int, before: int, piece: int) -> bool:
-        if begin == 0:
-            # The first piece must be what merging leaves of it.
-            return self.whole(piece)
-        return (before < 0 and self.whole(piece)) or (before >= 0 and self.follows(before, piece))
-
-    def whole(self, piece: int) -> bool:
-        known = self.holds.get((-1, piece))
-        if known is None:
-            text = self.vocabulary.pieces[piece]
-            known = self.holds[-1, piece] = self.merges(text) == [text]
-        return known
+    def remember(self, part: str, ids: tuple[int, ...]) -> tuple[int, ...]:
+        """Keep a part's ids; when full, only parts seen since the last time stay."""
+        if len(self.parts) >= CACHE:
+            self.older, self.parts = self.parts, {}
+        self.parts[part] = ids
+        return ids
 
     def part(self, text: str) -> tuple[int, ...]:
         found = self.parts.get(text)
         if found is None:
-            if len(self.parts) > CACHE:
-                self.parts.clear()
-            found = self.parts[text] = self.shortest_path(text)
+            found = self.older.get(text)
+            found = self.remember(text, self.shortest_path(text) if found is None else found)
         return found
 
+    def word_ids(self, word: str) -> tuple[int, ...]:
+        """Ids of a word, cut where no piece spells both neighbours."""
+        known = self.older.get(word)
+        if known is None:
+            joints, begin = self.joints, 0
+            pieces: tuple[int, ...] = ()
+            for i in range(1, len(word)):
+                if (word[i - 1], word[i]) not in joints:
+                    pieces += self.part(word[begin:i])
+                    begin = i
+            known = pieces + self.part(word[begin:])
+            if not begin or len(word) > 40:
+                return known
+        return self.remember(word, known)
+
     def encode(self, text: str) -> list[int]:
         if not text:
             return []
         normal = (MARK if self.vocabulary.front_mark else "") + text.replace(" ", MARK)
         ids: list[int] = []
-        known, joints = self.parts, self.joints
         for word in self.word.findall(normal):
-            found = known.get(word)
-            if found is None:
-                begin, pieces = 0, []
-                for i in range(1, len(word)):
-                    if (word[i - 1], word[i]) not in joints:
-                        pieces += self.part(word[begin:i])
-                        begin = i
-                pieces += self.part(word[begin:])
-                found = tuple(pieces)
-                if begin and len(word) < 40:
-                    known[word] = found
-            ids += found
+            found = self.parts.get(word)
+            ids += self.word_ids(word) if found is None else found
         return ids
 
     def decode(self, ids: list[int]) -> str:
-        pieces, kinds = self.vocabulary.pieces, self.vocabulary.kinds
-        if BYTE_PIECE in {kinds[i] for i in set(ids)}:
-            data = b"".join(bytes([int(pieces[i][3:5], 16)]) if kinds[i] == BYTE_PIECE else pieces[i].encode() for i in ids)
-            text = data.decode("utf-8", "replace")
-        else:
-            text = "".join([pieces[i] for i in ids])
-        if self.vocabulary.front_mark and text.startswith(MARK):
-            text = text[1:]
-        return text.replace(MARK, " ")
+        text = b"".join(map(self.surface.__getitem__, ids)).decode("utf-8", "replace")
+        return text[1:] if self.vocabulary.front_mark and text.startswith(" ") else text
 
 
 _compiled: dict[int, Transducer] = {}
