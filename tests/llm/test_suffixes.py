@@ -49,7 +49,11 @@ def test_short_lengths_on_a_small_alphabet(spark):
 @settings(max_examples=60, deadline=None)
 def test_anchors_depend_on_the_string_alone(text):
     data = np.frombuffer(text.encode(), np.uint8)
-    rank, name, start, width, back = suffixes.runs_of(data, 20, 6)
+    other = np.frombuffer(b"ab" * 14, np.uint8)
+    found = suffixes.runs_of([other, data, other], 20, 6)
+    rank, name, start, width, back = (column[found[0] == 1] for column in found[1:])
+    alone = suffixes.runs_of([data], 20, 6)
+    assert all((a == b).all() for a, b in zip(alone[1:], (rank, name, start, width, back)))
     assert start[0] == 0 and (start[1:] == start[:-1] + width[:-1]).all() and start[-1] + width[-1] == len(data) - 19
     seen = {}
     for r, s, w, b in zip(rank, start, width, back):

@@ -69,8 +69,7 @@ def op5(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op1_suffix_array_dedup")
 def op1(spark: SparkSession, folder: str) -> DataFrame:
-    found = suffixes.repeats(documents(spark, folder))
-    return found.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+    return suffixes.repeats(documents(spark, folder), with_rest=False)
 
 
 @query("op2_html_extraction")

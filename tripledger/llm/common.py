@@ -100,33 +100,40 @@ def mix(x: np.ndarray) -> np.ndarray:
 # Rolling sums are taken in the ring of 64-bit integers, where an odd base has an inverse.
 BASE = 0x9E3779B97F4A7C15
 _byte_codes = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0xA24BAED4963EE407))
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_powers: list[tuple[np.ndarray, np.ndarray]] = []
+# Powers up to here are kept per worker.
+KEPT_POWERS = 1 << 22
 
 
 def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """``BASE ** i`` and its inverse for i below n (at least)."""
-    size = max(1 << 16, 1 << (n - 1).bit_length())
-    if size not in _powers:
-        one, ring = np.ones(size, np.uint64), 1 << 64
-        up, down = one.copy(), one.copy()
-        up[1:], down[1:] = BASE, pow(BASE, -1, ring)
-        _powers.clear()
-        _powers[size] = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
-    return _powers[size]
+    if not _powers or len(_powers[0][0]) < n:
+        size = max(1 << 17, 1 << (n - 1).bit_length())
+        up, down = np.ones(size, np.uint64), np.ones(size, np.uint64)
+        up[1:], down[1:] = BASE, pow(BASE, -1, 1 << 64)
+        made = np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
+        if size > KEPT_POWERS:
+            return made
+        _powers[:] = [made]
+    return _powers[0]
 
 
 def prefix_sums(data: np.ndarray) -> np.ndarray:
     """Rolling sums of a byte array: ``hash_spans`` gives the hash of any span from them."""
     up, _ = powers(len(data) + 1)
     sums = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum(_byte_codes[data] * up[: len(data)], dtype=np.uint64, out=sums[1:])
+    terms = _byte_codes[data]
+    terms *= up[: len(data)]
+    np.cumsum(terms, out=sums[1:])
     return sums
 
 
-def hash_spans(sums: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+def hash_spans(sums: np.ndarray, starts: np.ndarray | slice, ends: np.ndarray | slice) -> np.ndarray:
     """64-bit hashes of the spans ``[start, end)`` by their bytes alone."""
     _, down = powers(len(sums))
-    return (sums[ends] - sums[starts]) * down[starts]
+    out = sums[ends] - sums[starts]
+    out *= down[starts]
+    return out
 
 
 # Bytes that belong to a word: letters and digits, and all of a letter outside ASCII.

@@ -37,6 +37,8 @@ from tripledger.llm.common import hash_spans, map_batches, mix, prefix_sums, sto
 LENGTH = 200
 ANCHOR = 64
 BLOCK = 16
+# Bytes of texts that are hashed side by side.
+SIDE_BY_SIDE = 1 << 15
 # Rows that are compared: strings that start in [start, start + width) of a text. ``back`` is the anchor's distance from the start.
 ROWS = "rank long, name long, key binary, start int, width int, back int"
 
@@ -45,20 +47,32 @@ def _bytes(text: str | None) -> np.ndarray:
     return np.frombuffer((text or "").encode("utf-8", "surrogatepass"), np.uint8)
 
 
-def runs_of(data: np.ndarray, length: int, anchor: int) -> tuple[np.ndarray, ...]:
-    """Per run of a text: rank (hash of its anchor), name (hash of the stretch), start, width, distance to the anchor."""
-    n = len(data) - anchor + 1
-    width = length - anchor + 1
+def runs_of(datas: list[np.ndarray], length: int, anchor: int) -> tuple[np.ndarray, ...]:
+    """Runs of texts of at least ``length`` bytes, side by side.
+
+    Per run: text, rank (hash of its anchor), name (hash of the stretch), start, width, distance to the anchor.
+    """
+    sizes = np.array([len(d) for d in datas])
+    ends = np.cumsum(sizes)
+    data = np.concatenate(datas)
     sums = prefix_sums(data)
-    place = np.arange(n, dtype=np.uint64)
-    hashes = mix(hash_spans(sums, place, place + np.uint64(anchor)))
+    place = np.arange(len(data) - anchor + 1, dtype=np.uint64)
+    hashes = hash_spans(sums, slice(0, len(place)), slice(anchor, None))
     # Hash above, place below: the least of a window is its anchor, the leftmost of equals.
-    keys = (hashes >> np.uint64(32) << np.uint64(32)) | place
-    anchors = (sliding_least(keys, width) & np.uint64(0xFFFFFFFF)).astype(np.int64)
-    start = np.flatnonzero(np.diff(anchors, prepend=-1))
+    keys = hashes * np.uint64(0xD6E8FEB86659FD93)
+    keys &= np.uint64(0xFFFFFFFF00000000)
+    keys |= place
+    anchors = (sliding_least(keys, length - anchor + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
+    # Strings that run over the end of a text are none: they part the runs of one text from those of the next.
+    for end in ends[:-1]:
+        anchors[end - length + 1 : end] = -1
+    start = np.flatnonzero(np.diff(anchors, prepend=-2))
     stop = np.append(start[1:], len(anchors))
-    names = mix(hash_spans(sums, start, stop - 1 + length) + (anchors[start] - start).astype(np.uint64))
-    return hashes[anchors[start]], names, start, stop - start, anchors[start] - start
+    at = anchors[start]
+    start, stop, at = start[at >= 0], stop[at >= 0], at[at >= 0]
+    names = mix(hash_spans(sums, start, stop - 1 + length) + (at - start).astype(np.uint64))
+    text = np.searchsorted(ends, start, side="right")
+    return text, mix(hashes[at]), names, start - (ends - sizes)[text], stop - start, at - start
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -93,12 +107,26 @@ def runs(docs: DataFrame, length: int, anchor: int) -> DataFrame:
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         seen, out, owner = set(), [], []
+        datas, rows, size = [], [], 0
+
+        def flush() -> None:
+            if datas:
+                text, *found = runs_of(datas, length, anchor)
+                out.append(found)
+                owner.append(np.array(rows)[text])
+
         for i, (key, text) in enumerate(zip(batch.column("key").to_pylist(), batch.column("text").to_pylist())):
             data = _bytes(text)
-            if key not in seen and len(data) >= length:
-                seen.add(key)
-                out.append(runs_of(data, length, anchor))
-                owner.append(np.full(len(out[-1][0]), i))
+            if key in seen or len(data) < length:
+                continue
+            seen.add(key)
+            datas.append(data)
+            rows.append(i)
+            size += len(data)
+            if size >= SIDE_BY_SIDE:
+                flush()
+                datas, rows, size = [], [], 0
+        flush()
         rank, name, start, width, back = zip(*out) if out else ([],) * 5
         return _batch(rank, name, batch.column("key"), owner, start, width, back)
 
@@ -206,25 +234,32 @@ def with_spans(docs: DataFrame, length: int) -> DataFrame:
     return docs.withColumn("__text_key", text_key()).join(grouped, F.col("__text_key") == F.col("__key"), "left").drop("__text_key", "__key")
 
 
-def repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """Per row of ``docs``: bytes, bytes removed, maximal removed spans, digest of the rest, the rest and the spans."""
+def repeats(docs: DataFrame, length: int = LENGTH, with_rest: bool = True) -> DataFrame:
+    """Per row of ``docs``: bytes, bytes removed, maximal removed spans and digest of the rest.
+
+    ``with_rest`` adds the rest itself and the removed spans.
+    """
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
         for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
             data = _bytes(text)
+            if not spans:
+                out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.tobytes() if with_rest else b"", []))
+                continue
             kept = kept_mask(len(data), spans, length)
             edges = np.flatnonzero(np.diff(~kept, prepend=False, append=False)).reshape(-1, 2)
             rest = data[kept].tobytes()
-            cuts = [{"start": int(a), "end": int(b)} for a, b in edges]
-            out.append((len(data), int((~kept).sum()), len(cuts), hashlib.sha256(rest).hexdigest(), rest, cuts))
+            cuts = [{"start": int(a), "end": int(b)} for a, b in edges] if with_rest else []
+            out.append((len(data), int((~kept).sum()), len(edges), hashlib.sha256(rest).hexdigest(), rest, cuts))
         kinds = [pa.int64()] * 3 + [pa.string(), pa.binary(), pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))]
         columns = [pa.array(values, kind) for values, kind in zip(zip(*out), kinds)]
-        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=names)
+        return pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns][: len(names)], names=names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept", "removed"]
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", *(["kept", "removed"] if with_rest else [])]
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary, removed array<struct<start:int,end:int>>"
+    schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+    schema += ", kept binary, removed array<struct<start:int,end:int>>" if with_rest else ""
     return map_batches(with_spans(docs.select("doc_id", "text"), length), run, schema)
 
 
