@@ -10,9 +10,11 @@ count of other shingles taken off. idf is damped to ``[1, 1 + IDF_SPAN]``: near
 full idf would push the members of a large family apart.
 
 A bucket never gives all its pairs. Its member with most company over all its buckets stands for it, and the others are
-compared with that one, on their whole texts. Links so far give groups; a bucket that still holds several groups is taken
-up again with one member of each, under 4, 16, ... representatives, until every two groups that share a bucket have been compared. So copies of one
-text cost a comparison each, and only texts that are unlike but meet often (copies far from their source) cost more.
+compared with that one, on their whole texts. So copies of one text cost a comparison each. Members that are not alike with their
+representative go on to finer buckets, where they meet only those that differ from it in the same way (``compared``), with four
+times as many representatives a round, and so on until every two texts that share a bucket and that no link joins have been
+compared with a representative or with each other. A pair that is alike to the threshold meets in the finer buckets of one
+representative with a probability over 0.98, and it has those of several.
 
 Equal texts are one text throughout. Texts of fewer than five words have one shingle of all words; texts without words (null and
 empty ones too) are alike only if equal. Ties of representatives go to the smaller text key. A null doc_id stands last in its class.
@@ -40,6 +42,8 @@ ROWS = 4
 SIDE_BY_SIDE = 1 << 14
 DF_SLOTS = 1 << 20
 IDF_SPAN = 0.1
+# Finer buckets of a text: least similarity with the representative, bands, rows. Differences are sampled, at last the text itself.
+FINER = ((0.7, 48, 2), (0.5, 64, 4), (0.0, 36, 6))
 # Rows of counts that a task hands on at once.
 DF_CHUNK = 1 << 14
 
@@ -191,11 +195,28 @@ def band_rows(docs: DataFrame, frequencies) -> DataFrame:
     return map_batches(docs.select(text_key().alias("key"), "text"), run, "band long, key binary").distinct()
 
 
-def compared(pairs: DataFrame, texts: DataFrame, frequencies) -> DataFrame:
-    """``similarity`` of each pair of text keys (a, b) by their whole texts."""
+def difference(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Bag of what stands in one of two bags only: the shingle marked by its side, weighted by the surplus."""
+    hashes = np.union1d(a[0], b[0])
+    weights = np.zeros((2, len(hashes)))
+    for side, (h, w) in enumerate((a, b)):
+        weights[side, np.searchsorted(hashes, h)] = w
+    gap = weights[0] - weights[1]
+    some = gap != 0
+    return mix(hashes[some] + (gap[some] > 0).astype(np.uint64)), np.abs(gap[some])
+
+
+def compared(pairs: DataFrame, texts: DataFrame, frequencies, threshold: float) -> DataFrame:
+    """``similarity`` of each pair (a, its representative b) by their whole texts, and finer buckets of a if they are not alike.
+
+    Let two texts be as alike as 0.8, but only be alike with b by s. By the triangle inequality their differences from b are
+    alike by (1.8 - 2 s) / (2.2 - 2 s): a third for s = 0.8, a half for 0.7, two thirds for 0.5. So buckets of the differences
+    bring them together, while texts with edits of their own seldom meet again. If they are far from b, their own shingles tell.
+    """
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
+    samplers = [Sampler(*shape, seed=23 + i) for i, (_, *shape) in enumerate(FINER)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bags: dict[bytes, tuple] = {}
@@ -207,48 +228,74 @@ def compared(pairs: DataFrame, texts: DataFrame, frequencies) -> DataFrame:
             return bags[key]
 
         columns = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
-        found = [similarity(bag(a, ta), bag(b, tb)) for a, b, ta, tb in zip(*columns)]
-        return pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], names=["a", "b", "similarity"])
+        found, finer = [], []
+        waiting: list[list] = [[] for _ in FINER]
+        for i, (a, b, ta, tb) in enumerate(zip(*columns)):
+            one, other = bag(a, ta), bag(b, tb)
+            found.append(similarity(one, other))
+            finer.append([])
+            if found[-1] < threshold:
+                level = next(k for k, (least, *_) in enumerate(FINER) if found[-1] >= least)
+                own = np.uint64(int.from_bytes(b[:8], "little"))
+                waiting[level].append((i, own, difference(one, other) if FINER[level][0] else one))
+        for sampler, some in zip(samplers, waiting):
+            for first in range(0, len(some), 32):
+                part = some[first : first + 32]
+                bands = sampler.bands_of([x for _, _, x in part])
+                for (i, own, _), row in zip(part, bands):
+                    finer[i] = mix(row + own).view(np.int64).tolist()
+        return pa.RecordBatch.from_arrays(
+            [batch.column("a"), batch.column("b"), pa.array(found, pa.float64()), pa.array(finer, pa.list_(pa.int64()))],
+            names=["a", "b", "similarity", "finer"],
+        )
 
-    return map_batches(rows, run, "a binary, b binary, similarity double")
+    return map_batches(rows, run, "a binary, b binary, similarity double, finer array<long>")
 
 
 def links_and_groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
     """Verified links (a, b, similarity) between different texts, and ``key, root`` of every linked text."""
     shared = docs.sparkSession.sparkContext.broadcast(document_frequencies(docs))
-    bands = band_rows(docs, shared)
-    crowded = bands.groupBy("band").agg(F.count("*").alias("size")).where("size > 1")
-    buckets = stored(bands.join(crowded, "band"), "buckets")
-    company = buckets.groupBy("key").agg(F.sum("size").alias("company"))
-    members = stored(buckets.select("band", "key").join(company, "key"), "bucket-members")
-    dropped(buckets)
-    wanted = members.select("key").distinct()
+
+    def crowded(bands: DataFrame) -> DataFrame:
+        """Rows (band, key, root) of buckets that hold several groups, with the size of the bucket."""
+        full = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("root").alias("r"), F.max("root").alias("s"))
+        return stored(bands.join(full.where("r <> s").select("band", "size"), "band"), "buckets")
+
+    # Groups so far: a text without links is a group of its own.
+    buckets = crowded(band_rows(docs, shared).withColumn("root", F.col("key")))
     keyed = docs.select(text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
+    wanted = buckets.select("key").distinct()
     texts = stored(keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "bucket-texts")
-    # Groups so far: a text without links is a group of its own.
-    active = members.withColumn("root", F.col("key"))
-    links, groups, number = [], None, 1
+    links, done, number = [], [], 1
     while True:
+        company = buckets.groupBy("key").agg(F.sum("size").alias("company"))
         slot = F.pmod(F.xxhash64("key"), F.lit(number)).alias("slot")
-        stands = active.groupBy("band", slot).agg(F.max(F.struct("company", "key", "root")).alias("rep"))
-        stands = stored(stands.select("band", F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root")), "stands")
-        meets = active.join(stands, "band").where(F.col("root") != F.col("rep_root"))
-        pairs = stored(meets.select(F.least("key", "b").alias("a"), F.greatest("key", "b").alias("b")).distinct(), "pairs")
+        members = buckets.select("band", "key", "root").join(company, "key")
+        stands = members.groupBy("band", slot).agg(F.max(F.struct("company", "key", "root")).alias("rep"))
+        stands = stands.select(F.col("band").alias("at"), F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root"))
+        meets = buckets.join(stands, (F.col("band") == F.col("at")) & (F.col("root") != F.col("rep_root")))
+        # Two representatives of a bucket meet once.
+        pairs = meets.groupBy(F.least("key", "b").alias("low"), F.greatest("key", "b").alias("high")).agg(F.min("b").alias("b"))
+        for before in done:
+            pairs = pairs.join(before, ["low", "high"], "left_anti")
+        pairs = stored(pairs, "pairs")
         if pairs.isEmpty():
             break
-        links.append(stored(compared(pairs, texts, shared).where(F.col("similarity") >= threshold), "links"))
-        groups = stored(components(reduce(DataFrame.unionByName, links)), "groups")
-        # Next: one member of each group, without those that stood for a bucket this time.
-        rest = active.join(stands, (active["band"] == stands["band"]) & (active["key"] == stands["b"]), "left_anti")
-        rest = rest.join(groups.withColumnRenamed("root", "now"), "key", "left").withColumn("root", F.coalesce("now", "key"))
-        one = F.max(F.struct("company", "key")).alias("one")
-        active = stored(rest.groupBy("band", "root").agg(one).select("band", "one.key", "one.company", "root"), "active")
+        done.append(pairs.select("low", "high"))
+        other = F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+        checked = stored(compared(pairs.select(other.alias("a"), "b"), texts, shared, threshold), "compared")
+        links.append(checked.where(F.col("similarity") >= threshold).select("a", "b", "similarity"))
+        # One round of merging is enough to leave out what is joined already; what it misses is compared once more.
+        groups = stored(components(reduce(DataFrame.unionByName, links), 1), "groups")
+        finer = checked.select(F.explode("finer").alias("band"), F.col("a").alias("key")).distinct()
+        finer = finer.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
+        dropped(buckets)
+        buckets = crowded(finer.select("band", "key", "root"))
         number *= 4
     empty = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    found = reduce(DataFrame.unionByName, links, empty)
-    if groups is None:
-        groups = docs.sparkSession.createDataFrame([], "key binary, root binary")
-    return found.distinct(), groups
+    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity"
+    found = reduce(DataFrame.unionByName, links, empty).select(*ends).distinct()
+    return found, stored(components(found), "groups")
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
