@@ -107,3 +107,76 @@ def test_components(spark):
     got = {bytes(r.key): bytes(r.root) for r in components(spark.createDataFrame(links, "a binary, b binary")).collect()}
     want = {**dict.fromkeys([b"a", b"b", b"c", b"d"], b"a"), b"x": b"x", b"y": b"x", **{b"%03d" % k: b"000" for k in range(41)}}
     assert got == want
+
+
+def copies_of_copies(rng, n, words, edits):
+    """Each text is an edited copy of a random earlier one."""
+    texts = [prose(rng, words)]
+    while len(texts) < n:
+        made = texts[rng.integers(len(texts))].split()
+        for k in rng.choice(words, rng.integers(1, edits + 1), replace=False):
+            made[k] = "changed" + str(rng.integers(1 << 30))
+        texts.append(" ".join(made))
+    return texts
+
+
+def true_pairs(texts, threshold=neardup.THRESHOLD):
+    """All pairs (i < j) that are alike, by the weights that the operator gives these texts; no shingle occurs twice in a text."""
+    found = [neardup.shingles(t) for t in texts]
+    assert all((c == 1).all() for _, c in found)
+    slots = np.zeros(neardup.DF_SLOTS, np.int64)
+    for h, _ in found:
+        slots[np.unique(neardup._slot(h))] += 1
+    frequencies = neardup.Frequencies(len(texts), slots)
+    known, place = np.unique(np.concatenate([h for h, _ in found]), return_inverse=True)
+    weights = frequencies.weights(known, np.ones(len(known)))
+    owner = np.repeat(np.arange(len(texts)), [len(h) for h, _ in found])
+    used = np.zeros((len(texts), len(known)), np.float32)
+    used[owner, place] = 1
+    both = (used * weights.astype(np.float32)) @ used.T
+    total = np.diag(both)[:, None] + np.diag(both)[None] - both
+    return np.argwhere(np.triu(both >= threshold * total, 1))
+
+
+def test_levels_overlap():
+    """Two alike texts are at most 0.2 apart in similarity with a third: some finer level takes both."""
+    grid = np.linspace(0, 1, 201)
+    levels = [{k for k, (least, below, *_) in enumerate(neardup.FINER) if least <= s < below} for s in grid]
+    assert all(levels[i] & levels[j] for i in range(201) for j in range(i, min(201, i + 40)))
+
+
+def test_member_alike_with_the_representative_goes_on():
+    """x is alike with b and with y, y not with b: x and y share finer buckets of b."""
+    rng = np.random.default_rng(15)
+    flat = neardup.Frequencies(1000, np.ones(neardup.DF_SLOTS, np.int64))
+    b = prose(rng, 300)
+    x = edited(rng, b, 0.015)
+    y = edited(rng, x, 0.021)
+
+    def bag(text):
+        hashes, counts = neardup.shingles(text)
+        return hashes, flat.weights(hashes, counts)
+
+    like = lambda s, t: neardup.similarity(bag(s), bag(t))
+    assert like(x, b) >= 0.8 and like(x, y) >= 0.8 > like(y, b)
+    assert len(np.intersect1d(neardup.beyond(bag(x), bag(b)), neardup.beyond(bag(y), bag(b))))
+
+
+def test_copies_of_copies(spark):
+    rng = np.random.default_rng(21)
+    texts = copies_of_copies(rng, 1500, 120, 5)
+    pairs = true_pairs(texts)
+    parent = list(range(len(texts)))
+
+    def find(k):
+        while parent[k] != k:
+            parent[k] = parent[parent[k]]
+            k = parent[k]
+        return k
+
+    for i, j in pairs:
+        i, j = sorted((find(i), find(j)))
+        parent[j] = i
+    got = {r.doc_id: r.class_id for r in neardup.near_duplicates(docs_of(spark, list(enumerate(texts)))).collect()}
+    lost = sum(got[i] != got[j] for i, j in pairs)
+    assert lost == 0 and got == {k: find(k) for k in range(len(texts))}, (lost, len(pairs), len(set(got.values())), len({find(k) for k in got}))

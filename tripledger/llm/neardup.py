@@ -9,12 +9,12 @@ Document frequencies come from all documents, counted in a table of fixed size (
 count of other shingles taken off. idf is damped to ``[1, 1 + IDF_SPAN]``: near copies raise the frequency of all they share, so a
 full idf would push the members of a large family apart.
 
-A bucket never gives all its pairs. Its member with most company over all its buckets stands for it, and the others are
-compared with that one, on their whole texts. So copies of one text cost a comparison each. Members that are not alike with their
-representative go on to finer buckets, where they meet only those that differ from it in the same way (``compared``), with four
-times as many representatives a round, and so on until every two texts that share a bucket and that no link joins have been
-compared with a representative or with each other. A pair that is alike to the threshold meets in the finer buckets of one
-representative with a probability over 0.98, and it has those of several.
+A bucket does not give all its pairs at once. Its member with most company over all its buckets stands for it, and members of other
+groups are compared with that one, on their whole texts. So copies of one text cost a comparison each. While a bucket holds several
+groups, all its members go on to finer buckets, those alike with the representative too, where they meet those that differ from it
+in the same way (``compared``). Each round has four times as many representatives, in the end all members, and rounds go on until
+no bucket holds two groups. So two alike texts that share a bucket are joined unless one of the finer samplings parts them; ``compared``
+says how probable that is.
 
 Equal texts are one text throughout. Texts of fewer than five words have one shingle of all words; texts without words (null and
 empty ones too) are alike only if equal. Ties of representatives go to the smaller text key. A null doc_id stands last in its class.
@@ -42,8 +42,9 @@ ROWS = 4
 SIDE_BY_SIDE = 1 << 14
 DF_SLOTS = 1 << 20
 IDF_SPAN = 0.1
-# Finer buckets of a text: least similarity with the representative, bands, rows. Differences are sampled, at last the text itself.
-FINER = ((0.7, 48, 2), (0.5, 64, 4), (0.0, 36, 6))
+# Finer buckets of a text, by its similarity with the representative: from, below, bands, rows. Differences are sampled, at last the
+# text itself. Two alike texts are at most 0.2 apart in their similarity with a third one, so they have a level in common.
+FINER = ((0.6, 2.0, 48, 2), (0.4, 0.8, 96, 4), (-1.0, 0.6, 36, 6))
 # Rows of counts that a task hands on at once.
 DF_CHUNK = 1 << 14
 
@@ -206,17 +207,27 @@ def difference(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
     return mix(hashes[some] + (gap[some] > 0).astype(np.uint64)), np.abs(gap[some])
 
 
-def compared(pairs: DataFrame, texts: DataFrame, frequencies, threshold: float) -> DataFrame:
-    """``similarity`` of each pair (a, its representative b) by their whole texts, and finer buckets of a if they are not alike.
+def beyond(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Shingles that weigh more in a than in b."""
+    weights = np.zeros(len(a[0]))
+    _, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    weights[at] = b[1][bt]
+    return a[0][a[1] > weights]
 
-    Let two texts be as alike as 0.8, but only be alike with b by s. By the triangle inequality their differences from b are
-    alike by (1.8 - 2 s) / (2.2 - 2 s): a third for s = 0.8, a half for 0.7, two thirds for 0.5. So buckets of the differences
-    bring them together, while texts with edits of their own seldom meet again. If they are far from b, their own shingles tell.
+
+def compared(pairs: DataFrame, texts: DataFrame, frequencies) -> DataFrame:
+    """``similarity`` of each pair (a, its representative b) by their whole texts, and finer buckets of a where ``carry`` is set.
+
+    Let two texts be as alike as 0.8, and one of them not be alike with b. If both are not, their differences from b are alike by
+    a third at least on the first level (they meet with probability 0.996) and by a half on the second (0.998); on the last level
+    the texts themselves are sampled (0.9999). Texts with edits of their own seldom meet again. If one is alike with b, its
+    difference may be too small for sampling. It then shares edits with the other one, so on the first level every
+    shingle that a text has beyond b is a bucket too. Left to sampling alone are pairs that share only what b has and they have not.
     """
     left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
     right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b")
-    samplers = [Sampler(*shape, seed=23 + i) for i, (_, *shape) in enumerate(FINER)]
+    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "carry", "text_a", "text_b")
+    samplers = [Sampler(*shape, seed=23 + i) for i, (_, _, *shape) in enumerate(FINER)]
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         bags: dict[bytes, tuple] = {}
@@ -227,23 +238,29 @@ def compared(pairs: DataFrame, texts: DataFrame, frequencies, threshold: float)
                 bags[key] = hashes, frequencies.value.weights(hashes, counts)
             return bags[key]
 
-        columns = (batch.column(c).to_pylist() for c in ("a", "b", "text_a", "text_b"))
+        columns = (batch.column(c).to_pylist() for c in ("a", "b", "carry", "text_a", "text_b"))
         found, finer = [], []
         waiting: list[list] = [[] for _ in FINER]
-        for i, (a, b, ta, tb) in enumerate(zip(*columns)):
+        for i, (a, b, carry, ta, tb) in enumerate(zip(*columns)):
             one, other = bag(a, ta), bag(b, tb)
             found.append(similarity(one, other))
             finer.append([])
-            if found[-1] < threshold:
-                level = next(k for k, (least, *_) in enumerate(FINER) if found[-1] >= least)
-                own = np.uint64(int.from_bytes(b[:8], "little"))
-                waiting[level].append((i, own, difference(one, other) if FINER[level][0] else one))
+            if not carry:
+                continue
+            own = np.uint64(int.from_bytes(b[:8], "little"))
+            gap = difference(one, other)
+            for level, (least, below, *_) in enumerate(FINER):
+                bag_of = gap if level < len(FINER) - 1 else one
+                if least <= found[-1] < below and len(bag_of[0]):
+                    waiting[level].append((i, own, bag_of))
+            if found[-1] >= FINER[0][0]:
+                finer[-1] += mix(beyond(one, other) + mix(own + np.uint64(1))).view(np.int64).tolist()
         for sampler, some in zip(samplers, waiting):
             for first in range(0, len(some), 32):
                 part = some[first : first + 32]
                 bands = sampler.bands_of([x for _, _, x in part])
                 for (i, own, _), row in zip(part, bands):
-                    finer[i] = mix(row + own).view(np.int64).tolist()
+                    finer[i] += mix(row + own).view(np.int64).tolist()
         return pa.RecordBatch.from_arrays(
             [batch.column("a"), batch.column("b"), pa.array(found, pa.float64()), pa.array(finer, pa.list_(pa.int64()))],
             names=["a", "b", "similarity", "finer"],
@@ -269,24 +286,31 @@ def links_and_groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[Dat
     links, done, number = [], [], 1
     while True:
         company = buckets.groupBy("key").agg(F.sum("size").alias("company"))
-        slot = F.pmod(F.xxhash64("key"), F.lit(number)).alias("slot")
-        members = buckets.select("band", "key", "root").join(company, "key")
-        stands = members.groupBy("band", slot).agg(F.max(F.struct("company", "key", "root")).alias("rep"))
-        stands = stands.select(F.col("band").alias("at"), F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root"))
-        meets = buckets.join(stands, (F.col("band") == F.col("at")) & (F.col("root") != F.col("rep_root")))
+        slot = F.pmod(F.xxhash64("key", F.lit(number)), F.lit(number))
+        members = buckets.select("band", "key", "root").join(company, "key").withColumn("slot", slot)
+        rank = F.struct("company", "key", "root")
+        stands = stored(members.groupBy("band", "slot").agg(F.max(rank).alias("rep")), "stands")
+        # The first of a bucket's representatives makes its finer buckets, for all members that do not stand themselves.
+        first = F.struct("rep.company", "rep.key", "rep.root")
+        heads = stands.groupBy("band").agg(F.max(first).alias("rep")).select("band", F.col("rep.key").alias("b"))
+        standing = stands.select("band", F.col("rep.key").alias("key"))
+        carried = buckets.select("band", "key").join(standing, ["band", "key"], "left_anti").join(heads, "band")
+        carried = carried.select(F.col("key").alias("a"), "b", F.lit(True).alias("carry"))
+        reps = stands.select(F.col("band").alias("at"), F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root"))
+        meets = buckets.join(reps, (F.col("band") == F.col("at")) & (F.col("root") != F.col("rep_root")))
         # Two representatives of a bucket meet once.
         pairs = meets.groupBy(F.least("key", "b").alias("low"), F.greatest("key", "b").alias("high")).agg(F.min("b").alias("b"))
         for before in done:
             pairs = pairs.join(before, ["low", "high"], "left_anti")
-        pairs = stored(pairs, "pairs")
+        other = F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low"))
+        wanted = pairs.select(other.alias("a"), "b", F.lit(False).alias("carry")).unionByName(carried)
+        pairs = stored(wanted.groupBy("a", "b").agg(F.max("carry").alias("carry")), "pairs")
         if pairs.isEmpty():
             break
-        done.append(pairs.select("low", "high"))
-        other = F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-        checked = stored(compared(pairs.select(other.alias("a"), "b"), texts, shared, threshold), "compared")
+        done.append(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")))
+        checked = stored(compared(pairs, texts, shared), "compared")
         links.append(checked.where(F.col("similarity") >= threshold).select("a", "b", "similarity"))
-        # One round of merging is enough to leave out what is joined already; what it misses is compared once more.
-        groups = stored(components(reduce(DataFrame.unionByName, links), 1), "groups")
+        groups = stored(components(reduce(DataFrame.unionByName, links)), "groups")
         finer = checked.select(F.explode("finer").alias("band"), F.col("a").alias("key")).distinct()
         finer = finer.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
         dropped(buckets)
