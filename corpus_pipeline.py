@@ -42,7 +42,7 @@ def without_repeated_strings(spark: SparkSession, docs: DataFrame, sf_dir: str)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return decontaminate.decontaminated(docs, read_table(prepare(spark), sf_dir, "benchmark"))
+    return decontaminate.decontaminated(docs, read_table(prepare(spark), sf_dir, "benchmark"), short_items=True)
 
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

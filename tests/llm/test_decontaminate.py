@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 from conftest import SF
 from helpers import docs_of, prose
@@ -81,3 +83,38 @@ def test_empty_tables(spark):
     assert decontaminate.contaminations(docs_of(spark, []), items).collect() == []
     assert decontaminate.contaminations(docs_of(spark, [(1, "a b")]), items.limit(0)).collect() == []
     assert decontaminate.decontaminated(docs_of(spark, [(1, "a b")]), items.limit(0)).count() == 1
+
+
+def test_every_replacement_leaves_a_seed():
+    """All overlaps of 8 to 25 words with a fifth of the words replaced, first and last word equal."""
+    masks = [sum(1 << at for at, bit in enumerate(mask) if bit == "1") for mask in decontaminate.MASKS]
+    for n in range(8, 26):
+        whole = (1 << n) - 1
+        left = np.array([whole - sum(1 << k for k in gone) for gone in combinations(range(1, n - 1), n // 5)])
+        for mask in masks:
+            for shift in range(n - mask.bit_length() + 1):
+                left = left[left & (mask << shift) != mask << shift]
+        assert not len(left), n
+
+
+def test_replaced_words_of_short_overlaps(spark):
+    rng = np.random.default_rng(31)
+    around = prose(rng, 40)
+    items, docs = [], []
+    for n in (8, 10, 13, 15):
+        item = [f"w{n}x{k}" for k in range(n)]
+        items.append((n, " ".join(item)))
+        for gone in combinations(range(1, n - 1), n // 5):
+            docs.append((n, around + " " + " ".join("other" if k in gone else w for k, w in enumerate(item)) + " " + around))
+    rows = [(n * 1000 + i, text) for i, (n, text) in enumerate(docs)]
+    got = decontaminate.contaminations(docs_of(spark, rows), spark.createDataFrame(items, ITEMS)).collect()
+    assert sorted((r.doc_id, r.item_id, r.n_words) for r in got) == sorted((i, i // 1000, i // 1000) for i, _ in rows)
+
+
+def test_short_items_as_a_whole(spark):
+    table = spark.createDataFrame([(1, "Alpha beta"), (2, "alpha beta gamma delta eps zeta eta"), (3, "omega"), (4, "..."), (5, None)], ITEMS)
+    rows = [(0, "x alpha, beta gamma delta eps zeta eta y"), (1, "the omega"), (2, "beta alpha gamma"), (3, None), (4, "...")]
+    docs = docs_of(spark, rows)
+    got = decontaminate.contaminations(docs, table, short_items=True).collect()
+    assert sorted((r.doc_id, r.item_id, r.doc_word, r.n_words) for r in got) == [(0, 1, 1, 2), (0, 2, 1, 7), (1, 3, 1, 1)]
+    assert sorted(r.doc_id for r in decontaminate.decontaminated(docs, table, short_items=True).collect()) == [2, 3, 4]

@@ -59,7 +59,7 @@ def op8(spark: SparkSession, folder: str) -> DataFrame:
 
 @query("op6_decontamination")
 def op6(spark: SparkSession, folder: str) -> DataFrame:
-    return decontaminate.contaminations(documents(spark, folder), read_table(spark, folder, "benchmark"))
+    return decontaminate.contaminations(documents(spark, folder), read_table(spark, folder, "benchmark"), short_items=True)
 
 
 @query("op5_minhash_near_dedup")

@@ -7,7 +7,11 @@ all documents. Before that join, document seeds pass a Bloom filter of the bench
 
 A hit fixes an alignment of item and document. Along it, words are compared one to one; the longest stretch of at least
 ``least`` words of which a share of ``agree`` or more are equal, is the overlap. An item shorter than ``least`` words must
-overlap as a whole; items shorter than the shortest mask have no seeds and are never found.
+overlap as a whole. The masks are chosen by enumeration: with the default limits every overlap has a seed, whichever words are replaced
+(checked for all overlaps of 8 to 25 words; of a longer one, some half is an overlap too). Limits below these would lose some.
+
+Items of fewer than ``SHORTEST`` words are found only with ``short_items``, and then as a whole and without replaced words: a passage
+of few words stands in many texts by chance, so the caller says if that counts.
 
 Words are runs of letters and digits in lower case. Null and empty texts have no words. Equal texts are searched once and
 reported for each of their rows; repeated items are reported once per id. Extra columns are not read.
@@ -22,22 +26,24 @@ from pyspark.sql import functions as F
 
 from tripledger.llm.common import map_batches, mix, stored, text_key, texts_of, word_hashes
 
-# Fixed masks: each ignores other positions.
-MASKS = ("11111111", "1101100110111", "11101001010111", "10110111000111", "111001011100101")
+# Fixed masks, chosen one by one as those that hit most of the overlaps that the ones before miss.
+MASKS = ("1101111", "111010011", "1100010111", "1111101", "10110111", "111001101")
+# Shorter items are hashed as a whole.
+SHORTEST = 8
 LEAST = 13
 AGREE = 0.8
 FILTER_BITS = 1 << 24
 FILTER_HASHES = 3
 
 
-def seeds_of(words: np.ndarray, masks: tuple[str, ...] = MASKS) -> tuple[np.ndarray, np.ndarray]:
+def seeds_of(words: np.ndarray, masks: tuple[str, ...] = MASKS, first: int = 1) -> tuple[np.ndarray, np.ndarray]:
     """Hash and first word of every seed of a text."""
     hashes, places = [], []
     for number, mask in enumerate(masks):
         n = len(words) - len(mask) + 1
         if n <= 0:
             continue
-        total = np.full(n, number + 1, np.uint64)
+        total = np.full(n, number + first, np.uint64)
         for at, bit in enumerate(mask):
             if bit == "1":
                 total = total * np.uint64(0x9E3779B97F4A7C15) + words[at : at + n]
@@ -48,21 +54,41 @@ def seeds_of(words: np.ndarray, masks: tuple[str, ...] = MASKS) -> tuple[np.ndar
     return np.concatenate(hashes), np.concatenate(places)
 
 
+def short_seeds(words: np.ndarray, lengths: list[int]) -> list[tuple[np.ndarray, np.ndarray]]:
+    """Hashes and places of all runs of so many words, apart from the masks' seeds."""
+    return [seeds_of(words, ("1" * n,), len(MASKS) + n) for n in lengths]
+
+
 def filter_slots(hashes: np.ndarray, k: int) -> np.ndarray:
     """The filter's k-th slot of each hash: a slice of its bits, as ``seed_filter`` takes it."""
     return ((hashes >> np.uint64(20 * k)) & np.uint64(FILTER_BITS - 1)).astype(np.int64)
 
 
-def item_seeds(items: DataFrame) -> DataFrame:
+def short_lengths(items: DataFrame) -> list[int]:
+    """Numbers of words below ``SHORTEST`` that items have."""
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        sizes = {len(word_hashes(t)) for t in texts_of(batch)}
+        return pa.RecordBatch.from_arrays([pa.array([n for n in sizes if 0 < n < SHORTEST], pa.int32())], names=["n"])
+
+    return sorted(r["n"] for r in map_batches(items.select("text"), run, "n int").distinct().collect())
+
+
+def item_seeds(items: DataFrame, short_items: bool = False) -> DataFrame:
     """seed, item_id, at of every benchmark item."""
 
+    def seeds(words: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if len(words) >= SHORTEST:
+            return seeds_of(words)
+        return short_seeds(words, [len(words)])[0] if short_items and len(words) else seeds_of(words[:0])
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = [seeds_of(word_hashes(t)) for t in texts_of(batch)]
+        found = [seeds(word_hashes(t)) for t in texts_of(batch)]
         sizes = [len(h) for h, _ in found]
         owner = pa.array(np.repeat(np.arange(len(sizes)), sizes))
-        seeds = np.concatenate([h for h, _ in found]).view(np.int64)
+        hashes = np.concatenate([h for h, _ in found]).view(np.int64)
         at = np.concatenate([p for _, p in found]).astype(np.int32)
-        return pa.RecordBatch.from_arrays([pa.array(seeds), batch.column("item_id").take(owner), pa.array(at)], names=["seed", "item_id", "at"])
+        return pa.RecordBatch.from_arrays([pa.array(hashes), batch.column("item_id").take(owner), pa.array(at)], names=["seed", "item_id", "at"])
 
     kind = items.schema["item_id"].dataType.simpleString()
     return map_batches(items.select("item_id", "text"), run, f"seed long, item_id {kind}, at int").distinct()
@@ -85,15 +111,16 @@ def seed_filter(seeds: DataFrame) -> bytes:
     return bytes(bits)
 
 
-def document_hits(docs: DataFrame, bits: bytes) -> DataFrame:
-    """Seeds of documents that pass the filter: key (of the text), seed, at."""
+def document_hits(docs: DataFrame, bits: bytes, short: list[int] | None = None) -> DataFrame:
+    """Seeds of documents that pass the filter: key (of the text), seed, at; ``short`` lists lengths of items hashed as a whole."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         flags = np.unpackbits(np.frombuffer(shared.value, np.uint8), bitorder="little").view(bool)
         seeds, places, sizes = [], [], []
         for text in texts_of(batch):
-            hashes, at = seeds_of(word_hashes(text))
+            words = word_hashes(text)
+            hashes, at = map(np.concatenate, zip(seeds_of(words), *short_seeds(words, short or [])))
             for k in range(FILTER_HASHES):  # later slices are looked up for what is left only
                 kept = flags[filter_slots(hashes, k)]
                 hashes, at = hashes[kept], at[kept]
@@ -140,10 +167,11 @@ def overlap(doc: np.ndarray, item: np.ndarray, shift: int, least: int, agree: fl
     return first + start + shift, end - start, int(same[start:end].sum())
 
 
-def contaminated_texts(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE) -> DataFrame:
+def contaminated_texts(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE, short_items: bool = False) -> DataFrame:
     """key, item_id, doc_word, n_words, n_same for every text and item that overlap: the longest overlap of each pair."""
-    seeds = stored(item_seeds(items), "item-seeds")
-    hits = stored(document_hits(docs, seed_filter(seeds)), "seed-hits")
+    seeds = stored(item_seeds(items, short_items), "item-seeds")
+    short = short_lengths(items) if short_items else []
+    hits = stored(document_hits(docs, seed_filter(seeds), short), "seed-hits")
     aligned = hits.join(seeds.withColumnRenamed("at", "item_at"), "seed").select("key", "item_id", (F.col("at") - F.col("item_at")).alias("shift"))
     pairs = stored(aligned.groupBy("key", "item_id").agg(F.collect_set("shift").alias("shifts")), "alignments")
     texts = docs.select(text_key().alias("key"), "text").join(pairs.select("key").distinct(), "key", "left_semi")
@@ -177,13 +205,13 @@ def contaminated_texts(docs: DataFrame, items: DataFrame, least: int = LEAST, ag
     )
 
 
-def contaminations(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE) -> DataFrame:
+def contaminations(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE, short_items: bool = False) -> DataFrame:
     """One row per contaminated document and item it overlaps."""
-    found = contaminated_texts(docs, items, least, agree)
+    found = contaminated_texts(docs, items, least, agree, short_items)
     return docs.select("doc_id", text_key().alias("key")).join(found, "key").drop("key")
 
 
-def decontaminated(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE) -> DataFrame:
+def decontaminated(docs: DataFrame, items: DataFrame, least: int = LEAST, agree: float = AGREE, short_items: bool = False) -> DataFrame:
     """The rows of ``docs`` that overlap no item, all columns as they are."""
-    found = stored(contaminated_texts(docs, items, least, agree).select(F.col("key").alias("__key")).distinct(), "contaminated")
+    found = stored(contaminated_texts(docs, items, least, agree, short_items).select(F.col("key").alias("__key")).distinct(), "contaminated")
     return docs.join(found, text_key() == found["__key"], "left_anti")
