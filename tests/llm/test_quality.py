@@ -68,3 +68,20 @@ def test_filter_passes_columns_through(spark):
     assert got.columns == docs.columns
     assert sorted((r.doc_id or 0, r.text == good, r.kept) for r in got.collect()) == [(0, True, None), (1, True, "a")]
     assert quality.keep_good(docs.limit(0)).collect() == [] and quality.quality_rules(docs.limit(0)).collect() == []
+
+
+def test_verdict_on_labelled_documents(spark):
+    """The method's own verdict, on rows that pass the base rule: texts labelled bad fall, those labelled good stay."""
+    from conftest import SF
+
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rows = quality.quality_rules(spark.read.parquet(f"{SF}/documents.parquet")).where("NOT base_failed").join(labels, "doc_id").collect()
+    good, bad = ([r for r in rows if r.quality == q] for q in (1, 0))
+    wrong, found = sum(not r.kept for r in good), sum(not r.kept for r in bad)
+    assert good and bad and wrong <= len(good) // 1000 and found >= len(bad) / 2, (wrong, len(good), found, len(bad))
+
+
+def test_other_scripts_have_wide_limits():
+    assert quality.bands_for("ordinary text", b"ordinary text") is quality.ORDINARY
+    for text in ("обычный текст", "普通的文字"):
+        assert quality.bands_for(text, text.encode()) == quality.Bands()
