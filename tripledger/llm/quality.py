@@ -70,7 +70,10 @@ ORDINARY = Bands(
 LATIN = 1.2
 
 
-def bands_for(text: str, data: bytes) -> Bands:
+def bands_for(text: str, data: bytes, bands: Bands | None = None) -> Bands:
+    """``bands`` if they are other than the default ones, which go by the kind of text."""
+    if bands not in (None, Bands()):
+        return bands
     return ORDINARY if len(data) <= LATIN * len(text) else Bands()
 
 
@@ -141,7 +144,7 @@ def judge(text: str, bands: Bands | None, squeeze) -> tuple:
     base = base_features(text)
     failed = base_fails(base[0], base[4])
     data = text.encode("utf-8", "surrogatepass")
-    ratio, n_chunks, bad, reason = band_verdict(data, bands or bands_for(text, data), squeeze)
+    ratio, n_chunks, bad, reason = band_verdict(data, bands_for(text, data, bands), squeeze)
     return *base, failed, not failed and reason is None, ratio, n_chunks, bad, "base" if failed else reason
 
 
