@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import chat, decontaminate, html, language, neardup, pieces, quality, sharding, suffixes, toxicity
+from tripledger.llm import chat, decontaminate, html, language, neardup, pieces, quality, sharding, suffixes, toxicity, whitening
 from tripledger.llm.common import documents, prepare
 from tripledger.session import read_table
 
@@ -75,3 +75,8 @@ def op1(spark: SparkSession, folder: str) -> DataFrame:
 @query("op2_html_extraction")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     return html.main_text(read_table(prepare(spark), folder, "pages"))
+
+
+@query("op13_embedding_whitening")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    return whitening.whiten(read_table(prepare(spark), folder, "embeddings"))
