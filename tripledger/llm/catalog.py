@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tripledger.llm import chat, decontaminate, html, language, neardup, pieces, quality, sharding, suffixes, toxicity, whitening
+from tripledger.llm import chat, decontaminate, html, jaccard, language, neardup, periodic, pieces, quality, sharding, suffixes, toxicity, whitening
 from tripledger.llm.common import documents, prepare
 from tripledger.session import read_table
 
@@ -80,3 +80,13 @@ def op2(spark: SparkSession, folder: str) -> DataFrame:
 @query("op13_embedding_whitening")
 def op13(spark: SparkSession, folder: str) -> DataFrame:
     return whitening.whiten(read_table(prepare(spark), folder, "embeddings"))
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    return periodic.periodic_runs(documents(spark, folder), change=periodic.planted, with_text=False)
+
+
+@query("op12_ngram_jaccard_join")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    return jaccard.jaccard_components(documents(spark, folder))
