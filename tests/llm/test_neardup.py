@@ -74,6 +74,14 @@ def test_filter_keeps_one_row_and_all_columns(spark):
     assert sorted((r.doc_id, r.text, r.root) for r in got.collect()) == [(5, a, "x"), (6, "", "f")]
 
 
+def test_columns_of_any_name(spark):
+    """Columns called like those that the operators add on their way come out as they went in."""
+    rows = [(1, "some words of a text", "k1", 1, "s"), (2, "some words of a text", "k2", 2, "t"), (3, "x", None, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __key string, __row int, kept_key string")
+    got = sorted(tuple(r) for r in neardup.without_near_duplicates(docs).collect())
+    assert got == [rows[0], rows[2]]
+
+
 def test_empty_table(spark):
     assert neardup.near_duplicates(docs_of(spark, [])).collect() == []
     assert neardup.without_near_duplicates(docs_of(spark, [])).collect() == []
@@ -138,28 +146,29 @@ def true_pairs(texts, threshold=neardup.THRESHOLD):
     return np.argwhere(np.triu(both >= threshold * total, 1))
 
 
-def test_levels_overlap():
-    """Two alike texts are at most 0.2 apart in similarity with a third: some finer level takes both."""
-    grid = np.linspace(0, 1, 201)
-    levels = [{k for k, (least, below, *_) in enumerate(neardup.FINER) if least <= s < below} for s in grid]
-    assert all(levels[i] & levels[j] for i in range(201) for j in range(i, min(201, i + 40)))
-
-
-def test_member_alike_with_the_representative_goes_on():
-    """x is alike with b and with y, y not with b: x and y share finer buckets of b."""
-    rng = np.random.default_rng(15)
-    flat = neardup.Frequencies(1000, np.ones(neardup.DF_SLOTS, np.int64))
-    b = prose(rng, 300)
-    x = edited(rng, b, 0.015)
-    y = edited(rng, x, 0.021)
-
-    def bag(text):
-        hashes, counts = neardup.shingles(text)
-        return hashes, flat.weights(hashes, counts)
-
-    like = lambda s, t: neardup.similarity(bag(s), bag(t))
-    assert like(x, b) >= 0.8 and like(x, y) >= 0.8 > like(y, b)
-    assert len(np.intersect1d(neardup.beyond(bag(x), bag(b)), neardup.beyond(bag(y), bag(b))))
+class Known:
+    """A broadcast variable's value without a cluster."""
+
+    def __init__(self, value):
+        self.value = value
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_partners_share_a_prefix_beyond_the_lightest(seed):
+    """x and y alike, r lighter and not alike with both: x and y meet again beyond r, wherever their edits fall."""
+    rng = np.random.default_rng(seed)
+    frequencies = neardup.Frequencies(1000, rng.integers(0, 900, neardup.DF_SLOTS))
+    likeness = neardup.WeightedJaccard(Known(frequencies))
+    base, pairs = prose(rng, 150) + " " + " ".join([prose(rng, 9)] * 3), 0
+    for _ in range(150):
+        x = edited(rng, base, float(rng.choice([0.005, 0.015, 0.03])))
+        y = edited(rng, x, float(rng.choice([0.005, 0.015, 0.02])))
+        r = edited(rng, " ".join(base.split()[: int(rng.integers(100, 177))]), float(rng.choice([0.005, 0.02, 0.04])))
+        x, y, r = sorted((likeness.bag(t) for t in (x, y, r)), key=likeness.weight, reverse=True)
+        if likeness.alike(x, y) and not (likeness.alike(x, r) and likeness.alike(y, r)):
+            pairs += 1
+            assert len(np.intersect1d(likeness.prefix_beyond(x, r), likeness.prefix_beyond(y, r)))
+    assert pairs >= 20
 
 
 def test_copies_of_copies(spark):

@@ -87,3 +87,10 @@ def test_other_columns_pass_through(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, key string, width double")
     got = {r.doc_id: tuple(r) for r in suffixes.without_repeats(docs).collect()}
     assert got == {1: (1, "éone", "x", 1.5), 2: (2, "two", None, None), 3: (3, None, "y", 2.0)}
+
+
+def test_columns_of_any_name(spark):
+    rows = [(1, "ab" * 200, "k", 1, "s"), (2, "ab" * 200, None, 2, "t"), (3, "x", "q", None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, __key string, __spans int, repeated string")
+    got = {r.doc_id: tuple(r) for r in suffixes.without_repeats(docs).collect()}
+    assert got == {1: (1, "", "k", 1, "s"), 2: (2, "", None, 2, "t"), 3: rows[2]}

@@ -72,6 +72,14 @@ def held_out(doc_id: str = "doc_id") -> Column:
     return ~training_row(doc_id)
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that ``df`` does not have, in any case of letters."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """``function`` on each Arrow batch of ``df``; it returns columns in the order of ``schema``."""
 

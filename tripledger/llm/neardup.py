@@ -6,15 +6,12 @@ two texts draw the same with just that probability; ``ROWS`` samples make a band
 bands meet in a bucket. With 16 bands of 4, a pair of similarity 0.8 meets with probability 0.9998.
 
 Document frequencies come from all documents, counted in a table of fixed size (``DF_SLOTS``) by hash, with the mean
-count of other shingles taken off. idf is damped to ``[1, 1 + IDF_SPAN]``: near copies raise the frequency of all they share, so a
+count of other shingles, and what that varies by, taken off: a frequency that can't be told from chance counts as that of a rare shingle. idf is damped to ``[1, 1 + IDF_SPAN]``: near copies raise the frequency of all they share, so a
 full idf would push the members of a large family apart.
 
-A bucket does not give all its pairs at once. Its member with most company over all its buckets stands for it, and members of other
-groups are compared with that one, on their whole texts. So copies of one text cost a comparison each. While a bucket holds several
-groups, all its members go on to finer buckets, those alike with the representative too, where they meet those that differ from it
-in the same way (``compared``). Each round has four times as many representatives, in the end all members, and rounds go on until
-no bucket holds two groups. So two alike texts that share a bucket are joined unless one of the finer samplings parts them; ``compared``
-says how probable that is.
+A bucket does not give all its pairs: its members are compared with representatives of the bucket, on their whole texts, until it
+holds one group (``buckets``). The number of comparisons follows the members of buckets, not their pairs, and two alike texts that
+share a bucket always end in one class; only that they meet in a bucket is left to sampling.
 
 Equal texts are one text throughout. Texts of fewer than five words have one shingle of all words; texts without words (null and
 empty ones too) are alike only if equal. Ties of representatives go to the smaller text key. A null doc_id stands last in its class.
@@ -24,15 +21,14 @@ Extra columns are not read.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import dropped, map_batches, mix, stored, text_key, texts_of, word_hashes
-from tripledger.llm.components import components
+from tripledger.llm.buckets import crowded, resolved, wanted_texts
+from tripledger.llm.common import dropped, free_name, map_batches, mix, stored, text_key, texts_of, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -42,9 +38,8 @@ ROWS = 4
 SIDE_BY_SIDE = 1 << 14
 DF_SLOTS = 1 << 20
 IDF_SPAN = 0.1
-# Finer buckets of a text, by its similarity with the representative: from, below, bands, rows. Differences are sampled, at last the
-# text itself. Two alike texts are at most 0.2 apart in their similarity with a third one, so they have a level in common.
-FINER = ((0.6, 2.0, 48, 2), (0.4, 0.8, 96, 4), (-1.0, 0.6, 36, 6))
+# Standard deviations of a slot's count that other shingles may make.
+CHANCE = 3
 # Rows of counts that a task hands on at once.
 DF_CHUNK = 1 << 14
 
@@ -73,7 +68,7 @@ class Frequencies:
         self.noise = slots.sum(dtype=np.int64) / DF_SLOTS
 
     def weights(self, hashes: np.ndarray, counts: np.ndarray) -> np.ndarray:
-        df = np.maximum(1.0, self.slots[_slot(hashes)] - self.noise)
+        df = np.maximum(1.0, self.slots[_slot(hashes)] - self.noise - CHANCE * np.sqrt(self.noise))
         idf = 1 + IDF_SPAN * (1 - np.minimum(1.0, np.log1p(df) / np.log1p(max(2, self.n))))
         return (1 + np.log(counts)) * idf
 
@@ -171,11 +166,11 @@ def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray
 
 
 def band_rows(docs: DataFrame, frequencies) -> DataFrame:
-    """band (hash, the band's number mixed in) and key of every text with words; equal texts once."""
+    """band (hash, the band's number mixed in), key and weight (``size``) of every text with words; equal texts once."""
     sampler = Sampler()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found, owner, bags, seen, size = [], [], [], set(), 0
+        found, owner, bags, weights, seen, size = [], [], [], [], set(), 0
         for i, (key, text) in enumerate(zip(batch.column("key").to_pylist(), texts_of(batch))):
             if key in seen:
                 continue
@@ -184,6 +179,7 @@ def band_rows(docs: DataFrame, frequencies) -> DataFrame:
             if len(hashes):
                 bags.append((hashes, frequencies.value.weights(hashes, counts)))
                 owner += [i] * BANDS
+                weights += [float(bags[-1][1].sum())] * BANDS
                 size += len(hashes)
             if size >= SIDE_BY_SIDE:
                 found.append(sampler.bands_of(bags).ravel())
@@ -191,135 +187,51 @@ def band_rows(docs: DataFrame, frequencies) -> DataFrame:
         if bags:
             found.append(sampler.bands_of(bags).ravel())
         bands = np.concatenate([*found, np.zeros(0, np.uint64)]).view(np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(bands), batch.column("key").take(pa.array(owner, pa.int64()))], names=["band", "key"])
+        columns = [pa.array(bands), batch.column("key").take(pa.array(owner, pa.int64())), pa.array(weights, pa.float64())]
+        return pa.RecordBatch.from_arrays(columns, names=["band", "key", "size"])
 
-    return map_batches(docs.select(text_key().alias("key"), "text"), run, "band long, key binary").distinct()
+    return map_batches(docs.select(text_key().alias("key"), "text"), run, "band long, key binary, size double").distinct()
 
 
-def difference(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Bag of what stands in one of two bags only: the shingle marked by its side, weighted by the surplus."""
-    hashes = np.union1d(a[0], b[0])
-    weights = np.zeros((2, len(hashes)))
-    for side, (h, w) in enumerate((a, b)):
-        weights[side, np.searchsorted(hashes, h)] = w
-    gap = weights[0] - weights[1]
-    some = gap != 0
-    return mix(hashes[some] + (gap[some] > 0).astype(np.uint64)), np.abs(gap[some])
+class WeightedJaccard:
+    """Texts as weighted bags (sorted hashes, weights), for ``buckets``; ``frequencies`` is a broadcast variable."""
 
+    def __init__(self, frequencies, threshold: float = THRESHOLD):
+        self.frequencies, self.threshold = frequencies, threshold
 
-def beyond(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Shingles that weigh more in a than in b."""
-    weights = np.zeros(len(a[0]))
-    _, at, bt = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
-    weights[at] = b[1][bt]
-    return a[0][a[1] > weights]
+    def bag(self, text: str) -> tuple[np.ndarray, np.ndarray]:
+        hashes, counts = shingles(text)
+        return hashes, self.frequencies.value.weights(hashes, counts)
 
+    def weight(self, bag: tuple[np.ndarray, np.ndarray]) -> float:
+        return float(bag[1].sum())
 
-def compared(pairs: DataFrame, texts: DataFrame, frequencies) -> DataFrame:
-    """``similarity`` of each pair (a, its representative b) by their whole texts, and finer buckets of a where ``carry`` is set.
+    def alike(self, x: tuple[np.ndarray, np.ndarray], y: tuple[np.ndarray, np.ndarray]) -> bool:
+        return similarity(x, y) >= self.threshold
 
-    Let two texts be as alike as 0.8, and one of them not be alike with b. If both are not, their differences from b are alike by
-    a third at least on the first level (they meet with probability 0.996) and by a half on the second (0.998); on the last level
-    the texts themselves are sampled (0.9999). Texts with edits of their own seldom meet again. If one is alike with b, its
-    difference may be too small for sampling. It then shares edits with the other one, so on the first level every
-    shingle that a text has beyond b is a bucket too. Left to sampling alone are pairs that share only what b has and they have not.
-    """
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.join(left, "a").join(right, "b").select("a", "b", "carry", "text_a", "text_b")
-    samplers = [Sampler(*shape, seed=23 + i) for i, (_, _, *shape) in enumerate(FINER)]
-
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        bags: dict[bytes, tuple] = {}
-
-        def bag(key: bytes, text: str) -> tuple:
-            if key not in bags:
-                hashes, counts = shingles(text)
-                bags[key] = hashes, frequencies.value.weights(hashes, counts)
-            return bags[key]
-
-        columns = (batch.column(c).to_pylist() for c in ("a", "b", "carry", "text_a", "text_b"))
-        found, finer = [], []
-        waiting: list[list] = [[] for _ in FINER]
-        for i, (a, b, carry, ta, tb) in enumerate(zip(*columns)):
-            one, other = bag(a, ta), bag(b, tb)
-            found.append(similarity(one, other))
-            finer.append([])
-            if not carry:
-                continue
-            own = np.uint64(int.from_bytes(b[:8], "little"))
-            gap = difference(one, other)
-            for level, (least, below, *_) in enumerate(FINER):
-                bag_of = gap if level < len(FINER) - 1 else one
-                if least <= found[-1] < below and len(bag_of[0]):
-                    waiting[level].append((i, own, bag_of))
-            if found[-1] >= FINER[0][0]:
-                finer[-1] += mix(beyond(one, other) + mix(own + np.uint64(1))).view(np.int64).tolist()
-        for sampler, some in zip(samplers, waiting):
-            for first in range(0, len(some), 32):
-                part = some[first : first + 32]
-                bands = sampler.bands_of([x for _, _, x in part])
-                for (i, own, _), row in zip(part, bands):
-                    finer[i] += mix(row + own).view(np.int64).tolist()
-        return pa.RecordBatch.from_arrays(
-            [batch.column("a"), batch.column("b"), pa.array(found, pa.float64()), pa.array(finer, pa.list_(pa.int64()))],
-            names=["a", "b", "similarity", "finer"],
-        )
-
-    return map_batches(rows, run, "a binary, b binary, similarity double, finer array<long>")
+    def prefix_beyond(self, x: tuple[np.ndarray, np.ndarray], r: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+        """Shingles that weigh more in x than in r, from the rarest on, until the others together weigh less than a partner shares."""
+        shared, at, rt = np.intersect1d(x[0], r[0], assume_unique=True, return_indices=True)
+        gain = x[1].copy()
+        gain[at] -= r[1][rt]
+        both = np.minimum(x[1][at], r[1][rt]).sum()
+        extra, gain = x[0][gain > 0], gain[gain > 0]
+        own, t = self.weight(x), self.threshold
+        least = max(t * own, t / (1 + t) * (own + self.weight(r)))
+        order = np.lexsort((extra, self.frequencies.value.slots[_slot(extra)]))
+        # Weight from a shingle on to the end of the order; with room for rounding.
+        rest = gain[order][::-1].cumsum()[::-1]
+        return extra[order][rest >= least - both - 1e-6 * least]
 
 
 def links_and_groups(docs: DataFrame, threshold: float = THRESHOLD) -> tuple[DataFrame, DataFrame]:
-    """Verified links (a, b, similarity) between different texts, and ``key, root`` of every linked text."""
+    """Verified links (a, b) between different texts, and ``key, root`` of every linked text."""
     shared = docs.sparkSession.sparkContext.broadcast(document_frequencies(docs))
-
-    def crowded(bands: DataFrame) -> DataFrame:
-        """Rows (band, key, root) of buckets that hold several groups, with the size of the bucket."""
-        full = bands.groupBy("band").agg(F.count("*").alias("size"), F.min("root").alias("r"), F.max("root").alias("s"))
-        return stored(bands.join(full.where("r <> s").select("band", "size"), "band"), "buckets")
-
-    # Groups so far: a text without links is a group of its own.
-    buckets = crowded(band_rows(docs, shared).withColumn("root", F.col("key")))
+    rows = stored(band_rows(docs, shared).withColumn("line", F.lit(0).cast("long")), "bands")
+    buckets = crowded(rows)
+    dropped(rows)
     keyed = docs.select(text_key().alias("key"), F.coalesce("text", F.lit("")).alias("text"))
-    wanted = buckets.select("key").distinct()
-    texts = stored(keyed.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("text").alias("text")), "bucket-texts")
-    links, done, number = [], [], 1
-    while True:
-        company = buckets.groupBy("key").agg(F.sum("size").alias("company"))
-        slot = F.pmod(F.xxhash64("key", F.lit(number)), F.lit(number))
-        members = buckets.select("band", "key", "root").join(company, "key").withColumn("slot", slot)
-        rank = F.struct("company", "key", "root")
-        stands = stored(members.groupBy("band", "slot").agg(F.max(rank).alias("rep")), "stands")
-        # The first of a bucket's representatives makes its finer buckets, for all members that do not stand themselves.
-        first = F.struct("rep.company", "rep.key", "rep.root")
-        heads = stands.groupBy("band").agg(F.max(first).alias("rep")).select("band", F.col("rep.key").alias("b"))
-        standing = stands.select("band", F.col("rep.key").alias("key"))
-        carried = buckets.select("band", "key").join(standing, ["band", "key"], "left_anti").join(heads, "band")
-        carried = carried.select(F.col("key").alias("a"), "b", F.lit(True).alias("carry"))
-        reps = stands.select(F.col("band").alias("at"), F.col("rep.key").alias("b"), F.col("rep.root").alias("rep_root"))
-        meets = buckets.join(reps, (F.col("band") == F.col("at")) & (F.col("root") != F.col("rep_root")))
-        # Two representatives of a bucket meet once.
-        pairs = meets.groupBy(F.least("key", "b").alias("low"), F.greatest("key", "b").alias("high")).agg(F.min("b").alias("b"))
-        for before in done:
-            pairs = pairs.join(before, ["low", "high"], "left_anti")
-        other = F.when(F.col("b") == F.col("low"), F.col("high")).otherwise(F.col("low"))
-        wanted = pairs.select(other.alias("a"), "b", F.lit(False).alias("carry")).unionByName(carried)
-        pairs = stored(wanted.groupBy("a", "b").agg(F.max("carry").alias("carry")), "pairs")
-        if pairs.isEmpty():
-            break
-        done.append(pairs.select(F.least("a", "b").alias("low"), F.greatest("a", "b").alias("high")))
-        checked = stored(compared(pairs, texts, shared), "compared")
-        links.append(checked.where(F.col("similarity") >= threshold).select("a", "b", "similarity"))
-        groups = stored(components(reduce(DataFrame.unionByName, links)), "groups")
-        finer = checked.select(F.explode("finer").alias("band"), F.col("a").alias("key")).distinct()
-        finer = finer.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
-        dropped(buckets)
-        buckets = crowded(finer.select("band", "key", "root"))
-        number *= 4
-    empty = docs.sparkSession.createDataFrame([], "a binary, b binary, similarity double")
-    ends = F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), "similarity"
-    found = reduce(DataFrame.unionByName, links, empty).select(*ends).distinct()
-    return found, stored(components(found), "groups")
+    return resolved(buckets, wanted_texts(keyed, buckets), WeightedJaccard(shared, threshold))
 
 
 def near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -346,13 +258,14 @@ def without_near_duplicates(docs: DataFrame, threshold: float = THRESHOLD) -> Da
     _, groups = links_and_groups(docs, threshold)
     rows = docs.select("doc_id", text_key().alias("key")).join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
     first = F.min(F.struct(F.col("doc_id").isNull().alias("late"), "doc_id", "key")).alias("first")
-    kept = rows.groupBy("root").agg(first).select(F.col("first.key").alias("__key"), F.col("first.doc_id").alias("__id"))
+    own_key, own_id, own_row = (free_name(docs, n) for n in ("kept_key", "kept_id", "kept_row"))
+    kept = rows.groupBy("root").agg(first).select(F.col("first.key").alias(own_key), F.col("first.doc_id").alias(own_id))
     kept = stored(kept, "kept")
-    mine = docs.withColumn("__key", text_key())
-    same = (mine["__key"] == kept["__key"]) & mine["doc_id"].eqNullSafe(kept["__id"])
+    mine = docs.withColumn(own_key, text_key())
+    same = (mine[own_key] == kept[own_key]) & mine["doc_id"].eqNullSafe(kept[own_id])
     # Rows equal in id and text: one of them stays, by the order of their columns.
     once = mine.join(kept, same, "left_semi")
     plain = [f.name for f in docs.schema.fields if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
     columns = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    picked = once.groupBy("__key", "doc_id").agg(F.min_by(columns, F.struct(*[F.col(f"`{c}`") for c in plain])).alias("__row"))
-    return picked.select(*[F.col(f"__row.`{c}`").alias(c) for c in docs.columns])
+    picked = once.groupBy(own_key, "doc_id").agg(F.min_by(columns, F.struct(*[F.col(f"`{c}`") for c in plain])).alias(own_row))
+    return picked.select(*[F.col(f"{own_row}.`{c}`").alias(c) for c in docs.columns])

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import hash_spans, map_batches, mix, prefix_sums, stored, text_key
+from tripledger.llm.common import free_name, hash_spans, map_batches, mix, prefix_sums, stored, text_key
 
 LENGTH = 200
 ANCHOR = 64
@@ -227,11 +227,11 @@ def kept_mask(n: int, spans: list[dict] | None, length: int) -> np.ndarray:
     return np.cumsum(edges[:n]) == 0
 
 
-def with_spans(docs: DataFrame, length: int) -> DataFrame:
-    spans = repeated_spans(docs, length)
-    grouped = spans.groupBy("key").agg(F.collect_set(F.struct("start", "width")).alias("__spans"))
-    grouped = grouped.withColumnRenamed("key", "__key")
-    return docs.withColumn("__text_key", text_key()).join(grouped, F.col("__text_key") == F.col("__key"), "left").drop("__text_key", "__key")
+def with_spans(docs: DataFrame, length: int) -> tuple[DataFrame, str]:
+    """``docs`` with the repeated strings of each text, and the name of that column, which is its last one."""
+    spans_name, own, key = (free_name(docs, n) for n in ("repeated", "own_key", "span_key"))
+    grouped = repeated_spans(docs, length).groupBy(F.col("key").alias(key)).agg(F.collect_set(F.struct("start", "width")).alias(spans_name))
+    return docs.withColumn(own, text_key()).join(grouped, F.col(own) == F.col(key), "left").drop(own, key), spans_name
 
 
 def repeats(docs: DataFrame, length: int = LENGTH, with_rest: bool = True) -> DataFrame:
@@ -240,9 +240,11 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_rest: bool = True) -> Da
     ``with_rest`` adds the rest itself and the removed spans.
     """
 
+    marked, spans_name = with_spans(docs.select("doc_id", "text"), length)
+
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out = []
-        for text, spans in zip(batch.column("text").to_pylist(), batch.column("__spans").to_pylist()):
+        for text, spans in zip(batch.column("text").to_pylist(), batch.column(spans_name).to_pylist()):
             data = _bytes(text)
             if not spans:
                 out.append((len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.tobytes() if with_rest else b"", []))
@@ -260,21 +262,22 @@ def repeats(docs: DataFrame, length: int = LENGTH, with_rest: bool = True) -> Da
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
     schema += ", kept binary, removed array<struct<start:int,end:int>>" if with_rest else ""
-    return map_batches(with_spans(docs.select("doc_id", "text"), length), run, schema)
+    return map_batches(marked, run, schema)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """``docs`` with repeated strings cut out of ``text``; a character that loses a byte goes, other columns stay."""
     names = docs.columns
     place_of_text = names.index("text")
+    marked, spans_name = with_spans(docs, length)
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         texts = batch.column(place_of_text).to_pylist()
         out = []
-        for text, spans in zip(texts, batch.column("__spans").to_pylist()):
+        for text, spans in zip(texts, batch.column(spans_name).to_pylist()):
             data = _bytes(text)
             out.append(text if not spans else data[kept_mask(len(data), spans, length)].tobytes().decode("utf-8", "ignore"))
         columns = [pa.array(out, pa.string()) if i == place_of_text else batch.column(i) for i in range(len(names))]
         return pa.RecordBatch.from_arrays(columns, names=names)
 
-    return map_batches(with_spans(docs, length), run, docs.schema)
+    return map_batches(marked, run, docs.schema)
