@@ -10,7 +10,7 @@ from catalog.registry import add, query
 from catalog.standins import RULES, merchant_payments, payments, read_table, report, statement
 from tripledger.operators import classify, contributions, spine, timing
 from tripledger.plans import banks, production, summary
-from tripledger.schemas import MONEY, RATE
+from tripledger.schemas import KEYS, MONEY, RATE
 
 EVENTS = "WITH e AS (SELECT * FROM events)"
 PAY = f"WITH {duck.PAY}"
@@ -156,7 +156,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     return payments(spark, folder).select(
-        "trx_id", F.expr(_POST_SHAPES).rlike(timing.POST_DATE_NO_SECONDS).alias("short_form")
+        "trx_id", timing.is_post_date_without_seconds(F.expr(_POST_SHAPES)).alias("short_form")
     )
 
 
@@ -261,7 +261,9 @@ def _(spark, folder):
 @query("desc_filter_cs", f"{LINES} SELECT trx_id, description FROM lines WHERE description LIKE '%LINKAJA%'")
 def _(spark, folder):
     rows = standins.described(merchant_payments(spark, folder))
-    return rows.where(F.col("description").contains("LINKAJA")).select("trx_id", "description")
+    route = classify.Route("LinkAja", "LINKAJA", F.lit("any"), F.col("ts").cast("date"), ignore_case=False)
+    hit = route.hit(F.col("description"), F.upper("description"))
+    return rows.where(hit.isNotNull()).select("trx_id", "description")
 
 
 @query(
@@ -439,17 +441,24 @@ def by_day():
     ]
 
 
+def measured(spark, folder, net):
+    """The three measures per day, issuer and flag; columns that a query does not take are not computed."""
+    net = F.col(net) if isinstance(net, str) else net
+    rows = payments(spark, folder).select(*by_day(), F.col("trx_id").alias("trx"), F.col("gmv").alias("gross"), net.alias("net"))
+    return contributions.measure(rows, "yti")
+
+
 _BY_DAY_SQL = "CAST(CAST(ts AS DATE) AS VARCHAR) AS receival_date, issuer AS bank, flag AS remarks"
 
 
 @query("traffic_distinct", f"{PAY} SELECT {_BY_DAY_SQL}, COUNT(DISTINCT trx_id) AS traffic FROM pay GROUP BY 1, 2, 3")
 def _(spark, folder):
-    return payments(spark, folder).groupBy(*by_day()).agg(F.countDistinct("trx_id").alias("traffic"))
+    return measured(spark, folder, "net").select(*KEYS, F.col("yti_traffic").alias("traffic"))
 
 
 @query("sum_amount", f"{PAY} SELECT {_BY_DAY_SQL}, CAST(SUM(gmv) AS DOUBLE) AS amount FROM pay GROUP BY 1, 2, 3")
 def _(spark, folder):
-    return payments(spark, folder).groupBy(*by_day()).agg(F.sum("gmv").alias("amount"))
+    return measured(spark, folder, "net").select(*KEYS, F.col("yti_trx_amount").alias("amount"))
 
 
 @query(
@@ -458,7 +467,7 @@ def _(spark, folder):
 )
 def _(spark, folder):
     net = production.net_of(F.col("gmv"), F.lit("0.0054").cast(RATE))
-    return payments(spark, folder).groupBy(*by_day()).agg(F.sum(net).alias("net"))
+    return measured(spark, folder, net).select(*KEYS, F.col("yti_settlement_amount").alias("net"))
 
 
 _PTYPE = "case when flag = 'R' then 'E-money Reversal' when qty = 23 then 'Adjustment' else 'Customer Purchase' end"

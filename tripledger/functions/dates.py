@@ -159,23 +159,32 @@ def day_btn(c: Column) -> Column:
     )
 
 
-BCA_FORM = r"^(\d{2})/(\d{2})/(\d{2}|\d{4})\s+(\d{2}):(\d{2})(?::(\d{2}))?\s*(AM|PM)?$"
-BCA_ISO = r"^(\d{4})[-/](\d{2})[-/](\d{2})[ T](\d{2}):(\d{2})(?::(\d{2}))?.*$"
+BCA_FORM = r"^(\d{1,2})/(\d{1,2})/(\d{1,2}|\d{4})\s+(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?\s*(?:AM|PM)?$"
+BCA_ISO = r"^(\d{4})[-/](\d{1,2})[-/](\d{1,2})[ T](\d{1,2}):(\d{1,2})(?::(\d{1,2}))?.*$"
+HALF_DAY = r"\s\d{1,2}:[0-9:]+\s*(AM|PM)$"
 # Half-day marks count only up to twelve o'clock; twelve itself is hour zero of its half.
 TWELVE_WITH_MARK = r"(^|\s)12(:[0-9:]+\s*(?:AM|PM))$"
 AFTERNOON = r"(^|\s)(0\d|1[01]):[0-9:]+\s*PM$"
 
 
 def moment_bca(c: Column) -> Column:
-    """Issuer BCA: month first with an optional half-day mark, or year first, or free form."""
-    text = F.regexp_replace(F.upper(padded(F.trim(c))), TWELVE_WITH_MARK, "$1" + "00$2")
-    formed = F.regexp_replace(text, BCA_FORM, "$3-$1-$2 $4:$5:$6")
-    formed = F.regexp_replace(formed, r"^(7[1-9]|[89]\d)-", "19$1-")
-    formed = F.regexp_replace(formed, r"^(\d{2})-", "20$1-")
-    formed = F.regexp_replace(formed, BCA_ISO, "$1-$2-$3 $4:$5:$6")
-    moment = iso_moment(F.regexp_replace(formed, ":$", ":00"))
-    known = F.when(text.rlike(AFTERNOON), moment + F.expr("INTERVAL '12' HOUR")).otherwise(moment)
-    return F.when(text.rlike(f"{BCA_FORM}|{BCA_ISO}"), known).otherwise(free_moment(c))
+    """Issuer BCA: month first with an optional half-day mark, or year first, or free form.
+
+    Either shape is brought to six numbers by one replacement; the moment is made of numbers, not read from text again.
+    """
+    text = F.upper(F.trim(c))
+    form, iso = text.rlike(BCA_FORM), text.rlike(BCA_ISO)
+    spaced = F.when(form, F.regexp_replace(text, BCA_FORM, "$3 $1 $2 $4 $5 $6")).when(iso, F.regexp_replace(text, BCA_ISO, "$1 $2 $3 $4 $5 $6"))
+    parts = F.split(spaced, " ")
+    year, month, day, hour, minute, second = (F.get(parts, F.lit(i)).try_cast("int") for i in range(6))
+    year = F.when(F.length(F.get(parts, F.lit(0))) > 2, year).otherwise(century(year, 71))
+    half = F.when(text.endswith("M"), F.regexp_extract(text, HALF_DAY, 1)).otherwise("")
+    hour = F.when((half != "") & (hour == 12), 0).otherwise(hour)
+    hour = hour + F.when((half == "PM") & (hour < 12), 12).otherwise(0)
+    # A sixtieth second would be taken for the next minute.
+    second = F.coalesce(F.when(second < 60, second), F.when(F.get(parts, F.lit(5)) == "", 0))
+    known = F.try_make_timestamp_ntz(year, month, day, hour, minute, second.cast("decimal(16,6)"))
+    return F.coalesce(known, F.when(~(form | iso), free_moment(c)))
 
 
 def moment_text_bca(c: Column) -> Column:

@@ -16,32 +16,33 @@ from tripledger.functions.text import blank_if_null
 from tripledger.operators.timing import NTZ
 
 
-# Steps that bring a digits-and-colons clock to HH:mm:ss, each leaving other text alone:
-# HHMMSS cut or zero-padded, H:MMSS cut or zero-padded, parts padded to two digits and held in range.
-BTN_STEPS = [
-    (r"^(\d{6})\d+$", "$1"),
-    (r"^(\d{0,6})$", "000000$1"),
-    (r"^\d*(\d\d)(\d\d)(\d\d)$", "$1:$2:$3"),
-    (r"^(\d+):(\d{4})\d*$", "$1:$2"),
-    (r"^(\d+):(\d{1,3})$", "$1:0000$2"),
-    (r"^(\d+):\d*(\d\d)(\d\d)$", "$1:$2:$3"),
-    (r"(?<!\d)(\d)(?!\d)", "0$1"),
-    (r"(^|:)0+(?=\d\d(:|$))", "$1"),
-    (r"^(2[4-9]|[3-9]\d|\d{3,}):", "23:"),
-    (r":([6-9]\d|\d{3,})(?=:|$)", ":59"),
-]
+def _held(part: Column, most: int) -> Column:
+    """Two digits of a part, held at the limit; a number too long to read is over it."""
+    return F.lpad(F.least(F.coalesce(part.try_cast("int"), F.lit(most)), F.lit(most)).cast("string"), 2, "0")
 
 
 def clock_btn(c: Column) -> Column:
     """Issuer BTN clock: dots or colons, digits only; out-of-range parts are held at the limit.
 
-    One part is HHMMSS; two parts are hours and MMSS (``12:30`` is read as 12:00:30).
+    One part is HHMMSS; two parts are hours and MMSS (``12:30`` is read as 12:00:30). The text is split once, and parts are cut by
+    their places.
     """
-    digits = F.regexp_replace(F.trim(c), "[^0-9.:]", "")
-    clock = F.btrim(F.regexp_replace(digits, "[.:]+", ":"), F.lit(":"))
-    for pattern, target in BTN_STEPS:
-        clock = F.regexp_replace(clock, pattern, target)
-    return blank_if_null(F.substring(clock, 1, 8))
+    digits = F.regexp_replace(F.trim(c), "[^0-9.:]+", "")
+    parts = F.split(F.btrim(F.regexp_replace(digits, "[.:]+", ":"), F.lit(":")), ":")
+    count = F.size(parts)
+    first, second, third = (F.get(parts, F.lit(i)) for i in range(3))
+    six, four = F.lpad(F.substring(first, 1, 6), 6, "0"), F.lpad(F.substring(second, 1, 4), 4, "0")
+
+    def cut(at_six: int, two_parts: Column, own: Column, most: int) -> Column:
+        return _held(F.when(count == 1, F.substring(six, at_six, 2)).when(count == 2, two_parts).otherwise(own), most)
+
+    clock = F.concat_ws(
+        ":",
+        cut(1, first, first, 23),
+        cut(3, F.substring(four, 1, 2), second, 59),
+        cut(5, F.substring(four, 3, 2), third, 59),
+    )
+    return F.when(c.isNull(), "").otherwise(clock)
 
 
 def clock_mandiri(c: Column) -> Column:
