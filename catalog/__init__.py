@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ["recon", "expressions", "scalars", "formats", "files"]
+MODULES = ["recon", "expressions", "scalars", "formats", "files", "landing"]
 
 
 def load():

@@ -8,7 +8,6 @@ from catalog import duck, standins
 from catalog.formats import SQL_GMV, SQL_ID, raw_path
 from catalog.registry import query
 from catalog.standins import payments, read_table
-from tripledger.functions import text
 from tripledger.operators import shaping
 from tripledger.operators.shaping import cell, named
 from tripledger.plans import banks, formatters, issuers
@@ -284,7 +283,8 @@ def _(spark, folder):
 def _(spark, folder):
     raw_names = [' order  key', '"supp key" ', "\ufeffFlag"]
     table = read_table(spark, folder, "lineitem").select("l_orderkey", "l_suppkey", "l_returnflag")
-    return table.toDF(*text.header_names(raw_names, case="upper", drop='"\ufeff'))
+    cells = [shaping.header_cell(F.lit(n), case="upper", drop='["\ufeff]').alias(f"c{i}") for i, n in enumerate(raw_names)]
+    return table.toDF(*spark.range(1).select(*cells).first())
 
 
 # Sinks and loads -----------------------------------------------------------------------------------

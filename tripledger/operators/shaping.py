@@ -1,7 +1,8 @@
 """Shaping of raw rows: where the data of a file starts and ends, and which cell is which column.
 
 Positions such as "the header row of each file" are found with one small aggregate per file and
-joined back, so a large file is never gathered into one task.
+joined back, so a large file is never gathered into one task. Marks that are needed together come from one aggregate: each mark
+of its own would read the rows, with all that was done to them before, once more.
 """
 
 from __future__ import annotations
@@ -60,34 +61,59 @@ def before_first(rows: DataFrame, condition: Column) -> DataFrame:
     return marked.where(F.col("mark").isNull() | (F.col("pos") < F.col("mark"))).drop("mark")
 
 
+def between(rows: DataFrame, start: Column, end: Column, inclusive: bool = False) -> DataFrame:
+    """Rows after the first match of ``start`` (from it on, if inclusive) and before the next match of ``end`` behind it.
+
+    A file without a start is skipped whole; one without an end runs to its last row. All matches of ``end`` are rows of the
+    aggregate, as only the start decides which of them counts.
+    """
+    by_file = Window.partitionBy("file")
+    found = rows.groupBy("file", F.when(end, F.col("pos")).alias("end")).agg(F.min(F.when(start, F.col("pos"))).alias("start"))
+    found = found.withColumn("start", F.min("start").over(by_file)).where("start IS NOT NULL")
+    marks = found.groupBy("file").agg(F.min("start").alias("start"), F.min(F.when(F.col("end") > F.col("start"), F.col("end"))).alias("end"))
+    after = F.col("pos") >= F.col("start") if inclusive else F.col("pos") > F.col("start")
+    body = per_file(rows, marks, "inner").where(after & (F.col("end").isNull() | (F.col("pos") < F.col("end"))))
+    return body.drop("start", "end")
+
+
 # Statement header, statement footers, other end marks.
 STATEMENT_HEADER = "Tanggal Transaksi,Keterangan,Cabang,Jumlah,Saldo"
 STATEMENT_FOOTERS = ["Saldo Awal", "Mutasi Debet", "Mutasi Kredit", "Saldo Akhir"]
 TOTAL, CHECKSUM = "TOTAL", "SAMPLE CHECKSUM"
 
 
+def is_header(signature: str = STATEMENT_HEADER) -> Column:
+    return joined(",").contains(signature)
+
+
+def is_footer(markers: Sequence[str] = tuple(STATEMENT_FOOTERS)) -> Column:
+    return cell(0).rlike("|".join(markers))
+
+
 def seek_header(rows: DataFrame, signature: str = STATEMENT_HEADER) -> DataFrame:
-    return after_first(rows, joined(",").contains(signature))
+    return after_first(rows, is_header(signature))
 
 
 def cut_footer(rows: DataFrame, markers: Sequence[str] = tuple(STATEMENT_FOOTERS)) -> DataFrame:
-    return before_first(rows, cell(0).rlike("|".join(markers)))
+    return before_first(rows, is_footer(markers))
 
 
 def cut_total(rows: DataFrame) -> DataFrame:
     return before_first(rows, F.upper(cell(0)).contains(TOTAL))
 
 
+def is_checksum() -> Column:
+    return F.upper(joined(" ")).contains(CHECKSUM)
+
+
 def cut_checksum(rows: DataFrame) -> DataFrame:
-    return before_first(rows, F.upper(joined(" ")).contains(CHECKSUM))
+    return before_first(rows, is_checksum())
 
 
 def numeric_run(rows: DataFrame) -> DataFrame:
     """First run of rows whose first cell starts with an integer; a blank first cell does not end it."""
     numbered = cell(0).rlike(r"^\s*[+-]?\d")
-    started = _first(rows, numbered).where(F.col("mark").isNotNull())
-    run = per_file(rows, started, "inner").where(F.col("pos") >= F.col("mark")).drop("mark")
-    return before_first(run, (cell(0) != "") & ~numbered)
+    return between(rows, numbered, (cell(0) != "") & ~numbered, inclusive=True)
 
 
 def drop_empty(rows: DataFrame) -> DataFrame:
@@ -100,6 +126,12 @@ def trim_trailing_empty(rows: DataFrame) -> DataFrame:
     return per_file(rows, last, "inner").where(F.col("pos") <= F.col("mark")).drop("mark")
 
 
+def header_and_tail_off(rows: DataFrame) -> DataFrame:
+    """Rows without the first one of each file and without the empty rows at its end."""
+    marks = rows.groupBy("file").agg(F.min("pos").alias("first"), F.max(F.when(~is_empty(), F.col("pos"))).alias("last"))
+    return per_file(rows, marks, "inner").where((F.col("pos") > F.col("first")) & (F.col("pos") <= F.col("last"))).drop("first", "last")
+
+
 def drop_blank_key(rows: DataFrame) -> DataFrame:
     return rows.where(cell(0) != "")
 
@@ -118,18 +150,20 @@ def header_cell(c: Column, case: str | None = None, drop: str = "") -> Column:
     return F.upper(text) if case == "upper" else F.lower(text) if case == "lower" else text
 
 
-def take_header(rows: DataFrame, case: str | None = None, drop: str = "", verbatim: bool = False) -> DataFrame:
-    """First row of each file as its ``header`` array next to every other row of that file.
+def take_header(rows: DataFrame, case: str | None = None, drop: str = "", verbatim: bool = False, until: Column | None = None) -> DataFrame:
+    """First row of each file as its ``header`` array next to every other row of that file, up to the first match of ``until``.
 
     Files of one source may order their columns differently; each keeps its own header.
     """
     first = rows.groupBy("file").agg(
         F.min("pos").alias("mark"),
         F.min_by("cells", "pos").alias("cells"),
+        *([F.min(F.when(until, F.col("pos"))).alias("end")] if until is not None else []),
     )
     names = F.col("cells") if verbatim else F.transform("cells", lambda c: header_cell(c, case, drop))
-    marks = first.select("file", "mark", names.alias("header"))
-    return per_file(rows, marks, "inner").where(F.col("pos") > F.col("mark")).drop("mark")
+    marks = first.select("file", "mark", names.alias("header"), *(["end"] if until is not None else []))
+    body = per_file(rows, marks, "inner").where(F.col("pos") > F.col("mark")).drop("mark")
+    return body if until is None else body.where("end IS NULL OR pos < end").drop("end")
 
 
 def has_column(name: str) -> Column:

@@ -16,7 +16,7 @@ from tripledger.functions import amounts, dates, text, times
 from tripledger.operators import shaping
 from tripledger.operators.shaping import cell, named
 from tripledger.schemas import TABLES
-from tripledger.sources import raw
+from tripledger.sources import files, raw
 
 # Normalised column names per source, in file order.
 BTN = [
@@ -304,7 +304,7 @@ def fmt_mandiri(lines: DataFrame) -> DataFrame:
     """The body is found on the plain lines, so that only its lines are parsed, and once."""
     filled = shaping.drop_leading(lines, 5).where(F.trim("line") != "")
     total = F.upper(raw.first_cell(F.col("line"), F.col("sep"))).contains(shaping.TOTAL)
-    body = shaping.before_first(shaping.drop_header(filled), total)
+    body = shaping.between(filled, F.lit(True), total)
     table = shaping.by_position(raw.trimmed_cells_of(body), MANDIRI)
 
     def clean(c: Column) -> Column:
@@ -356,7 +356,7 @@ def fmt_kredivo(rows: DataFrame) -> DataFrame:
 
 
 def fmt_linkaja(rows: DataFrame, columns: Sequence[str] = LINKAJA) -> DataFrame:
-    body = shaping.take_header(shaping.cut_checksum(rows), case="lower")
+    body = shaping.take_header(rows, case="lower", until=shaping.is_checksum())
     return shaping.by_name(body, {c: c for c in columns}, REST)
 
 
@@ -426,7 +426,7 @@ def fmt_bri(rows: DataFrame) -> DataFrame:
 
 
 def fmt_bank_bca(rows: DataFrame) -> DataFrame:
-    body = shaping.min_columns(shaping.cut_footer(shaping.seek_header(rows)), 5)
+    body = shaping.min_columns(shaping.between(rows, shaping.is_header(), shaping.is_footer()), 5)
     amount, kind = amounts.amount_and_type(cell(3))
     posted = dates.day_bank_bca(cell(0))
     return body.select(
@@ -459,7 +459,7 @@ def fmt_bank_bni(rows: DataFrame) -> DataFrame:
 
 
 def fmt_bank_mandiri(rows: DataFrame) -> DataFrame:
-    body = shaping.drop_header(shaping.trim_trailing_empty(rows))
+    body = shaping.header_and_tail_off(rows)
     return changed(
         shaping.by_position(body, BANK_MANDIRI),
         {"AccountNo": amounts.account_number, "Post_Date": dates.moment_text},
@@ -469,22 +469,34 @@ def fmt_bank_mandiri(rows: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Source:
-    """How one source is read and formatted, and the landed tables it fills."""
+    """How one source is read and formatted, and the landed tables it fills.
 
-    read: Callable[[SparkSession, str], DataFrame]
+    ``run`` takes the files of a path that the caller has chosen, but no left-overs; ``run_folder`` takes the source's own
+    files out of a folder. Names are judged when the scan is planned, so other files are not opened.
+    """
+
+    read: Callable[..., DataFrame]
     format: Callable[[DataFrame], DataFrame]
     tables: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, path: str) -> DataFrame:
-        return self.format(self.read(spark, path))
+        return self.format(self.read(spark, path, accept=files.not_left_over))
+
+    def run_folder(self, spark: SparkSession, folder: str) -> DataFrame:
+        name = next(n for n, source in SOURCES.items() if source is self)
+        return self.format(self.read(spark, folder, accept=lambda c: files.accepted(name, c)))
+
+
+def _cells(sep: str = ",") -> Callable[..., DataFrame]:
+    return lambda spark, path, accept=None: raw.read_cells(spark, path, sep, accept=accept)
 
 
-def _cells(sep: str = ",") -> Callable[[SparkSession, str], DataFrame]:
-    return lambda spark, path: raw.read_cells(spark, path, sep)
+def _mandiri_lines(spark: SparkSession, path: str, accept: raw.Accept | None = None) -> DataFrame:
+    return raw.with_separator(raw.read_lines(spark, path, accept=accept), raw.detect_whole_file)
 
 
-def _mandiri_lines(spark: SparkSession, path: str) -> DataFrame:
-    return raw.with_separator(raw.read_lines(spark, path), raw.detect_whole_file)
+def _naive_cells(spark: SparkSession, path: str, accept: raw.Accept | None = None) -> DataFrame:
+    return raw.naive_cells_of(raw.read_lines(spark, path, accept=accept))
 
 
 SOURCES: dict[str, Source] = {
@@ -513,9 +525,7 @@ SOURCES: dict[str, Source] = {
     "nobu": Source(_cells(), fmt_nobu),
     "bri": Source(_cells(), fmt_bri),
     "bank_bca": Source(_cells(), fmt_bank_bca, ("recon_bca_bank_file_report",)),
-    "bank_btn": Source(
-        lambda s, p: raw.naive_cells_of(raw.read_lines(s, p)), fmt_bank_btn, ("recon_btn_bank_file_mutation",)
-    ),
+    "bank_btn": Source(_naive_cells, fmt_bank_btn, ("recon_btn_bank_file_mutation",)),
     "bank_bni": Source(_cells(), fmt_bank_bni, ("recon_bni_bank_file_report",)),
     "bank_mandiri": Source(
         _cells(";"), fmt_bank_mandiri, ("recon_mandiri_bank_file_report",)
@@ -529,15 +539,19 @@ ALIASES = {
 }
 
 
-def for_load(df: DataFrame, table: str) -> DataFrame:
-    """Normalised text columns in the order of a landed table, by name; absent columns are blank."""
+def for_load(df: DataFrame, table: str, with_rejected: bool = False) -> DataFrame:
+    """Normalised text columns in the order of a landed table, by name; absent columns are blank.
+
+    ``with_rejected`` adds the name of the cell that could not be normalised, for ``loader.land``.
+    """
     have = {c.lower(): c for c in df.columns}
     alias = ALIASES.get(table, {})
-    return df.select(
-        *[
-            (F.col(f"`{have[key]}`") if (key := alias.get(n, n).lower()) in have else F.lit(None))
-            .cast("string")
-            .alias(n)
-            for n, _ in TABLES[table].columns
-        ]
-    )
+    columns = [
+        (F.col(f"`{have[key]}`") if (key := alias.get(n, n).lower()) in have else F.lit(None))
+        .cast("string")
+        .alias(n)
+        for n, _ in TABLES[table].columns
+    ]
+    if with_rejected:
+        columns.append((F.col("rejected") if "rejected" in df.columns else F.lit(None).cast("string")).alias("rejected"))
+    return df.select(*columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,5 +76,12 @@ def written_once(
     return _written[key]
 
 
+def kept(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed now, written to the scratch folder and read from there: later plans hold a scan of its files."""
+    path = f"{scratch_root(df.sparkSession)}/kept/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")

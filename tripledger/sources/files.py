@@ -42,6 +42,8 @@ FILE_RULES = {
     "bank_mandiri": FileRule(contains="Acc_Statement"),
     "btn": FileRule(suffixes=(".csv",)),
     "bca": FileRule(suffixes=(".csv",)),
+    "bni": FileRule(suffixes=(".csv",)),
+    "kredivo": FileRule(suffixes=(".csv",)),
     "mandiri": FileRule(suffixes=(".csv",)),
     "shopeepay": FileRule(suffixes=(".csv",)),
     "indodana": FileRule(suffixes=(".csv",), not_prefix="~$"),
@@ -53,6 +55,19 @@ FILE_RULES = {
 }
 
 
+# Never data, whatever the source: lock files of open workbooks and files under conversion.
+LEFT_OVERS = FileRule(without="_temp", not_prefix="~$")
+
+
+def not_left_over(name: Column) -> Column:
+    return LEFT_OVERS.accepts(name)
+
+
+def accepted(source: str, name: Column) -> Column:
+    """Whether a file of that name is one of a source's own."""
+    return LEFT_OVERS.accepts(name) & FILE_RULES[source].accepts(name)
+
+
 def list_files(spark: SparkSession, folder: str) -> DataFrame:
     """Paths, names and sizes of a folder's files; contents are not read."""
     files = spark.read.format("binaryFile").load(folder).select("path", "length", "modificationTime")
@@ -90,6 +105,22 @@ def date_ranges(rows: DataFrame, day: Column, by: Sequence[str] = ("file",)) ->
     return ranges.withColumn("label", label)
 
 
+def first_row_days(rows: DataFrame, day: Column) -> DataFrame:
+    """Day of the first row of each file, for names that go by it."""
+    return rows.groupBy("file").agg(F.min_by(day, "pos").alias("first_row_day"))
+
+
+def day_name(prefix: str, day: Column, pattern: str = "yyyy-MM-dd", missing: str = "0000-00-00") -> Column:
+    """Output name by a day; ``missing`` stands for one that can't be read."""
+    return F.concat(F.lit(prefix), F.coalesce(F.date_format(day, pattern), F.lit(missing)), F.lit(".csv"))
+
+
+def range_name(prefix: str, first: Column, last: Column, pattern: str = "ddMMyyyy") -> Column:
+    """Output name by the days a file spans, one day once."""
+    a, b = F.date_format(first, pattern), F.date_format(last, pattern)
+    return F.concat(F.lit(prefix), F.when(a.isNull(), "unknown").when(a == b, a).otherwise(F.concat_ws("-", a, b)), F.lit(".csv"))
+
+
 def latest_day_name(prefix: str, last_day: Column, pattern: str = "yyyy-MM-dd") -> Column:
     """Output name by the latest day of the data; ``unknown`` if there is none."""
     day = F.coalesce(F.date_format(last_day, pattern), F.lit("unknown"))

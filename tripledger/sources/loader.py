@@ -2,17 +2,19 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tripledger.operators.shaping import leading_marks
 from tripledger.schemas import TABLES, LandedTable
+from tripledger.session import scratch_root
 from tripledger.sources import raw
+from tripledger.sources.commits import landed, write_table
 
 # A clock of the day, seconds optional; a whole day, a clock optional.
 CLOCK = r"^([01]?\d|2[0-3]):[0-5]?\d(:[0-5]?\d(\.\d+)?)?$"
@@ -54,6 +56,13 @@ def _fault(name: str, kind: str, is_clock: bool) -> Column:
     return F.when(filled & typed(c, kind, is_clock).isNull(), name)
 
 
+def _header_marks(records: DataFrame, count: int) -> DataFrame:
+    """Place where the header of each file ends; of at most one row, it takes no order to find it."""
+    if count > 1:
+        return leading_marks(records, count)
+    return records.groupBy("file").agg((F.min("pos") - (1 - count)).alias("mark"))
+
+
 def read_normalised(
     spark: SparkSession,
     path: str,
@@ -70,7 +79,7 @@ def read_normalised(
     names = [n for n, _ in table.columns]
     records = raw.read_records(spark, path, sep, quoted_newlines)
     data = F.col("pos") > F.col("mark")
-    body = raw.filled(raw.per_file(records, leading_marks(records, header_rows), "inner").where(data))
+    body = raw.filled(raw.per_file(records, _header_marks(records, header_rows), "inner").where(data))
     rows = body.withColumn("cells", raw.line_cells(F.col("line"), sep)).select(
         *[F.nullif(F.get("cells", F.lit(i)), F.lit("")).alias(n) for i, n in enumerate(names)],
         F.when(F.size("cells") != len(names), F.array_join("cells", sep)).alias("bad_row"),
@@ -97,29 +106,47 @@ def load_strict(spark: SparkSession, path: str, table: str, **reading) -> DataFr
     return rows.select(row.otherwise(F.raise_error(message)).alias("row")).select("row.*")
 
 
+def _sides(rows: DataFrame, declared: LandedTable) -> DataFrame:
+    """Rows of text with ``fault`` as one frame of both sides: ``good`` (typed) or ``bad`` (as text), and which one it is."""
+    good = F.col("fault").isNull()
+    text_columns = [c for c in rows.columns if c != "data"]
+    return rows.select(
+        F.when(good, F.struct(*_typed_columns(declared))).alias("good"),
+        F.when(~good, F.struct(*[F.col(f"`{c}`") for c in text_columns])).alias("bad"),
+        F.when(good, "good").otherwise("bad").alias("side"),
+    )
+
+
+def _split(rows: DataFrame, declared: LandedTable, path: str) -> tuple[DataFrame, DataFrame]:
+    """Good and bad rows from one read: written once, partitioned by side, each side read from its own folder."""
+    sides = _sides(rows, declared)
+    sides.write.partitionBy("side").parquet(path)
+    written = rows.sparkSession.read.schema(sides.schema).parquet(path)
+    return written.where("side = 'good'").select("good.*"), written.where("side = 'bad'").select("bad.*")
+
+
 def load_with_quarantine(
     spark: SparkSession, path: str, table: str, **reading
 ) -> tuple[DataFrame, DataFrame]:
-    """Typed good rows, and bad rows as text with the reason."""
+    """Typed good rows, and bad rows as text with the reason. The files are read once, when this is called."""
     declared = TABLES[table]
     rows = read_normalised(spark, path, declared, **reading)
-    good = rows.where(F.col("fault").isNull()).select(*_typed_columns(declared))
-    return good, rows.where(F.col("fault").isNotNull())
-
+    return _split(rows, declared, f"{scratch_root(spark)}/sides/{table}-{uuid.uuid4().hex}")
 
-def has_rows(spark: SparkSession, path: str) -> bool:
-    try:
-        return not spark.read.parquet(path).isEmpty()
-    except AnalysisException:
-        return False
 
+def land(rows: DataFrame, table: str, target: str, quarantine: str, disposition: str = "truncate") -> None:
+    """Formatted rows (``formatters.for_load`` with ``rejected``) into a landed table; bad ones into its quarantine, with ``fault``.
 
-def write_table(df: DataFrame, path: str, disposition: str = "truncate") -> None:
-    """Write as ``truncate`` (replace), ``append``, or ``empty`` (fail if the table has rows)."""
-    if disposition == "empty" and has_rows(df.sparkSession, path):
-        raise ValueError(f"{path} is not empty")
-    mode = {"truncate": "overwrite", "append": "append", "empty": "overwrite"}[disposition]
-    df.write.mode(mode).parquet(path)
+    A cell that could not be normalised is a fault like one that is not of its declared type: a day that does not exist never
+    lands as a legal blank. Rows are read once. Both tables change as ``write_table`` does it, the quarantine first.
+    """
+    declared = TABLES[table]
+    faults = [F.col("rejected")] if "rejected" in rows.columns else []
+    faults += [_fault(*k) for k in _kinds(declared) if k[1] != "string" or k[2]]
+    marked = rows.withColumn("fault", F.coalesce(*faults)).drop("rejected")
+    good, bad = _split(marked, declared, f"{scratch_root(rows.sparkSession)}/sides/{table}-{uuid.uuid4().hex}")
+    write_table(bad, quarantine, disposition)
+    write_table(good, target, disposition, keep_replaced=True)
 
 
 def load_all(
@@ -131,13 +158,14 @@ def load_all(
 ) -> Mapping[str, str]:
     """Load every registered table from its folder, several at a time, replacing what was there.
 
-    The loads are independent Spark jobs; the threads only wait for them.
+    The loads are independent Spark jobs; the threads only wait for them. A load that is refused leaves its table as it
+    was, and one that is read meanwhile changes as a whole (``sources.commits``).
     """
 
     def one(name: str) -> tuple[str, str]:
         target = f"{warehouse}/{name}"
         source = f"{project}/{TABLES[name].folder}/*.csv"
-        write_table(load_strict(spark, source, name), target)
+        write_table(load_strict(spark, source, name), target, keep_replaced=True)
         return name, target
 
     with ThreadPoolExecutor(at_once) as pool:
@@ -145,7 +173,7 @@ def load_all(
 
 
 def all_tables(spark: SparkSession, warehouse: str) -> dict[str, DataFrame]:
-    return {name: spark.read.parquet(f"{warehouse}/{name}") for name in TABLES}
+    return {name: landed(spark, f"{warehouse}/{name}") for name in TABLES}
 
 
 def row_counts(tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -8,7 +8,13 @@ grows along the file even when several tasks read it. All files split at any siz
 quoted cells hold line breaks: such records are put together again after the read.
 
 A double quote opens a quoted cell only at the start of a cell, and closes it only before a separator or the
-end of the line; two quotes inside stand for one. Any other quote is text.
+end of the line; two quotes inside stand for one. Any other quote is text, and a cell whose first single quote closes nothing
+is text as a whole: ``"x"y`` begins with a quote, but ends at the next separator and never goes on in the next line.
+
+What must be known of a file before its lines are parsed (its separator, whether a cell runs over a line end) is one small
+aggregate over its lines, made and written when the reader is called (``broken_files``). The plan of a reader is then one scan
+of the text; only files that do hold broken records take the longer way of ``stitch_records``. Places depend on how files were
+split, so they are never written beside lines that are read again.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tripledger.functions.text import count_char, drop_double_quotes
+from tripledger.session import kept
 
 
 def per_file(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
@@ -27,23 +34,34 @@ def per_file(rows: DataFrame, marks: DataFrame, how: str) -> DataFrame:
     return rows.join(marks, "file", how)
 
 
-def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
-    """Lines with file and order; the files split freely."""
-    return spark.read.option("pathGlobFilter", glob).text(path).select(
+# Says of a file name whether the file is read.
+Accept = Callable[[Column], Column]
+
+
+def read_lines(spark: SparkSession, path: str | Sequence[str], glob: str = "*", accept: Accept | None = None) -> DataFrame:
+    """Lines with file and order; the files split freely. Files that ``accept`` refuses by name are not opened."""
+    files = spark.read.option("pathGlobFilter", glob).text(path)
+    if accept:
+        files = files.where(accept(F.col("_metadata.file_name")))
+    return files.select(
         F.col("_metadata.file_path").alias("file"),
         F.monotonically_increasing_id().alias("pos"),
         F.col("value").alias("line"),
     )
 
 
-def _inside(sep: str) -> str:
-    """Pattern: text of a quoted cell up to the quote that closes it."""
-    return rf'[^"]*+(?:(?:""|"(?![ \t]*(?:{re.escape(sep)}|\z)))[^"]*+)*+'
+# Pattern: text of a quoted cell, up to its first single quote.
+INSIDE = r'(?:[^"]++|"")*+'
+
+
+def _end(sep: str) -> str:
+    """Pattern: what follows the quote that closes a cell."""
+    return rf"[ \t]*(?:{re.escape(sep)}|\z)"
 
 
 def _quoted(sep: str, blanks: str = "") -> str:
     """Pattern: a whole quoted cell."""
-    return rf'{blanks}"{_inside(sep)}"[ \t]*(?={re.escape(sep)}|\z)'
+    return rf'{blanks}"{INSIDE}"[ \t]*(?={re.escape(sep)}|\z)'
 
 
 def _cell(sep: str, trim: bool) -> str:
@@ -61,7 +79,7 @@ def plain_cell(c: Column, trim: bool = False) -> Column:
     """Value of a cell as it stands in the line: outer quotes off, doubled quotes single."""
     text = F.trim(c) if trim else c
     bare = F.rtrim(text)
-    quoted = text.startswith('"') & bare.endswith('"') & (F.length(bare) > 1)
+    quoted = text.startswith('"') & bare.rlike(rf'^"{INSIDE}"\z')
     value = F.replace(F.substr(bare, F.lit(2), F.length(bare) - 2), F.lit('""'), F.lit('"'))
     value = F.when(quoted, value).otherwise(text)
     return F.trim(value) if trim else value
@@ -80,13 +98,21 @@ def line_cells(line: Column, sep: str | Column, trim: bool = False) -> Column:
     return _by_separator(sep, cells)
 
 
+def _stray(sep: str) -> str:
+    """Pattern: a cell that begins with a quote, but whose first single quote closes nothing."""
+    return rf'"(?={INSIDE}"(?!{_end(sep)}))[^{re.escape(sep)}]*+'
+
+
 def ends_inside(line: Column, sep: str | Column) -> Column:
     """Whether a line that begins outside of quotes leaves a quoted cell open."""
 
     def opens(s: str) -> Column:
-        whole = rf'{re.escape(s)}(?:{_quoted(s)}|(?!")[^{re.escape(s)}]*+)'
+        e = re.escape(s)
+        # Most lines with quotes fail this at once: a quote that opens, and no single one behind it.
+        tail = line.rlike(rf'(?:^|{e})"{INSIDE}\z')
+        whole = rf'{e}(?:{_quoted(s)}|{_stray(s)}|(?!")[^{e}]*+)'
         rest = F.regexp_replace(F.concat(F.lit(s), line), whole, "")
-        return line.contains('"') & rest.contains(f'{s}"')
+        return line.contains('"') & tail & rest.contains(f'{s}"')
 
     return _by_separator(sep, opens)
 
@@ -95,50 +121,59 @@ def stays_inside(line: Column, sep: str | Column) -> Column:
     """Whether a line that begins inside a quoted cell leaves one open."""
 
     def stays(s: str) -> Column:
-        closing = rf'^{_inside(s)}"[ \t]*(?={re.escape(s)}|\z)'
+        closing = rf'^[^"]*+(?:(?:""|"(?!{_end(s)}))[^"]*+)*+"[ \t]*(?={re.escape(s)}|\z)'
         # The rest begins with a separator or is empty: its first cell is blank.
         return ~line.rlike(closing) | ends_inside(F.regexp_replace(line, closing, ""), s)
 
     return F.when(line.contains('"'), _by_separator(sep, stays)).otherwise(F.lit(True))
 
 
-def stitch_records(lines: DataFrame, sep: str | Column = ",") -> DataFrame:
-    """Records whose quoted cells hold line breaks, put back together as one line each.
+def _odd(count: Column) -> Column:
+    return count % 2 == 1
 
-    Each line says where it ends if it begins outside of quotes, and where if inside. Lines with one answer fix the
-    place; the others keep it or swap it. So the place before a line follows from the last line that
-    fixed it and the swaps since, counted inside each read split; one row per split carries it on. Only
-    the lines of a broken record are grouped, by record. A cell that never closes in its file is text, and
-    the lines from there on stand for themselves.
+
+def _place(last: Column, count: Column, carried: Column) -> Column:
+    """Whether one is inside a cell: by the last fixing and the swaps since, or by where all began and all swaps."""
+    return F.coalesce(F.when(last.isNotNull(), last["fixed"] != _odd(count - last["swaps"])), carried != _odd(count))
+
+
+def _last_fix(window: Window) -> Column:
+    return F.last(F.when(F.col("fixed").isNotNull(), F.struct("fixed", "swaps")), ignorenulls=True).over(window)
+
+
+def carried_over(ends: DataFrame) -> DataFrame:
+    """``carry`` of each read split of a file (columns file, run, last, swaps): whether it begins inside a cell.
+
+    A split either ends at one place wherever it begins, or keeps or swaps it, like a line; so the same rule runs over splits.
+    """
+    fixes = F.col("last").isNotNull()
+    own = ends.select("file", "run", F.when(fixes, _place(F.col("last"), F.col("swaps"), F.lit(False))).alias("fixed"), F.when(fixes, 0).otherwise(F.col("swaps") % 2).alias("swap"))
+    upto = Window.partitionBy("file").orderBy("run")
+    own = own.withColumn("swaps", F.sum("swap").over(upto))
+    own = own.withColumn("last", _last_fix(upto)).withColumn("earlier", F.lag("last").over(upto)).withColumn("before", F.col("swaps") - F.col("swap"))
+    return own.select("file", "run", _place(F.col("earlier"), F.col("before"), F.lit(False)).alias("carry"))
+
+
+def broken_records(lines: DataFrame) -> DataFrame:
+    """``pos`` and ``record`` (place of the first line) of the lines of records that run over a line end.
+
+    ``lines`` are narrow: file, run, pos and, for a line that begins outside and inside of quotes, whether it ends inside (``out``,
+    ``in``). Lines with one answer fix the place; the others keep it or swap it. So the place before a line follows from the
+    last line that fixed it and the swaps since, counted inside each read split; one row per split carries it on. A cell that
+    never closes in its file is text, and the lines from there on stand for themselves.
     """
-    line = F.col("line")
-    # The upper bits of the order tell the task that read the line: one task, one run of the file.
-    rows = lines.withColumn("run", F.shiftright("pos", 33)).withColumn("out", ends_inside(line, sep)).withColumn("in", stays_inside(line, sep))
     fixes, swaps = F.col("out") == F.col("in"), (F.col("out") & ~F.col("in")).cast("int")
-    rows = rows.select(*lines.columns, "run", "out", F.when(fixes, F.col("out")).alias("fixed"), swaps.alias("swap"))
     in_run = Window.partitionBy("file", "run").orderBy("pos")
-    rows = rows.withColumn("swaps", F.sum("swap").over(in_run))
-    rows = rows.withColumn("last", F.last(F.when(F.col("fixed").isNotNull(), F.struct("fixed", "swaps")), ignorenulls=True).over(in_run))
-    rows = rows.withColumn("earlier", F.lag("last").over(in_run)).withColumn("before", F.col("swaps") - F.col("swap"))
-
-    def odd(count: Column) -> Column:
-        return count % 2 == 1
-
-    def place(last: Column, count: Column, carried: Column) -> Column:
-        since = F.when(last.isNotNull(), last["fixed"] != odd(count - last["swaps"]))
-        return F.coalesce(since, carried != odd(count))
-
-    ends = rows.groupBy("file", "run").agg(F.max_by(F.struct("last", "swaps"), "pos").alias("end"))
-    by_run = F.sort_array(F.collect_list(F.struct("run", "end")))
-    step = lambda state, r: place(r["end"]["last"], r["end"]["swaps"], state)
-    runs = ends.groupBy("file").agg(by_run.alias("runs")).select("file", F.posexplode("runs").alias("at", "one"), "runs")
-    carry = F.aggregate(F.slice("runs", F.lit(1), F.col("at")), F.lit(False), step)
-    carried = runs.select("file", F.col("one.run").alias("run"), carry.alias("carry"))
-    placed = rows.join(carried, ["file", "run"]).withColumn("inside", place(F.col("earlier"), F.col("before"), F.col("carry")))
+    rows = lines.withColumn("fixed", F.when(fixes, F.col("out"))).withColumn("swap", swaps).withColumn("swaps", F.sum("swap").over(in_run))
+    rows = rows.withColumn("last", _last_fix(in_run)).withColumn("earlier", F.lag("last").over(in_run)).withColumn("before", F.col("swaps") - F.col("swap"))
+    rows = kept(rows.select("file", "run", "pos", "out", "last", "swaps", "earlier", "before"), "places")
+    ends = rows.groupBy("file", "run").agg(F.max_by(F.struct("last", "swaps"), "pos").alias("end")).select("file", "run", "end.*")
+    carried = kept(carried_over(ends), "carried")
+    placed = rows.join(carried, ["file", "run"]).withColumn("inside", _place(F.col("earlier"), F.col("before"), F.col("carry")))
     # Start of the record: the last line that began outside, in this run or an earlier one.
     start = F.when(~F.col("inside"), F.col("pos"))
     starts = placed.groupBy("file", "run").agg(
-        F.max(start).alias("start"), F.max_by(place(F.col("last"), F.col("swaps"), F.col("carry")), "pos").alias("open")
+        F.max(start).alias("start"), F.max_by(_place(F.col("last"), F.col("swaps"), F.col("carry")), "pos").alias("open")
     )
     before_run = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, -1)
     all_runs = Window.partitionBy("file").orderBy("run").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
@@ -148,18 +183,64 @@ def stitch_records(lines: DataFrame, sep: str | Column = ",") -> DataFrame:
     )
     known = placed.join(starts, ["file", "run"]).withColumn("record", F.coalesce(F.max(start).over(in_run), "start_before"))
     own = ~F.col("inside") & ~F.col("out") | F.coalesce(F.col("record") >= F.col("never_closed"), F.lit(False))
-    single = known.where(own).select(*lines.columns)
-    kept = [c for c in lines.columns if c not in ("file", "pos", "line")]
+    return known.where(~own).select("pos", "record")
+
+
+def stitch_records(lines: DataFrame, sep: str | Column = ",") -> DataFrame:
+    """Records whose quoted cells hold line breaks, put back together as one line each.
+
+    The lines are written once with what each of them does to the place in or out of quotes. From then on narrow rows tell
+    which lines belong together (``broken_records``), and only lines of broken records are grouped, by record.
+    """
+    line = F.col("line")
+    # The upper bits of the order tell the task that read the line: one task, one run of the file.
+    flagged = lines.withColumn("run", F.shiftright("pos", 33)).withColumn("out", ends_inside(line, sep)).withColumn("in", stays_inside(line, sep))
+    flagged = kept(flagged, "lines")
+    members = kept(broken_records(flagged.select("file", "run", "pos", "out", "in")), "broken")
+    plain = flagged.select(*lines.columns)
+    single = plain.join(members.select("pos"), "pos", "left_anti").select(*lines.columns)
+    others = [c for c in lines.columns if c not in ("file", "pos", "line")]
     joined = (
-        known.where(~own)
-        .groupBy("file", F.col("record").alias("pos"), *kept)
+        plain.join(members, "pos")
+        .groupBy("file", "record", *others)
         .agg(F.sort_array(F.collect_list(F.struct("pos", "line"))).alias("parts"))
         .withColumn("line", F.array_join(F.col("parts.line"), "\n"))
+        .withColumn("pos", F.col("record"))
         .select(*lines.columns)
     )
     return single.unionByName(joined)
 
 
+# Readers -------------------------------------------------------------------------------------------
+
+
+def broken_files(lines: DataFrame, sep: str | None = ",") -> DataFrame:
+    """``file``, ``sep`` (that of the first line if none is given) and ``broken``: whether some line leaves a quoted cell open.
+
+    Lines are outside of quotes until one opens a cell and does not close it, so without such a line every line is a record. The
+    answer does not depend on how the file was split: it is found and written when a reader is called.
+    """
+    line = F.col("line")
+    if sep:
+        found = lines.groupBy("file").agg(F.max(ends_inside(line, sep)).alias("broken")).withColumn("sep", F.lit(sep))
+    else:
+        opens = [F.max(ends_inside(line, s)).alias(n) for s, n in ((";", "by_semicolon"), (",", "by_comma"))]
+        found = lines.groupBy("file").agg(F.min_by("line", "pos").alias("head"), *opens)
+        found = found.withColumn("sep", _majority(count_char(F.col("head"), ";"), count_char(F.col("head"), ",")))
+        found = found.withColumn("broken", F.when(F.col("sep") == ";", F.col("by_semicolon")).otherwise(F.col("by_comma")))
+    return kept(found.select("file", "sep", "broken"), "files")
+
+
+def records_of(lines: DataFrame, sep: str | None = ",") -> DataFrame:
+    """Records of lines, with the ``sep`` of their file: the lines themselves, but for files with records that run over line ends."""
+    known = broken_files(lines, sep)
+    if known.where("broken").isEmpty():
+        return lines.withColumn("sep", F.lit(sep)) if sep else per_file(lines, known.select("file", "sep"), "inner")
+    plain = per_file(lines, known.where("NOT broken").select("file", "sep"), "inner")
+    broken = per_file(lines, known.where("broken").select("file", "sep"), "inner")
+    return plain.unionByName(kept(stitch_records(broken, F.col("sep")), "stitched"))
+
+
 def cells_of(lines: DataFrame, sep: str | Column = ",", trim: bool = False) -> DataFrame:
     """Quote-aware cells of plain lines by one separator, or by a column with that of each file."""
     return lines.select("file", "pos", line_cells(F.col("line"), sep, trim).alias("cells")).withColumn("width", F.size("cells"))
@@ -210,7 +291,7 @@ def _majority(semicolons: Column, commas: Column) -> Column:
 def with_separator(
     lines: DataFrame, detect: Callable[[DataFrame], DataFrame] = detect_first_line
 ) -> DataFrame:
-    return per_file(lines, detect(lines), "inner")
+    return per_file(lines, kept(detect(lines), "separators"), "inner")
 
 
 def read_detected(
@@ -218,15 +299,16 @@ def read_detected(
     path: str | Sequence[str],
     quoted_newlines: bool = True,
     glob: str = "*",
+    accept: Accept | None = None,
 ) -> DataFrame:
     """Cells by the separator of each file's first line."""
-    lines = with_separator(read_lines(spark, path, glob), detect_first_line)
-    return cells_of(stitch_records(lines, F.col("sep")) if quoted_newlines else lines, F.col("sep"))
+    lines = read_lines(spark, path, glob, accept)
+    return cells_of(records_of(lines, sep=None) if quoted_newlines else with_separator(lines, detect_first_line), F.col("sep"))
 
 
-def read_unquoted_detected(spark: SparkSession, path: str | Sequence[str], glob: str = "*") -> DataFrame:
+def read_unquoted_detected(spark: SparkSession, path: str | Sequence[str], glob: str = "*", accept: Accept | None = None) -> DataFrame:
     """All double quotes dropped first, then the separator of the whole file decides."""
-    lines = read_lines(spark, path, glob).withColumn("line", drop_double_quotes(F.col("line")))
+    lines = read_lines(spark, path, glob, accept).withColumn("line", drop_double_quotes(F.col("line")))
     return cells_of(with_separator(lines, detect_whole_file), F.col("sep"))
 
 
@@ -236,10 +318,11 @@ def read_records(
     sep: str = ",",
     quoted_newlines: bool = True,
     glob: str = "*",
+    accept: Accept | None = None,
 ) -> DataFrame:
     """Records as one line each: lines, or lines put together where quoted cells run over their end."""
-    lines = read_lines(spark, path, glob)
-    return stitch_records(lines, sep) if quoted_newlines else lines
+    lines = read_lines(spark, path, glob, accept)
+    return records_of(lines, sep).drop("sep") if quoted_newlines else lines
 
 
 def filled(records: DataFrame) -> DataFrame:
@@ -253,6 +336,7 @@ def read_cells(
     sep: str = ",",
     quoted_newlines: bool = True,
     glob: str = "*",
+    accept: Accept | None = None,
 ) -> DataFrame:
     """Quote-aware cells with a fixed separator. Empty lines are no rows."""
-    return cells_of(filled(read_records(spark, path, sep, quoted_newlines, glob)), sep)
+    return cells_of(filled(read_records(spark, path, sep, quoted_newlines, glob, accept)), sep)
