@@ -50,6 +50,16 @@ class Likeness(Protocol):
         """Hashes of features of x beyond r, of which a partner of x, no lighter than r, has one in its own prefix beyond r."""
 
 
+class Prefixes(Protocol):
+    """What the index says of pairs before their texts are read. It may let pairs pass that are not alike, never the other way round."""
+
+    def likely(self, pairs: DataFrame) -> DataFrame:
+        """Of pairs (a, b), those that may be alike."""
+
+    def candidates(self, small: DataFrame) -> DataFrame:
+        """Pairs (a, b) of different groups that may be alike, of buckets of up to ``SMALL`` members."""
+
+
 def wanted_texts(keyed: DataFrame, buckets: DataFrame) -> DataFrame:
     """key, text of all members of buckets, once each."""
     wanted = buckets.select("key").distinct()
@@ -124,15 +134,22 @@ def settled(small: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame
     return small.join(texts, "key").select("band", "key", "root", "text").groupBy("band").applyInArrow(run, "a binary, b binary")
 
 
-def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness) -> tuple[DataFrame, DataFrame]:
-    """Links found (a, b), and ``key, root`` of every linked text. ``buckets``: what ``crowded`` returned; it is used up."""
-    spark = buckets.sparkSession
+def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness, prefixes: Prefixes | None = None) -> tuple[DataFrame, DataFrame]:
+    """Links found (a, b), and ``key, root`` of every linked text. ``buckets``: what ``crowded`` returned; it is used up.
+
+    With ``prefixes``, pairs of the first round are read only if they may be alike, and its small buckets are settled by them.
+    """
+    spark, first = buckets.sparkSession, True
+    no_lines = F.lit(None).cast("array<long>").alias("lines")
     found: list[DataFrame] = []
     groups: DataFrame | None = None
 
-    def joined(links: DataFrame) -> DataFrame:
-        nonlocal groups
-        found.append(stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links"))
+    def joined(links: DataFrame) -> DataFrame | None:
+        """The groups after some more links."""
+        new = stored(links.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "links")
+        if new.isEmpty():
+            return groups
+        found.append(new)
         # Of earlier links, one per member and group is enough.
         earlier = [groups.where("key <> root").select(F.col("key").alias("a"), F.col("root").alias("b"))] if groups is not None else []
         made = stored(components(reduce(DataFrame.unionByName, [found[-1], *earlier])), "groups")
@@ -146,11 +163,23 @@ def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness) -> tuple[
         hubs = buckets.join(company, "key").groupBy("band").agg(F.max(F.struct("company", "key", "root")).alias("hub"))
         hubs = hubs.select("band", F.col("hub.key").alias("b"), F.col("hub.root").alias("hub_root"))
         meets = buckets.join(hubs, "band").where("root <> hub_root").select(F.col("key").alias("a"), "b").distinct()
-        checked = stored(verified(meets.select("a", "b", F.lit(None).cast("array<long>").alias("lines")), texts, likeness), "verified")
+        if prefixes and first:
+            meets = prefixes.likely(meets)
+        checked = stored(verified(meets.select("a", "b", no_lines), texts, likeness), "verified")
         groups = joined(checked.where("alike"))
         left = crowded(buckets.where("members > 2"), groups)
         dropped(buckets)
         dropped(checked)
+        if prefixes and first:
+            some = stored(prefixes.candidates(left.where(F.col("members") <= SMALL)).distinct(), "candidates")
+            groups = joined(verified(some.select("a", "b", no_lines), texts, likeness).where("alike"))
+            large = crowded(left.where(F.col("members") > SMALL), groups)
+            dropped(left)
+            dropped(some)
+            left = large
+        first = False
+        if left.isEmpty():
+            break
         by_group = left.groupBy("band", "root").agg(F.count("*").alias("n"))
         main = by_group.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
         marked = left.join(main, "band")

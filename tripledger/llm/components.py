@@ -2,12 +2,41 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tripledger.llm.common import dropped, stored
 
 
+# So many edges are joined by one task: fewer than a single round of joins is worth.
+FEW_EDGES = 10_000
+
+
+def _in_one_task(edges: DataFrame) -> DataFrame:
+    """``key, root`` of at most ``FEW_EDGES`` edges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        above: dict[bytes, bytes] = {}
+
+        def root(key: bytes) -> bytes:
+            while above.setdefault(key, key) != key:
+                above[key] = above[above[key]]
+                key = above[key]
+            return key
+
+        for batch in batches:
+            for a, b in zip(batch.column("high").to_pylist(), batch.column("low").to_pylist()):
+                a, b = sorted((root(a), root(b)))
+                above[b] = a
+        keys = list(above)
+        yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([root(k) for k in keys], pa.binary())], names=["key", "root"])
+
+    return edges.coalesce(1).mapInArrow(run, "key binary, root binary")
+
+
 def _state(edges: DataFrame) -> tuple:
     """Count and checksum of an edge table."""
     return tuple(edges.agg(F.count("*"), F.expr("bit_xor(xxhash64(high, low))")).first())
@@ -24,6 +53,8 @@ def components(links: DataFrame, rounds: int | None = None) -> DataFrame:
     """
     edges = stored(links.select(F.greatest("a", "b").alias("high"), F.least("a", "b").alias("low")).where("high > low").distinct(), "edges")
     state, made = _state(edges), 0
+    if rounds is None and state[0] <= FEW_EDGES:
+        return _in_one_task(edges)
     while state[0] and made != rounds:
         made += 1
         # Larger neighbours of a node point to the smallest node around it.
