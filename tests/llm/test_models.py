@@ -162,3 +162,26 @@ def test_gradients_of_the_network():
             down = loss()
             w[place] = old
             assert found[name][place] == pytest.approx((up - down) / 2e-3, abs=2e-4), name
+
+
+def test_large_alphabets(spark):
+    """Two languages of a thousand letters each, which share none of the common ones, beside one of few letters."""
+    rng = np.random.default_rng(12)
+    ranges = {"ja": [*range(0x3041, 0x3090), *range(0x6000, 0x63A0)], "zh": list(range(0x4E00, 0x51E8))}
+    rows = []
+    for k in range(240):
+        lang = ("en", "ja", "zh")[k % 3]
+        text = prose(rng, 60, 4000) if lang == "en" else "".join(chr(c) for c in rng.choice(ranges[lang], 150))
+        rows.append((k, text, lang))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = language.language_id(docs).collect()
+    assert np.mean([r.lang_pred == rows[r.doc_id][2] for r in got if r.held_out]) == 1
+    assert language.language_id(spark.createDataFrame([(1, "漢字", None)], docs.schema)).first().lang_pred == "und"
+
+
+def test_telling_words_may_come_last():
+    """All words of a block are in its vector, however long it is, and shown elements are left to the network."""
+    long = " ".join(f"w{k}" for k in range(200))
+    a, b = (html.vectors(html.blocks_of(f"<p>{long} {end}</p>"))[0] for end in ("subscribe", "whatever"))
+    assert (a != b).any()
+    assert [b.text for b in html.blocks_of("<article><p>sum <math>x+y</math> end</p></article>")] == ["sum x+y end"]

@@ -13,7 +13,7 @@ def test_same_rows_as_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     items = [r.text for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     squeeze = quality.zstandard.ZstdCompressor(level=3).compress
-    rows = [(r.doc_id, r.text) for r in docs.collect() if quality.judge(r.text or "", quality.Bands(), squeeze)[6]]
+    rows = [(r.doc_id, r.text) for r in docs.collect() if quality.judge(r.text or "", None, squeeze)[6]]
     classes = brute_classes(rows)
     rows = [rows[i] for i, c in enumerate(classes) if rows[i][0] == min(rows[k][0] for k in c)]
     rest = brute_repeats([t for _, t in rows], 200)

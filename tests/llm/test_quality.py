@@ -85,3 +85,10 @@ def test_other_scripts_have_wide_limits():
     assert quality.bands_for("ordinary text", b"ordinary text") is quality.ORDINARY
     for text in ("обычный текст", "普通的文字"):
         assert quality.bands_for(text, text.encode()) == quality.Bands()
+
+
+def test_limits_that_are_asked_for_hold():
+    text = "plain words of an ordinary text " * 4
+    for bands in (quality.Bands(), quality.Bands(chunk_bytes=64), quality.ORDINARY):
+        assert quality.bands_for(text, text.encode(), bands) is bands
+    assert quality.bands_for(text, text.encode()) is quality.ORDINARY

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tripledger.llm.common import map_batches
+from tripledger.llm.common import hash_spans, map_batches, mix, prefix_sums, word_edges
 
 SAMPLE_PAGES = 256
 SAMPLE_CHARS = 40_000
@@ -34,7 +34,7 @@ PATH_SLOTS, WORD_SLOTS, COUNTS = 256, 64, 8
 HIDDEN = 16
 
 # Elements by what they do to text.
-DROPPED = frozenset("script style head template noscript textarea select option button svg math iframe object canvas audio video".split())
+DROPPED = frozenset("script style head template noscript textarea select option button svg iframe object canvas audio video".split())
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
@@ -161,27 +161,28 @@ def path_slot(name: str) -> int:
 
 
 def vectors(blocks: list[Block]) -> np.ndarray:
-    """One row per block: hashed path, hashed words, counts."""
+    """One row per block: hashed path, the share of its words in each hash slot, counts. All words of all blocks are hashed at once."""
     out = np.zeros((len(blocks), PATH_SLOTS + WORD_SLOTS + COUNTS), np.float32)
+    if not blocks:
+        return out
+    ends = np.cumsum([len(b.text.lower().encode("utf-8", "surrogatepass")) + 1 for b in blocks])
+    data, starts, stops = word_edges("\n".join(b.text for b in blocks))
+    hashes = mix(hash_spans(prefix_sums(data), starts, stops) ^ (stops - starts).astype(np.uint64))
+    owner = np.searchsorted(ends, starts, side="right")
+    counts = np.bincount(owner, minlength=len(blocks))
+    slots = (hashes % np.uint64(WORD_SLOTS)).astype(np.int64)
+    np.add.at(out, (owner, PATH_SLOTS + slots), (1 / counts[owner]).astype(np.float32))
     for i, block in enumerate(blocks):
         for name in block.path:
             out[i, path_slot(name)] = 1
-        words = block.text.split()
-        few = words[:24]
-        for word in few:
-            out[i, PATH_SLOTS + hash_word(word)] += 1 / len(few)
         n = len(block.text)
         out[i, -COUNTS:] = (
-            1, np.log1p(len(words)) / 4, np.log1p(n) / 6, block.linked / n, block.text[-1] in ".!?:;…\"»”", block.text[0].isupper(),
+            1, np.log1p(counts[i]) / 4, np.log1p(n) / 6, block.linked / n, block.text[-1] in ".!?:;…\"»”", block.text[0].isupper(),
             "©" in block.text or "|" in block.text, i / len(blocks),
         )
     return out
 
 
-def hash_word(word: str) -> int:
-    return _slot(word.lower().strip(".,;:!?\"'()"), WORD_SLOTS)
-
-
 # Network
 
 

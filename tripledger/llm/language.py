@@ -28,9 +28,12 @@ from tripledger.llm.common import held_out, map_batches, training_row
 SLOTS = 64
 SLOT_CHARS = 500
 BLOCK = 512
-# Symbols that an automaton knows; letters rarer than the first 60 of the sample are one unknown letter.
+# Symbols that an automaton knows: the commonest letters of the sample, over all languages, are symbols of their own; all other letters
+# are spelled by the bytes of their UTF-8 form, so large and many alphabets are told apart too.
 SPACE, UNKNOWN, FIRST = 0, 1, 2
 MOST_LETTERS = 60
+# Marks in the table of code points: a letter that is spelled, and a code point not looked up yet.
+SPELLED, OPEN = 254, 255
 
 
 def labelled_sample(docs: DataFrame) -> list[tuple[str, str]]:
@@ -43,28 +46,41 @@ def labelled_sample(docs: DataFrame) -> list[tuple[str, str]]:
 
 
 class Alphabet:
-    """Code points to symbols: known letters, unknown letters, one space for all else."""
+    """Code points to symbols: known letters, bytes of other letters, one space for all else."""
 
-    def __init__(self, letters: list[str]):
+    def __init__(self, letters: list[str], spelled: list[int]):
         self.table = np.full(0x110000, SPACE, np.uint8)
-        # Letters outside the table's known ones are looked up per text only where they occur.
-        self.size = FIRST + len(letters)
-        self.table[128:] = 255
+        # What lies outside the table's known letters is looked up per text, only where it occurs.
+        self.size = FIRST + len(letters) + len(spelled)
+        self.bytes = np.full(256, UNKNOWN, np.uint8)
+        for i, byte in enumerate(spelled):
+            self.bytes[byte] = FIRST + len(letters) + i
+        self.table[128:] = OPEN
         for c in range(128):
             if chr(c).isalpha():
-                self.table[c] = UNKNOWN
+                self.table[c] = SPELLED
         for i, letter in enumerate(letters):
             self.table[ord(letter)] = FIRST + i
 
     def symbols(self, text: str) -> np.ndarray:
         points = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), np.uint32)
         out = self.table[points]
-        if (out == 255).any():
-            for point in np.unique(points[out == 255]):
-                self.table[point] = UNKNOWN if chr(point).isalpha() else SPACE
+        if (out == OPEN).any():
+            for point in np.unique(points[out == OPEN]):
+                self.table[point] = SPELLED if chr(point).isalpha() else SPACE
             out = self.table[points]
         before = np.concatenate([[SPACE], out])[: len(out)]
-        return out[(out != SPACE) | (before != SPACE)]
+        wanted = (out != SPACE) | (before != SPACE)
+        points, out = points[wanted], out[wanted]
+        rare = out == SPELLED
+        if not rare.any():
+            return out
+        forms = [chr(p).encode("utf-8", "surrogatepass") for p in points[rare]]
+        sizes = np.ones(len(out), np.int64)
+        sizes[rare] = [len(f) for f in forms]
+        whole = np.repeat(out, sizes)
+        whole[np.repeat(rare, sizes)] = self.bytes[np.frombuffer(b"".join(forms), np.uint8)]
+        return whole
 
 
 def suffix_automaton(symbols: list[int]) -> list[dict[int, int]]:
@@ -102,7 +118,9 @@ class Parser:
 
     def __init__(self, sample: list[tuple[str, str]]):
         letters = Counter(c for _, text in sample for c in text.lower() if c.isalpha())
-        self.alphabet = Alphabet([c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))[:MOST_LETTERS]])
+        order = [c for c, _ in sorted(letters.items(), key=lambda x: (-x[1], x[0]))]
+        spelled = sorted({byte for c in order[MOST_LETTERS:] for byte in c.encode("utf-8", "surrogatepass")})
+        self.alphabet = Alphabet(order[:MOST_LETTERS], spelled)
         self.langs = sorted({lang for lang, _ in sample})
         self.roots, self.costs, tables, base = [], [], [], 0
         size = self.alphabet.size

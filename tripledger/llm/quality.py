@@ -71,8 +71,8 @@ LATIN = 1.2
 
 
 def bands_for(text: str, data: bytes, bands: Bands | None = None) -> Bands:
-    """``bands`` if they are other than the default ones, which go by the kind of text."""
-    if bands not in (None, Bands()):
+    """``bands`` if there are any; else those of the kind of text."""
+    if bands is not None:
         return bands
     return ORDINARY if len(data) <= LATIN * len(text) else Bands()
 
