@@ -3,9 +3,9 @@
 Texts are weighted sets of features, alike if the shared weight is ``t`` of the united weight at least. All pairs that are alike
 and share a bucket end in one group, whatever the size of the bucket:
 
-1. The member with most company over all its buckets stands for it, and each other member is verified against that one. Links join
+1. First, the member with most company over all its buckets stands for it, and each other member is verified against that one. Links join
    groups, and buckets that hold one group only, or two members, are done.
-2. In what is left, each member x is verified against the lightest one, r. Let y be a partner of x, no lighter than r. If x and r
+2. In what is left, round by round, each member x is verified against the lightest one, r. Let y be a partner of x, no lighter than r. If x and r
    are not alike, x and y share more weight than x and r do: ``|x & y| >= t / (1 + t) (|x| + |y|) > |x & r|``. So there are features that
    weigh more in both than in r, and of those they share as much at least as that bound exceeds ``|x & r|``. All members go on to
    buckets of single features beyond r, by a prefix of what lies beyond r, and r itself is done. If both are alike with r, they are in
@@ -13,8 +13,8 @@ and share a bucket end in one group, whatever the size of the bucket:
 3. Two kinds of buckets are settled at once, as their comparisons stay in proportion to their members: those where all but ``FEW`` members are of
    one group already (each of the few is verified against all others), and finer buckets of up to ``SMALL`` members (each by one task).
 
-Rounds go on until no bucket holds two groups. Each member of a bucket is verified twice a round at most, and leaves when nothing of
-it beyond r is shared with another member. Buckets of the same members are one bucket.
+Rounds go on until no bucket holds two groups. A member of a bucket is verified a bounded number of times a round, and leaves when
+nothing of it beyond r is shared with another member. Buckets of the same members are one bucket.
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from tripledger.llm.common import dropped, map_batches, mix, stored
 from tripledger.llm.components import components
 
-# Members of a finer bucket that one task compares among themselves.
+# Members of a bucket that one task compares among themselves.
 SMALL = 64
 # Members outside of a bucket's largest group that are compared with all others.
 FEW = 8
@@ -139,7 +139,7 @@ def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness, prefixes:
 
     With ``prefixes``, pairs of the first round are read only if they may be alike, and its small buckets are settled by them.
     """
-    spark, first = buckets.sparkSession, True
+    spark = buckets.sparkSession
     no_lines = F.lit(None).cast("array<long>").alias("lines")
     found: list[DataFrame] = []
     groups: DataFrame | None = None
@@ -157,29 +157,30 @@ def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness, prefixes:
             dropped(groups)
         return made
 
-    while not buckets.isEmpty():
+    if not buckets.isEmpty():
         # Against the member with most company, the likeliest centre of a group.
         company = buckets.groupBy("key").agg(F.sum("members").alias("company"))
         hubs = buckets.join(company, "key").groupBy("band").agg(F.max(F.struct("company", "key", "root")).alias("hub"))
         hubs = hubs.select("band", F.col("hub.key").alias("b"), F.col("hub.root").alias("hub_root"))
         meets = buckets.join(hubs, "band").where("root <> hub_root").select(F.col("key").alias("a"), "b").distinct()
-        if prefixes and first:
+        if prefixes:
             meets = prefixes.likely(meets)
         checked = stored(verified(meets.select("a", "b", no_lines), texts, likeness), "verified")
         groups = joined(checked.where("alike"))
         left = crowded(buckets.where("members > 2"), groups)
         dropped(buckets)
         dropped(checked)
-        if prefixes and first:
-            some = stored(prefixes.candidates(left.where(F.col("members") <= SMALL)).distinct(), "candidates")
+        small = left.where(F.col("members") <= SMALL)
+        if prefixes:
+            some = stored(prefixes.candidates(small).distinct(), "candidates")
             groups = joined(verified(some.select("a", "b", no_lines), texts, likeness).where("alike"))
-            large = crowded(left.where(F.col("members") > SMALL), groups)
-            dropped(left)
             dropped(some)
-            left = large
-        first = False
-        if left.isEmpty():
-            break
+        else:
+            groups = joined(settled(small, texts, likeness))
+        buckets = crowded(left.where(F.col("members") > SMALL), groups)
+        dropped(left)
+    while not buckets.isEmpty():
+        left = buckets
         by_group = left.groupBy("band", "root").agg(F.count("*").alias("n"))
         main = by_group.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
         marked = left.join(main, "band")
