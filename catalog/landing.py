@@ -10,12 +10,13 @@ from pyspark.sql import functions as F
 from catalog import duck, standins
 from catalog.files import _OVO_SQL, OVO, PAY, SQL_ID, normalised
 from catalog.rawfiles import rendered
+from catalog.recon import _ENRICHED, with_
 from catalog.registry import query
 from catalog.standins import payments
 from tripledger.operators.shaping import cell
-from tripledger.plans import banks, formatters
+from tripledger.plans import banks, formatters, landed_days, production, summary
 from tripledger.session import scratch_root
-from tripledger.sources import commits, files, loader, raw, sinks
+from tripledger.sources import bucketed, commits, files, loader, raw, sinks
 
 STATEMENT_HEAD = ["'Informasi Rekening'", "'Saldo Awal,:,1'", "'Tanggal Transaksi,Keterangan,Cabang,Jumlah,Saldo'"]
 STATEMENT_FOOT = ["'Saldo Awal,:,100.00,,'", "'01/01/2024,after the footer,0000,1 CR,1'"]
@@ -167,3 +168,33 @@ def _(spark, folder):
     extra = [standins.conform(r.selectExpr(*standins.STATEMENTS[banks.MANDIRI_FILE]), banks.MANDIRI_FILE) for r in (third, third.where("qty % 9 = 0"))]
     rows = banks.file_mandiri(once.unionAll(extra[0]).unionAll(extra[1]), standins.report(spark, folder, banks.MANDIRI_REPORT), standins.RULES)
     return rows.groupBy("mid", "remarks").agg(F.count("*").alias("line_count"), F.sum("amount_received").alias("amount_received"))
+
+
+_LATE = "mpay WHERE ts + INTERVAL 1 DAY >= DATE '1999-12-01'"
+
+
+@query(
+    "landed_days",
+    f"""WITH {duck.MPAY}, {duck.LINES.format(name='bni_lines', source=_LATE)},
+      r AS ({duck.bank('bni', '', 'bni_lines', '')} UNION ALL {duck.bank('shopeepay', '', 'bni_lines', '')}
+        UNION ALL SELECT receival_date, 'LinkAja', {duck.HOUR_LABEL}, SUM(paid) FROM bni_lines WHERE description LIKE '%LINKAJA%' GROUP BY 1, 2, 3)
+      SELECT CAST(receival_date AS VARCHAR) AS receival_date, bank, remarks, CAST(amount_received AS DOUBLE) AS amount_received FROM r""",
+)
+def _(spark, folder):
+    """A statement landed in a folder per day; a report over 24 months reads the folders of its period."""
+    rules, table = standins.RULES.but(report_months=24), banks.BNI_FILE
+    rows, columns = landed_days.partition(standins.statement(spark, folder, table), table)
+    target = _fresh(spark, "days")
+    loader.write_table(rows, target, partition_by=columns)
+    return banks.bank_contributions(landed_days.since({table: commits.landed(spark, target)}, rules), rules, bounded=True)
+
+
+@query("prod_settlement_bucketed", with_(duck.SETTLEMENT, "SELECT * FROM settlement", _ENRICHED))
+def _(spark, folder):
+    """The settlement report and the transactions stored by their text id."""
+    tables = standins.production_tables(standins.merchant_payments(spark, folder), spark, folder)
+    mark = uuid.uuid4().hex
+    settlement = bucketed.save_bucketed(production.text_id(tables[summary.SETTLEMENT]), f"settlement_{mark}", production.TEXT_ID, 16)
+    transactions = bucketed.save_bucketed(tables[summary.TRANSACTIONS], f"transactions_{mark}", "trx_id", 16)
+    frame = production.enrich_settlement(settlement, tables[summary.REVERSALS], tables[summary.MERCHANTS], transactions, standins.RULES)
+    return frame.select(*_ENRICHED)

@@ -16,6 +16,15 @@ from tripledger.plans.rules import ProductionRule, ReconRules
 from tripledger.schemas import MONEY
 
 
+# The transaction id as text, by which the settlement report meets the transactions.
+TEXT_ID = "trx"
+
+
+def text_id(settlement: DataFrame) -> DataFrame:
+    """The settlement with its text id; one that was stored with it (``sources.bucketed``) keeps that column."""
+    return settlement if TEXT_ID in settlement.columns else settlement.withColumn(TEXT_ID, F.col("credit_trans_trx_id").cast("string"))
+
+
 def join_reversal(settlement: DataFrame, reversals: DataFrame, unique: bool = True) -> DataFrame:
     """Left join to the reversal reference. The reference is made unique on its key, so that a
     transaction listed twice does not count twice; ``unique=False`` keeps the fan-out."""
@@ -44,8 +53,8 @@ def join_transactions(
     recent = transactions.where(
         timing.in_last_months(F.col("trx_date"), rules.as_of, rules.onus_months)
     ).select(F.col("trx_id").alias("st_trx_id"), "onus_offus")
-    keyed = settlement.withColumn("trx", F.col("credit_trans_trx_id").cast("string"))
-    return keyed.join(recent, keyed.trx == recent.st_trx_id, "left")
+    keyed = text_id(settlement)
+    return keyed.join(recent, keyed[TEXT_ID] == recent.st_trx_id, "left")
 
 
 def txn_ref(ts: Column, internal: Column, issuer: Column, migration: str) -> Column:

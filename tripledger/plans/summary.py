@@ -10,8 +10,9 @@ from pyspark.sql import functions as F
 from tripledger.operators.contributions import on_spine, union_contributions, unmatched, with_gaps
 from tripledger.operators import timing
 from tripledger.operators.spine import date_spine
-from tripledger.plans.banks import bank_contributions
+from tripledger.plans.banks import MANDIRI_REPORT, bank_contributions
 from tripledger.plans.issuers import issuer_contributions
+from tripledger.plans.landed_days import since
 from tripledger.plans.production import enrich_settlement, production_contributions
 from tripledger.plans.rules import ReconRules
 
@@ -23,14 +24,16 @@ MERCHANTS, TRANSACTIONS = "merchants", "transactions"
 def all_contributions(
     tables: Mapping[str, DataFrame], rules: ReconRules, bounded: bool = False
 ) -> DataFrame:
+    # Tables that are landed by day are read for the period only.
+    near = since(tables, rules) if bounded else tables
     enriched = enrich_settlement(
         tables[SETTLEMENT], tables[REVERSALS], tables[MERCHANTS], tables[TRANSACTIONS], rules
     )
     return union_contributions(
         [
             production_contributions(enriched, rules),
-            issuer_contributions(tables, rules, bounded),
-            bank_contributions(tables, rules, bounded),
+            issuer_contributions(near, rules, bounded),
+            bank_contributions({**near, MANDIRI_REPORT: tables[MANDIRI_REPORT]}, rules, bounded),
         ]
     )
 

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
@@ -155,17 +155,22 @@ def load_all(
     warehouse: str,
     tables: Iterable[str] = tuple(TABLES),
     at_once: int = len(TABLES),
+    partition: Callable[[DataFrame, str], tuple[DataFrame, Sequence[str]]] | None = None,
 ) -> Mapping[str, str]:
     """Load every registered table from its folder, several at a time, replacing what was there.
 
     The loads are independent Spark jobs; the threads only wait for them. A load that is refused leaves its table as it
-    was, and one that is read meanwhile changes as a whole (``sources.commits``).
+    was, and one that is read meanwhile changes as a whole (``sources.commits``). ``partition`` returns a table's rows as they
+    are to be written, and the columns to partition them by.
     """
 
     def one(name: str) -> tuple[str, str]:
         target = f"{warehouse}/{name}"
         source = f"{project}/{TABLES[name].folder}/*.csv"
-        write_table(load_strict(spark, source, name), target, keep_replaced=True)
+        rows, columns = load_strict(spark, source, name), ()
+        if partition:
+            rows, columns = partition(rows, name)
+        write_table(rows, target, keep_replaced=True, partition_by=columns)
         return name, target
 
     with ThreadPoolExecutor(at_once) as pool:
