@@ -33,7 +33,7 @@ from tripledger.llm.components import components
 # Members of a bucket that one task compares among themselves.
 SMALL = 64
 # Members outside of a bucket's largest group that are compared with all others.
-FEW = 8
+FEW = 4
 
 
 class Likeness(Protocol):
@@ -67,7 +67,8 @@ def wanted_texts(keyed: DataFrame, buckets: DataFrame) -> DataFrame:
 
 
 def crowded(buckets: DataFrame, groups: DataFrame | None = None) -> DataFrame:
-    """Rows of buckets that hold several groups, with the group (``root``) of each member and the size of the bucket.
+    """Rows of buckets that hold several groups: the group (``root``) of each member, the size of the bucket (``members``), its largest
+    group (``main``) and how many members are outside of that (``others``).
 
     Of buckets of one ``line`` that have the same members, one is kept.
     """
@@ -77,9 +78,12 @@ def crowded(buckets: DataFrame, groups: DataFrame | None = None) -> DataFrame:
     else:
         rooted = plain.join(groups, "key", "left").withColumn("root", F.coalesce("root", "key"))
     same = [F.expr("bit_xor(xxhash64(key))").alias("one"), F.expr("bit_xor(xxhash64(key, 1))").alias("other")]
-    ends = rooted.groupBy("band", "line").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members"), *same)
-    full = ends.where("low <> high").groupBy("line", "members", "one", "other").agg(F.min("band").alias("band")).select("band", "members")
-    return stored(rooted.join(full, "band").select("band", "line", "key", "size", "root", "members"), "buckets")
+    each = rooted.groupBy("band", "line", "root").agg(F.count("*").alias("n"), *same)
+    largest = F.max(F.struct("n", "root")).alias("largest")
+    whole = each.groupBy("band", "line").agg(F.sum("n").alias("members"), largest, *[F.expr(f"bit_xor({c})").alias(c) for c in ("one", "other")])
+    full = whole.where("members > largest.n").groupBy("line", "members", "one", "other").agg(F.min(F.struct("band", "largest")).alias("kept"))
+    full = full.select("kept.band", "members", F.col("kept.largest.root").alias("main"), (F.col("members") - F.col("kept.largest.n")).alias("others"))
+    return stored(rooted.join(full, "band").select("band", "line", "key", "size", "root", "members", "main", "others"), "buckets")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, likeness: Likeness) -> DataFrame:
@@ -181,15 +185,12 @@ def resolved(buckets: DataFrame, texts: DataFrame, likeness: Likeness, prefixes:
         dropped(left)
     while not buckets.isEmpty():
         left = buckets
-        by_group = left.groupBy("band", "root").agg(F.count("*").alias("n"))
-        main = by_group.groupBy("band").agg(F.max_by("root", F.struct("n", "root")).alias("main"), (F.sum("n") - F.max("n")).alias("others"))
-        marked = left.join(main, "band")
         # The few outside of the largest group against all others.
-        few = marked.where(F.col("others") <= FEW)
+        few = left.where(F.col("others") <= FEW)
         aside = few.where("root <> main").select("band", F.col("key").alias("b"), F.col("root").alias("b_root"))
         meets = few.join(aside, "band").where("root <> b_root AND (root = main OR key < b)")
         # In the other buckets, all against the lightest member; what lies beyond it decides who meets again.
-        many = marked.where(F.col("others") > FEW)
+        many = left.where(F.col("others") > FEW)
         light = F.min(F.struct("size", "key", "root")).alias("light")
         lightest = many.groupBy("band").agg(light).select("band", F.col("light.key").alias("b"))
         onward = many.join(lightest, "band").where(F.col("key") != F.col("b"))
