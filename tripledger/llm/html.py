@@ -38,7 +38,7 @@ DROPPED = frozenset("script style head template noscript textarea select option
 VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup "
-    "time tt u var wbr br".split()
+    "time tt u var wbr br math mi mn mo mrow msup msub mfrac msqrt mtext".split()
 )
 CLOSES_ITSELF = {
     "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"},
