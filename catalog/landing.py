@@ -72,17 +72,10 @@ def _(spark, folder):
 def _(spark, folder):
     """A source's own files out of a folder with lock files, files under conversion and others."""
     record = "concat_ws(',', date_format(ts, 'dd/MM/yyyy'), concat('\"TRF ', issuer, ', ', trx_id, '\"'), '0000', concat('\"', format_number(gmv, 2), ' CR\"'), '1')"
-    shown = rendered(spark, folder, "selected", record, STATEMENT_HEAD, STATEMENT_FOOT)
-    target = commits.Files(spark, _fresh(spark, "statements"))
-    origin = commits.Files(spark, shown.removesuffix("/*"))
     names = ["BCA_BankFile-{}.csv", "~$BCA_BankFile-{}.csv", "BCA_BankFile-{}.csv", "BCA_BankFile_temp-{}.csv", "BCA_BankFile-{}.csv", "Other-{}.csv"]
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    for path in origin.names():
-        key = int(path.partition("/")[0].removeprefix("file_key="))
-        to = target.at(names[key % 6].format(key))
-        jvm.org.apache.hadoop.fs.FileUtil.copy(origin.fs, origin.at(path), target.fs, to, False, conf)
-    table = formatters.SOURCES["bank_bca"].run_folder(spark, target.folder)
+    cases = " ".join("when {} then concat('{}', file_key, '{}')".format(i, *n.split("{}")) for i, n in enumerate(names))
+    shown = rendered(spark, folder, "selected", record, STATEMENT_HEAD, STATEMENT_FOOT, f"case file_key % {len(names)} {cases} end")
+    table = formatters.SOURCES["bank_bca"].run_folder(spark, shown)
     return table.select(F.col("Description").alias("description"), F.col("Transaction_Amount").alias("amount"))
 
 

@@ -1,10 +1,12 @@
 """Raw readers, shaping, sinks and loads on small written files."""
 
 import pytest
-from conftest import write_files
+from conftest import SF, write_files
 from pyspark.errors import PySparkException
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from catalog.formats import raw_path
 from tripledger.operators import shaping
 from tripledger.operators.shaping import cell, named
 from tripledger.plans import formatters
@@ -234,3 +236,34 @@ def test_date_range_labels(spark):
     rows = spark.createDataFrame([("a", "2024-01-02"), ("a", "2024-01-01"), ("b", "2024-01-01"), ("c", None)], "file string, d string")
     got = {r.file: r.label for r in files.date_ranges(rows, F.col("d").cast("date")).collect()}
     assert got == {"a": "2024-01-01_sampai_2024-01-02", "b": "2024-01-01", "c": "NA"}
+
+
+# Packs ---------------------------------------------------------------------------------------------
+
+
+def test_pack_reads_like_its_files(spark, tmp_path):
+    """Same rows from a pack as from a folder of the files, whatever they hold; its own files do not grow in number with them."""
+    odd = {"a.csv": 'h1;h2\n"x;\ny";1\n\n"q\t";2\n', "b.csv": "h1,h2\n1,2\n", "c.csv": "", "~$d.csv": "h1,h2\n3,4\n", "e_temp.csv": "h1,h2\n5,6\n"}
+    odd |= {f"n{i}.csv": f'h1,h2\n{i},"two\n\nlines"\nopen,"{i}\n' for i in range(200)}
+    folder, pack = write_files(tmp_path / "files", odd), str(tmp_path / f"all{raw.PACK}")
+    # Two values per report: a value is one or several whole lines.
+    rows = [(f, n, v) for name, text in odd.items() if text for lines in [text.removesuffix("\n").split("\n")]
+            for f, n, v in [(f"in/{name}", 0, lines[0]), (f"in/{name}", 1, "\r\n".join(lines[1:]))]]
+    raw.write_pack(spark.createDataFrame(rows, "file string, n long, value string"), pack, ["n"])
+    assert len(list((tmp_path / f"all{raw.PACK}").glob("part-*"))) <= 8
+
+    def found(path, read, **options):
+        names = Window.partitionBy("file").orderBy("pos")
+        table = read(spark, path, **options).withColumn("n", F.row_number().over(names))
+        return sorted((r.file.rpartition("/")[2], r.n, r.cells) for r in table.collect())
+
+    for read in (raw.read_cells, raw.read_detected, raw.read_unquoted_detected):
+        for options in ({}, {"accept": files.not_left_over}, {"glob": "n1*.csv"}):
+            assert found(pack, read, **options) == found(folder, read, **options)
+    assert {r.file.partition("/")[0] for r in raw.read_lines(spark, pack).collect()} == {"in"}
+
+
+def test_rendered_reports_are_few_files(spark):
+    path = raw_path(spark, SF, "kredivo")
+    assert raw.read_lines(spark, path).select("file").distinct().count() == 10
+    assert len(spark.read.text(path).inputFiles()) < 10
