@@ -267,3 +267,16 @@ def test_rendered_reports_are_few_files(spark):
     path = raw_path(spark, SF, "kredivo")
     assert raw.read_lines(spark, path).select("file").distinct().count() == 10
     assert len(spark.read.text(path).inputFiles()) < 10
+
+
+def test_windows_hold_a_bounded_stretch_of_a_file(spark, tmp_path):
+    """Cells that run over line ends, over the borders of runs too, in a file that is longer than a run and read by one task."""
+    count, long = 3 << raw.RUN_BITS, 2 << raw.RUN_BITS
+    body = [f'{i},"a\nb"' for i in range(count // 2)] + ['x,"' + "\n" * long + '"'] + [f"{i},plain" for i in range(9)] + ['y,"open', "z,1"]
+    path = write_files(tmp_path, {"a.csv": "\n".join(body)})
+    lines = raw.read_lines(spark, path)
+    per_run = raw.placed(lines, ",").groupBy("file", "run").count()
+    assert per_run.agg(F.max("count")).first()[0] <= 1 << raw.RUN_BITS and per_run.count() >= 5
+    rows = raw.read_cells(spark, path).orderBy("pos").select("cells").collect()
+    want = [[str(i), "a\nb"] for i in range(count // 2)] + [["x", "\n" * long]] + [[str(i), "plain"] for i in range(9)] + [["y", '"open'], ["z", "1"]]
+    assert [r.cells for r in rows] == want
