@@ -242,3 +242,12 @@ def test_quarantine_reads_once(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": ovo_file(GOOD, "2;yesterday;Sale;1;1;ok")})
     good, bad = loader.load_with_quarantine(spark, path, OVO)
     assert text_scans(good) == text_scans(bad) == 0 and (good.count(), bad.count()) == (1, 1)
+
+
+def test_compressed_files_are_loaded_beside_plain_ones(spark, tmp_path):
+    folder = f"{tmp_path}/in/{TABLES[OVO].folder}"
+    rows = spark.createDataFrame([("1", "2024-01-01 00:00:00", "a;b", "1", "1", "ok")], ", ".join(f"{n} string" for n, _ in TABLES[OVO].columns))
+    sinks.write_delimited(rows, folder, compression="gzip")
+    sinks.write_delimited(rows, folder, mode="append")
+    loader.load_all(spark, f"{tmp_path}/in", f"{tmp_path}/out", [OVO])
+    assert [r.transactiontype for r in commits.landed(spark, f"{tmp_path}/out/{OVO}").collect()] == ["a;b", "a;b"]
