@@ -280,3 +280,21 @@ def test_windows_hold_a_bounded_stretch_of_a_file(spark, tmp_path):
     rows = raw.read_cells(spark, path).orderBy("pos").select("cells").collect()
     want = [[str(i), "a\nb"] for i in range(count // 2)] + [["x", "\n" * long]] + [[str(i), "plain"] for i in range(9)] + [["y", '"open'], ["z", "1"]]
     assert [r.cells for r in rows] == want
+
+
+def test_records_are_put_together_inside_their_run(spark, tmp_path):
+    """Only lines at the borders of runs are grouped by record after the runs; a file that never closes a cell keeps its lines."""
+    count = (2 << raw.RUN_BITS) + 11
+    long = "\n" * (raw.NEAR + 1)
+    records = []
+    for i in range(count):
+        records += [f'{i},"a\n\nb, ""c"" {i}",z'] + ([f'{i},"{long}",z', f"{i},z"] if i % 999 == 0 else [])
+    body = "".join(f"{r}\n" for r in records)
+    path = write_files(tmp_path, {"a.csv": body, "b.csv": 'x,1\ny,"open\nz,2\n', "c.csv": "p\nq\n"})
+    lines = raw.read_lines(spark, path)
+    found = raw.within_runs(raw.placed(lines, ","))
+    runs = found.select("file", "run").distinct().count()
+    assert runs >= 7 and found.where("NOT whole").count() <= 8 * runs + (count // 999 + 1) * (raw.NEAR + 2)
+    assert found.where("whole AND line LIKE '%z'").count() >= count - 2 * runs
+    rows = raw.stitch_records(lines).orderBy("file", "pos").collect()
+    assert [r.line for r in rows] == records + ["x,1", 'y,"open', "z,2", "p", "q"]
