@@ -118,3 +118,16 @@ def test_leading_rows_are_limited_before_the_shuffle(spark, tmp_path):
     rows = shaping.drop_leading(raw.read_lines(spark, str(tmp_path)), 1)
     text = plan(rows)
     assert text.count("WindowGroupLimit") == 2 and "Partial" in text
+
+
+def test_marks_of_counted_files_are_sent_to_the_rows(spark, tmp_path, no_broadcast, monkeypatch):
+    """The rows of files that a reader has counted stay where they are; marks of too many files, or too large, are not sent."""
+    (tmp_path / "a.csv").write_text('a,b\n1,"x\ny"\n')
+    (tmp_path / "b.csv").write_text("b,a\n1,x\n")
+    rows = raw.read_cells(spark, str(tmp_path))
+    for shaped in (shaping.drop_header(rows), shaping.take_header(rows), shaping.trim_trailing_empty(rows)):
+        text = plan(shaped)
+        assert "BroadcastHashJoin" in text and "SortMergeJoin" not in text
+    assert sorted(r.cells for r in shaping.drop_header(rows).collect()) == [["1", "x"], ["1", "x\ny"]]
+    monkeypatch.setattr(raw, "SENT", 2 * raw.MARK)
+    assert "BroadcastHashJoin" in plan(shaping.drop_header(rows)) and "SortMergeJoin" in plan(shaping.take_header(rows))
