@@ -11,6 +11,7 @@ from tripledger.operators import shaping
 from tripledger.operators.shaping import cell, named
 from tripledger.plans import formatters
 from tripledger.schemas import TABLES
+from tripledger.session import setting
 from tripledger.sources import files, loader, raw, sinks
 
 OVO = "recon_ovo_report"
@@ -263,6 +264,40 @@ def test_pack_reads_like_its_files(spark, tmp_path):
     assert {r.file.partition("/")[0] for r in raw.read_lines(spark, pack).collect()} == {"in"}
 
 
+def test_scratch_takes_little_disk(spark, tmp_path):
+    """The name of a report before each of its lines is compressed away, and shuffle files go with the write that made them."""
+    rows = spark.range(20000).selectExpr("concat('reports/of/the/day/', id % 3, '.csv') as file", "concat(id, ',\"a', char(10), 'b\"') as value", "id as n")
+    pack, key = tmp_path / f"all{raw.PACK}", "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before, seen = spark.conf.get(key), []
+    real = type(rows.write).text
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(type(rows.write), "text", lambda self, *a, **b: (seen.append(spark.conf.get(key)), real(self, *a, **b))[1])
+        raw.write_pack(rows, str(pack), ["n"])
+    assert seen == ["true"] and spark.conf.get(key) == before
+    lines = raw.read_lines(spark, str(pack))
+    assert lines.count() == 40000
+    assert sum(p.stat().st_size for p in pack.glob("part-*")) < lines.selectExpr("sum(length(file) + length(line) + 2)").first()[0] / 5
+    # Lines are dealt to their runs as they were read.
+    shuffled = plan_of(raw.placed(lines, ",")).split("Exchange")[1]
+    assert "RLIKE" not in shuffled
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_settings_are_held_by_several_threads(spark):
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    first, second = setting(spark, key, "3"), setting(spark, key, "3")
+    first.__enter__()
+    second.__enter__()
+    first.__exit__(None, None, None)
+    assert spark.conf.get(key) == "3"
+    second.__exit__(None, None, None)
+    assert spark.conf.get(key) == before
+
+
 def test_rendered_reports_are_few_files(spark):
     path = raw_path(spark, SF, "kredivo")
     assert raw.read_lines(spark, path).select("file").distinct().count() == 10
