@@ -238,6 +238,14 @@ def test_days_that_do_not_exist_end_in_quarantine(spark, tmp_path):
     assert sorted((r.description, r.fault) for r in commits.landed(spark, bad).collect()) == [("TRF 1", "Transaction_Date"), ("TRF 3", "transaction_date")]
 
 
+def test_cells_are_judged_once(spark, tmp_path):
+    """What lands is what was judged: the pattern of a day is matched once per cell."""
+    path = write_files(tmp_path, {"a.csv": ovo_file(GOOD, "2;2024/3/5;Sale;1;1;ok")})
+    rows = loader.load_strict(spark, path, OVO)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count(loader.DAY) == 1
+    assert sorted(str(r.transactiondate) for r in rows.collect()) == ["2024-03-05 00:00:00", "2024-03-05 10:00:00"]
+
+
 def test_quarantine_reads_once(spark, tmp_path):
     path = write_files(tmp_path, {"a.csv": ovo_file(GOOD, "2;yesterday;Sale;1;1;ok")})
     good, bad = loader.load_with_quarantine(spark, path, OVO)
